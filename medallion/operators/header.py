@@ -53,24 +53,27 @@ def document_header_report(
 ) -> DataFrame:
     """Header check of schema-less JSON documents: which dictionary names occur, and in how many.
 
-    A document collection has no header but the keys of its documents, so this one reads the data:
-    keys are exploded and counted (combined before the shuffle, so the exchange carries one row per
-    name and task), then laid against the dictionary.
+    A document collection has no header but the keys of its documents, so this one reads the data.
+    Keys are counted with the dictionary's names added at zero: one aggregate, whose exchange carries
+    one row per name and task.
     """
-    seen = (
-        docs.select(F.explode(F.json_object_keys(document)).alias("column_name"))
-        .where(~F.col("column_name").isin(*IGNORED_COLUMNS))
-        .groupBy("column_name")
-        .agg(F.count("*").alias("n_documents"))
+    names = dictionary.names(table)
+    found = docs.select(
+        F.explode(F.json_object_keys(document)).alias("column_name"), F.lit(1).alias("n")
+    ).where(~F.col("column_name").isin(*IGNORED_COLUMNS))
+    expected = docs.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(n) for n in names])).alias("column_name"), F.lit(0).alias("n")
     )
-    expected = docs.sparkSession.createDataFrame(
-        [(name,) for name in dictionary.names(table)], "column_name string"
-    ).withColumn("expected", F.lit(True))
-    return seen.join(expected, "column_name", "full_outer").select(
-        "column_name",
-        F.when(F.col("expected").isNull(), "unexpected")
-        .when(F.col("n_documents").isNull(), "missing")
-        .otherwise("ok")
-        .alias("status"),
-        F.coalesce("n_documents", F.lit(0)).cast("bigint").alias("n_documents"),
+    return (
+        found.union(expected)
+        .groupBy("column_name")
+        .agg(F.sum("n").alias("n_documents"))
+        .select(
+            "column_name",
+            F.when(~F.col("column_name").isin(*names), "unexpected")
+            .when(F.col("n_documents") == 0, "missing")
+            .otherwise("ok")
+            .alias("status"),
+            "n_documents",
+        )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_KEY_SPREAD = 1024
@@ -14,13 +14,15 @@ def left_lookup(
     """Left outer equi-join whose left key may be NULL in any share of the rows.
 
     A left join must keep rows with a NULL key and would hash all of them to one partition. A second
-    join key, constant for real keys and taken from `spread_by` for NULL keys, spreads them; they
-    match nothing either way. No hint is set: the planner broadcasts `right` if its size allows.
+    join key, 0 for real keys and taken from `spread_by` for NULL keys, spreads them; they match
+    nothing either way. No hint is set: the planner broadcasts `right` if its size allows.
     """
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SPREAD)).cast("int") + 1
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SPREAD)) + 1
     keyed = left.withColumn("_spread", F.when(F.col(left_key).isNull(), spread).otherwise(0))
-    lookup = right.withColumn("_spread_of_real_keys", F.lit(0))
-    condition: Column = (F.col(left_key) == F.col(right_key)) & (
+    # Always 0, but not a literal: that would be folded into a filter and leave a one-column key.
+    zero = F.pmod(F.xxhash64(right_key), F.lit(1))
+    lookup = right.withColumn("_spread_of_real_keys", zero)
+    condition = (F.col(left_key) == F.col(right_key)) & (
         F.col("_spread") == F.col("_spread_of_real_keys")
     )
     return keyed.join(lookup, condition, "left").drop("_spread", "_spread_of_real_keys")

@@ -59,6 +59,25 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], seq: list[str
     return kept.unionByName(updates.join(newer_in_target, same_key, "left_anti"))
 
 
+def upsert_by_full_join(
+    target: DataFrame, updates: DataFrame, keys: list[str], seq: list[str]
+) -> DataFrame:
+    """As `upsert`, by one full outer join: each side is read once.
+
+    With a target bucketed by the keys only the updates are shuffled, whatever their size.
+    """
+    names = target.columns
+    updates = latest(updates.select(*names), keys, seq)
+    old = target.select(F.struct(*[f"`{c}`" for c in names]).alias("_old"), *[f"`{k}`" for k in keys])
+    new = updates.select(F.struct(*[f"`{c}`" for c in names]).alias("_new"), *[f"`{k}`" for k in keys])
+    old_seq = F.struct(*[F.col(f"_old.`{c}`") for c in seq])
+    new_seq = F.struct(*[F.col(f"_new.`{c}`") for c in seq])
+    wins = F.col("_new").isNotNull() & (F.col("_old").isNull() | (new_seq >= old_seq))
+    return old.join(new, keys, "full_outer").select(
+        *[F.when(wins, F.col(f"_new.`{c}`")).otherwise(F.col(f"_old.`{c}`")).alias(c) for c in names]
+    )
+
+
 def merge_condition(keys: list[str], target: str = "target", source: str = "updates") -> Column:
     """Equality on every key, for any number of keys."""
     return reduce(

@@ -23,11 +23,15 @@ from medallion.functions.scalars import (
 )
 from medallion.operators.joins import left_lookup
 from medallion.operators.setops import union_all
+from medallion.session import run_parallel
 from medallion.sinks.catalog import create_database, register_gold
 from medallion.sinks.writers import write_gold
 
 Tables = Mapping[str, DataFrame]
 
+# Key of a line, carried along for ordering and left out of the table.
+LINE_ID = "_line_id"
+
 
 def dim_city(t: Tables) -> DataFrame:
     """Cities with state and country; the population is the country's."""
@@ -156,14 +160,14 @@ def fact_order_line(t: Tables) -> DataFrame:
     )
 
 
-def fact_purchase(t: Tables) -> DataFrame:
-    """Purchase order lines; ordered quantity is outers times the item's quantity per outer."""
+def _purchase(t: Tables) -> DataFrame:
     orders = t["PurchaseOrders"].select(
         "PurchaseOrderID", "OrderDate", "SupplierID", F.col("LastEditedWhen").alias("_OrderEdited")
     )
     lines = t["PurchaseOrderLines"].select(
         "PurchaseOrderID", "OrderedOuters", "ReceivedOuters", "PackageTypeID", "IsOrderLineFinalized",
         "StockItemID", F.col("LastEditedWhen").alias("_LineEdited"),
+        F.col("PurchaseOrderLineID").alias(LINE_ID),
     )
     return (
         lines.join(orders, "PurchaseOrderID")
@@ -174,15 +178,18 @@ def fact_purchase(t: Tables) -> DataFrame:
             (F.col("OrderedOuters") * F.col("QuantityPerOuter")).alias("Ordered_Quantity"),
             "ReceivedOuters", "Package", "IsOrderLineFinalized", "SupplierID", "StockItemID",
             _last_modified("_LineEdited", "_OrderEdited"),
+            LINE_ID,
         )
     )
 
 
-def fact_sales(t: Tables) -> DataFrame:
-    """Invoice lines with profit and the split into dry and chilled items.
+def fact_purchase(t: Tables) -> DataFrame:
+    """Purchase order lines; ordered quantity is outers times the item's quantity per outer."""
+    return _purchase(t).drop(LINE_ID)
 
-    The billed customer only has to exist, so it is a semi join on invoices, before lines join.
-    """
+
+def _sales(t: Tables) -> DataFrame:
+    # The billed customer only has to exist: a semi join on invoices, before lines join.
     customers = t["Customers"]
     billed = customers.select(F.col("CustomerID").alias("BillToCustomerID"))
     invoices = (
@@ -197,6 +204,7 @@ def fact_sales(t: Tables) -> DataFrame:
     lines = t["InvoiceLines"].select(
         "InvoiceID", "Description", "PackageTypeID", "Quantity", "UnitPrice", "TaxRate", "TaxAmount",
         "LineProfit", "ExtendedPrice", "StockItemID", F.col("LastEditedWhen").alias("_LineEdited"),
+        F.col("InvoiceLineID").alias(LINE_ID),
     )
     chilled = F.col("IsChillerStock")
     excluding = money(F.col("ExtendedPrice")) - money(F.col("TaxAmount"))
@@ -215,10 +223,16 @@ def fact_sales(t: Tables) -> DataFrame:
             F.when(chilled, F.col("Quantity")).otherwise(0).alias("Total_Chiller_Items"),
             "DeliveryCityID", "CustomerID", "BillToCustomerID", "StockItemID", "SalespersonPersonID",
             _last_modified("_LineEdited", "_InvoiceEdited"),
+            LINE_ID,
         )
     )
 
 
+def fact_sales(t: Tables) -> DataFrame:
+    """Invoice lines with profit and the split into dry and chilled items."""
+    return _sales(t).drop(LINE_ID)
+
+
 def fact_transactions(t: Tables) -> DataFrame:
     """Customer and supplier transactions in one table.
 
@@ -253,7 +267,9 @@ def fact_transactions(t: Tables) -> DataFrame:
 
 @dataclass(frozen=True)
 class GoldTable:
-    build: Callable[[Tables], DataFrame]
+    """`plan` may carry the line key besides the table's columns, to order rows by when written."""
+
+    plan: Callable[[Tables], DataFrame]
     order_by: tuple[str, ...] = ()
 
 
@@ -267,15 +283,15 @@ GOLD: dict[str, GoldTable] = {
     "Supplier": GoldTable(dim_supplier),
     "StockMovement": GoldTable(fact_stock_movement),
     "Movement": GoldTable(fact_order_line),
-    "Order": GoldTable(fact_purchase, ("PurchaseOrderID",)),
-    "Purchase": GoldTable(fact_purchase, ("PurchaseOrderID",)),
-    "Sales": GoldTable(fact_sales, ("InvoiceID",)),
+    "Order": GoldTable(_purchase, ("PurchaseOrderID", LINE_ID)),
+    "Purchase": GoldTable(_purchase, ("PurchaseOrderID", LINE_ID)),
+    "Sales": GoldTable(_sales, ("InvoiceID", LINE_ID)),
     "Transactions": GoldTable(fact_transactions),
 }
 
 
 def build(name: str, tables: Tables) -> DataFrame:
-    return GOLD[name].build(tables)
+    return GOLD[name].plan(tables).drop(LINE_ID)
 
 
 def build_all(
@@ -285,11 +301,16 @@ def build_all(
     names: Iterable[str] | None = None,
     database: str | None = None,
     total_order: bool = False,
+    parallel: int = 4,
 ) -> None:
     """Write gold tables, one execution each, and register them as `<name>_gold`."""
-    for name in names if names is not None else GOLD:
+    def write(name: str) -> None:
         table = GOLD[name]
-        write_gold(table.build(tables), f"{gold_path}/{name}", list(table.order_by), total_order)
+        write_gold(
+            table.plan(tables), f"{gold_path}/{name}", list(table.order_by), [LINE_ID], total_order
+        )
+
+    run_parallel(spark, write, names if names is not None else GOLD, parallel)
     if database:
         create_database(spark, database)
         register_gold(spark, database, gold_path)

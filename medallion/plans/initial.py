@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from medallion.dictionary import DataDictionary
@@ -15,6 +14,7 @@ from medallion.operators.header import IGNORED_COLUMNS, PARTITION_COLUMN, header
 from medallion.operators.quality import split
 from medallion.operators.rules import rules_for
 from medallion.operators.standardize import conform, standardize_dates
+from medallion.session import run_parallel
 from medallion.sinks.catalog import create_database, register_table
 from medallion.sinks.writers import write_errors, write_full
 
@@ -50,14 +50,8 @@ def ingest_all(
     as_of: date,
     parallel: int = 4,
 ) -> None:
-    """Every table of a source system to bronze.
-
-    Tables are separate jobs; a few run side by side, so that small ones do not leave the cluster
-    idle one after the other.
-    """
-    load = inheritable_thread_target(spark)(lambda t: ingest(read(t), layers, t, as_of))
-    with ThreadPoolExecutor(parallel) as pool:
-        list(pool.map(load, tables))
+    """Every table of a source system to bronze."""
+    run_parallel(spark, lambda t: ingest(read(t), layers, t, as_of), tables, parallel)
 
 
 def load_silver(

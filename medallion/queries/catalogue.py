@@ -23,10 +23,11 @@ from medallion.operators.quality import (
 from medallion.operators.rules import Rule, rules_for
 from medallion.operators.setops import except_distinct, union_all
 from medallion.operators.standardize import conform, standardize_dates
-from medallion.operators.upsert import latest, upsert, upsert_by_union
+from medallion.operators.upsert import latest, upsert, upsert_by_full_join, upsert_by_union
 from medallion.plans import gold
 from medallion.plans.initial import Layers, ingest_all, load_silver
 from medallion.queries.derived import (
+    SilverTables,
     change_events,
     dictionary,
     dirty_events,
@@ -35,7 +36,6 @@ from medallion.queries.derived import (
     event_documents,
     nested_lines,
     order_documents,
-    silver_tables,
     table,
 )
 from medallion.session import workspace
@@ -44,6 +44,7 @@ from medallion.sinks.writers import append_landing, write_errors, write_full
 from medallion.sources.cdc import look_up_documents, of_collection, parse_events, post_images, split_events
 from medallion.sources.documents import parse_documents, split_corrupt
 from medallion.sources.readers import read_day, read_table
+from medallion.streaming.changelog import ChangeLog
 from medallion.streaming.feed import collection_landing, run_feed
 from medallion.streaming.incremental import IncrementalLoad
 
@@ -242,6 +243,25 @@ def q_upsert_by_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_by_union(*_target_and_updates(spark, sf_dir), EVENT_KEYS, EVENT_SEQ)
 
 
+def q_upsert_by_full_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert_by_full_join(*_target_and_updates(spark, sf_dir), EVENT_KEYS, EVENT_SEQ)
+
+
+def q_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot bucketed by key, two logged batches, compaction, then a third batch on top."""
+    target, updates = _target_and_updates(spark, sf_dir)
+    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    log = ChangeLog(
+        spark, workspace(spark, "bucketed"), target.schema, EVENT_KEYS, EVENT_SEQ, buckets
+    )
+    log.seed(target)
+    for batch_id in (0, 1):
+        log.append(updates.where(F.col("event_id") % 3 == batch_id), batch_id)
+    log.compact()
+    log.append(updates.where(F.col("event_id") % 3 == 2), 2)
+    return log.current()
+
+
 LANDED_EVENTS = (
     T.StructType()
     .add("event_id", T.LongType())
@@ -360,14 +380,14 @@ def q_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.build(name, silver_tables(spark, sf_dir))
+    return gold.build(name, SilverTables(spark, sf_dir))
 
 
 def q_gold_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All gold tables written, registered by directory and counted by catalog name."""
     root = workspace(spark, "gold")
     database = "gold_" + root.rsplit("-", 1)[-1].lower()
-    gold.build_all(spark, silver_tables(spark, sf_dir), f"{root}/gold")
+    gold.build_all(spark, SilverTables(spark, sf_dir), f"{root}/gold")
     create_database(spark, database, f"{root}/database")
     names = register_gold(spark, database, f"{root}/gold")
     counts = [
@@ -386,7 +406,7 @@ def q_clean_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when o_orderkey % 5 = 0 then o_orderkey + 1 end as BackorderOrderID",
         "o_orderdate as OrderDate", "o_orderdate as LastEditedWhen",
     )
-    return gold.fact_order_line({**silver_tables(spark, sf_dir), "Orders": clean})
+    return gold.fact_order_line(SilverTables(spark, sf_dir, Orders=clean))
 
 
 QUERIES: dict[str, Query] = {
@@ -418,6 +438,8 @@ QUERIES: dict[str, Query] = {
     "latest_version": q_latest,
     "upsert_batch": q_upsert_batch,
     "upsert_by_union": q_upsert_by_union,
+    "upsert_by_full_join": q_upsert_by_full_join,
+    "upsert_bucketed": q_upsert_bucketed,
     "upsert_stream": q_upsert_stream,
     "stream_errors": q_stream_errors,
     "stream_rerun_idempotent": q_stream_rerun,

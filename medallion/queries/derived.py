@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.dictionary import DataDictionary
+from medallion.operators.projection import select_once
 
 # (table, column, ordinal, nullable, source type, primary key, declared type)
 DICTIONARY_ROWS = [
@@ -39,26 +42,23 @@ def _every(n: int, key: str = "o_orderkey"):
 
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as text, with blank, mistyped and misdated values at fixed keys."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("o_orderkey"),
-        F.when(_every(101), "abc")
+    derived = {
+        "o_orderkey": F.col("o_orderkey").cast("string"),
+        "o_custkey": F.when(_every(101), "abc")
         .when(_every(103), None)
-        .otherwise(F.col("o_custkey").cast("string"))
-        .alias("o_custkey"),
-        F.when(_every(109), "")
+        .otherwise(F.col("o_custkey").cast("string")),
+        "o_orderstatus": F.when(_every(109), "")
         .when(_every(113), "NULL")
         .when(_every(127), "None")
-        .otherwise(F.col("o_orderstatus"))
-        .alias("o_orderstatus"),
-        F.when(_every(107), "n/a")
-        .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
-        .alias("o_totalprice"),
-        F.when(_every(131), "not-a-date")
+        .otherwise(F.col("o_orderstatus")),
+        "o_totalprice": F.when(_every(107), "n/a").otherwise(
+            F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+        ),
+        "o_orderdate": F.when(_every(131), "not-a-date")
         .when(_every(137), None)
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
-        .alias("o_orderdate"),
-        "o_orderpriority",
-    )
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")),
+    }
+    return select_once(table(spark, sf_dir, "orders"), ["o_orderpriority"], derived)
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +88,7 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of `events` as a change event (event JSON, seq); some are deletes, some cut off,
     some updates without their document."""
     op = F.when(_every(50, "event_id"), "delete").when(_every(3, "event_id"), "insert").otherwise("update")
-    bare = _every(50, "event_id") | (_every(7, "event_id") & (op == "update"))
+    bare = _every(50, "event_id") | (_every(7, "event_id") & ~_every(3, "event_id"))
     envelope = F.to_json(
         F.struct(
             op.alias("operationType"),
@@ -97,8 +97,11 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(~bare, _event_document()).alias("fullDocument"),
         )
     )
-    text = F.when(_every(97, "event_id"), F.lit('{"operationType": "insert", "ns": {"db": "sh')).otherwise(envelope)
-    return table(spark, sf_dir, "events").select(text.alias("event"), F.col("event_id").alias("seq"))
+    cut_off = F.lit('{"operationType": "insert", "ns": {"db": "sh')
+    return table(spark, sf_dir, "events").select(
+        F.when(_every(97, "event_id"), cut_off).otherwise(envelope).alias("event"),
+        F.col("event_id").alias("seq"),
+    )
 
 
 def event_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,8 +121,9 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a value that is no number in every eleventh."""
+    text = F.col("value").cast("decimal(18,2)").cast("string")
     return table(spark, sf_dir, "events").withColumn(
-        "value", F.when(_every(11, "event_id"), "abc").otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
+        "value", F.when(_every(11, "event_id"), "abc").otherwise(text)
     )
 
 
@@ -139,123 +143,139 @@ def nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The given tables under the names and columns the gold plans read."""
-    def given(name: str) -> DataFrame:
-        return table(spark, sf_dir, name)
+# Clean tables the gold plans read: source table, and column = SQL expression.
+SILVER: dict[str, tuple[str, dict[str, str]]] = {
+    "Cities": ("customer", {
+        "CityID": "c_custkey", "CityName": "c_name", "StateProvinceID": "c_nationkey",
+        "Location": "c_mktsegment",
+    }),
+    "StateProvinces": ("nation", {
+        "StateProvinceID": "n_nationkey", "StateProvinceName": "n_name", "CountryID": "n_regionkey",
+    }),
+    "Countries": ("region", {
+        "CountryID": "r_regionkey", "CountryName": "r_name", "Continent": "lower(r_name)",
+        "Region": "substring(r_name, 1, 2)", "Subregion": "substring(r_name, 2, 3)",
+        "LatestRecordedPopulation": "r_regionkey * 1000",
+    }),
+    "Customers": ("customer", {
+        "CustomerID": "c_custkey", "CustomerName": "c_name",
+        "BillToCustomerID": "c_custkey - c_custkey % 10", "CustomerCategoryID": "c_nationkey % 5",
+        "BuyingGroupID": "case when c_custkey % 7 <> 0 then c_nationkey end",
+        "PrimaryContactPersonID": "c_custkey", "DeliveryCityID": "c_nationkey",
+        "DeliveryPostalCode": "c_mktsegment",
+    }),
+    "BuyingGroups": ("nation", {
+        "BuyingGroupID": "n_nationkey", "BuyingGroupName": "n_name",
+    }),
+    "CustomerCategories": ("region", {
+        "CustomerCategoryID": "r_regionkey", "CustomerCategoryName": "r_name",
+    }),
+    "People": ("customer", {
+        "PersonID": "c_custkey", "FullName": "c_name", "PreferredName": "c_mktsegment",
+        "IsEmployee": "c_acctbal < 0", "IsSalesperson": "c_nationkey % 2 = 0",
+    }),
+    "PackageTypes": ("nation", {
+        "PackageTypeID": "n_nationkey", "PackageTypeName": "n_name",
+    }),
+    "Colors": ("region", {
+        "ColorID": "r_regionkey", "ColorName": "r_name",
+    }),
+    "StockItems": ("part", {
+        "StockItemID": "p_partkey", "StockItemName": "p_name",
+        "ColorID": "case when p_partkey % 3 <> 0 then p_partkey % 7 end", "UnitPackageID": "p_size % 25",
+        "OuterPackageID": "(p_size + 1) % 25", "Brand": "p_brand", "Size": "p_type",
+        "LeadTimeDays": "p_size", "QuantityPerOuter": "p_size", "IsChillerStock": "p_size > 25",
+        "Barcode": "cast(p_partkey as string)", "UnitPrice": "p_retailprice",
+        "RecommendedRetailPrice": "p_retailprice", "TypicalWeightPerUnit": "p_retailprice",
+    }),
+    "Suppliers": ("supplier", {
+        "SupplierID": "s_suppkey", "SupplierName": "s_name", "SupplierCategoryID": "s_nationkey % 5",
+        "PrimaryContactPersonID": "s_suppkey", "SupplierReference": "cast(s_suppkey as string)",
+        "PaymentDays": "s_nationkey", "DeliveryPostalCode": "cast(s_nationkey as string)",
+    }),
+    "SupplierCategories": ("region", {
+        "SupplierCategoryID": "r_regionkey", "SupplierCategoryName": "r_name",
+    }),
+    "StockItemTransactions": ("events", {
+        "StockItemTransactionID": "event_id", "StockItemID": "user_id",
+        "TransactionTypeID": "length(event_type)", "CustomerID": "user_id",
+        "InvoiceID": "case when event_id % 2 = 0 then event_id end",
+        "SupplierID": "case when event_id % 2 = 1 then user_id end",
+        "PurchaseOrderID": "case when event_id % 2 = 1 then event_id end", "TransactionOccurredWhen": "ts",
+        "Quantity": "value",
+    }),
+    "Orders": ("orders", {
+        "OrderID": "o_orderkey", "CustomerID": "o_custkey", "SalespersonPersonID": "o_custkey % 7",
+        "PickedByPersonID": "case when o_orderstatus = 'F' then o_custkey % 5 end",
+        "BackorderOrderID": "case when o_orderkey % 5 = 0 then o_orderkey + 1 end",
+        "OrderDate": "o_orderdate", "LastEditedWhen": "o_orderdate",
+    }),
+    "OrderLines": ("lineitem", {
+        "OrderID": "l_orderkey", "StockItemID": "l_partkey", "Description": "l_returnflag",
+        "PackageTypeID": "l_suppkey % 25", "Quantity": "cast(l_quantity as int)",
+        "UnitPrice": "l_extendedprice", "TaxRate": "l_tax * 100", "PickingCompletedWhen": "l_shipdate",
+        "LastEditedWhen": "l_shipdate",
+    }),
+    "PurchaseOrders": ("orders", {
+        "PurchaseOrderID": "o_orderkey", "SupplierID": "o_custkey", "OrderDate": "o_orderdate",
+        "LastEditedWhen": "o_orderdate",
+    }),
+    "PurchaseOrderLines": ("lineitem", {
+        "PurchaseOrderLineID": "l_linenumber", "PurchaseOrderID": "l_orderkey", "StockItemID": "l_partkey",
+        "OrderedOuters": "cast(l_quantity as int)", "ReceivedOuters": "l_linenumber",
+        "PackageTypeID": "l_linenumber", "IsOrderLineFinalized": "l_linestatus = 'F'",
+        "LastEditedWhen": "l_shipdate",
+    }),
+    "Invoices": ("orders", {
+        "InvoiceID": "o_orderkey", "CustomerID": "o_custkey",
+        "BillToCustomerID": "case when o_orderkey % 11 = 0 then -1 else o_custkey - o_custkey % 10 end",
+        "SalespersonPersonID": "o_custkey % 7", "InvoiceDate": "o_orderdate",
+        "ConfirmedDeliveryTime": "case when o_orderstatus = 'F' then o_orderdate end",
+        "LastEditedWhen": "o_orderdate",
+    }),
+    "InvoiceLines": ("lineitem", {
+        "InvoiceLineID": "l_linenumber", "InvoiceID": "l_orderkey", "StockItemID": "l_partkey", "Description": "l_returnflag",
+        "PackageTypeID": "l_suppkey % 25", "Quantity": "cast(l_quantity as int)",
+        "UnitPrice": "l_extendedprice", "TaxRate": "l_tax * 100", "TaxAmount": "l_tax",
+        "LineProfit": "l_discount", "ExtendedPrice": "l_extendedprice", "LastEditedWhen": "l_shipdate",
+    }),
+    "CustomerTransactions": ("orders", {
+        "CustomerTransactionID": "o_orderkey", "CustomerID": "o_custkey - o_custkey % 10",
+        "TransactionTypeID": "length(o_orderpriority)",
+        "InvoiceID": "case when o_orderstatus <> 'P' then o_orderkey * 2 end",
+        "PaymentMethodID": "case when o_orderstatus = 'P' then 4 end", "TransactionDate": "o_orderdate",
+        "AmountExcludingTax": "o_totalprice", "TaxAmount": "o_totalprice * 0",
+        "TransactionAmount": "o_totalprice", "OutstandingBalance": "o_totalprice * 0",
+        "IsFinalized": "o_orderstatus = 'F'", "LastEditedWhen": "o_orderdate",
+    }),
+    "SupplierTransactions": ("lineitem", {
+        "SupplierTransactionID": "l_orderkey * 10 + l_linenumber", "SupplierID": "l_suppkey",
+        "TransactionTypeID": "l_linenumber", "PurchaseOrderID": "l_orderkey",
+        "PaymentMethodID": "case when l_returnflag = 'R' then 4 end",
+        "SupplierInvoiceNumber": "l_returnflag", "TransactionDate": "l_shipdate",
+        "AmountExcludingTax": "l_extendedprice", "TaxAmount": "l_tax",
+        "TransactionAmount": "l_extendedprice", "OutstandingBalance": "l_discount",
+        "IsFinalized": "l_linestatus = 'F'", "LastEditedWhen": "l_shipdate",
+    }),
+}
 
-    region, nation, customer = given("region"), given("nation"), given("customer")
-    supplier, part, events = given("supplier"), given("part"), given("events")
-    orders, lineitem = given("orders"), given("lineitem")
 
-    def named(df: DataFrame, **columns: str) -> DataFrame:
-        return df.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])
+class SilverTables(Mapping):
+    """The given tables under the names and columns the gold plans read, built when asked for."""
 
-    return {
-        "Cities": named(
-            customer, CityID="c_custkey", CityName="c_name", StateProvinceID="c_nationkey",
-            Location="c_mktsegment",
-        ),
-        "StateProvinces": named(
-            nation, StateProvinceID="n_nationkey", StateProvinceName="n_name", CountryID="n_regionkey"
-        ),
-        "Countries": named(
-            region, CountryID="r_regionkey", CountryName="r_name", Continent="lower(r_name)",
-            Region="substring(r_name, 1, 2)", Subregion="substring(r_name, 2, 3)",
-            LatestRecordedPopulation="r_regionkey * 1000",
-        ),
-        "Customers": named(
-            customer, CustomerID="c_custkey", CustomerName="c_name",
-            BillToCustomerID="c_custkey - c_custkey % 10", CustomerCategoryID="c_nationkey % 5",
-            BuyingGroupID="case when c_custkey % 7 <> 0 then c_nationkey end",
-            PrimaryContactPersonID="c_custkey", DeliveryCityID="c_nationkey",
-            DeliveryPostalCode="c_mktsegment",
-        ),
-        "BuyingGroups": named(nation, BuyingGroupID="n_nationkey", BuyingGroupName="n_name"),
-        "CustomerCategories": named(
-            region, CustomerCategoryID="r_regionkey", CustomerCategoryName="r_name"
-        ),
-        "People": named(
-            customer, PersonID="c_custkey", FullName="c_name", PreferredName="c_mktsegment",
-            IsEmployee="c_acctbal < 0", IsSalesperson="c_nationkey % 2 = 0",
-        ),
-        "PackageTypes": named(nation, PackageTypeID="n_nationkey", PackageTypeName="n_name"),
-        "Colors": named(region, ColorID="r_regionkey", ColorName="r_name"),
-        "StockItems": named(
-            part, StockItemID="p_partkey", StockItemName="p_name",
-            ColorID="case when p_partkey % 3 <> 0 then p_partkey % 7 end",
-            UnitPackageID="p_size % 25", OuterPackageID="(p_size + 1) % 25", Brand="p_brand",
-            Size="p_type", LeadTimeDays="p_size", QuantityPerOuter="p_size",
-            IsChillerStock="p_size > 25", Barcode="cast(p_partkey as string)", UnitPrice="p_retailprice",
-            RecommendedRetailPrice="p_retailprice", TypicalWeightPerUnit="p_retailprice",
-        ),
-        "Suppliers": named(
-            supplier, SupplierID="s_suppkey", SupplierName="s_name", SupplierCategoryID="s_nationkey % 5",
-            PrimaryContactPersonID="s_suppkey", SupplierReference="cast(s_suppkey as string)",
-            PaymentDays="s_nationkey", DeliveryPostalCode="cast(s_nationkey as string)",
-        ),
-        "SupplierCategories": named(
-            region, SupplierCategoryID="r_regionkey", SupplierCategoryName="r_name"
-        ),
-        "StockItemTransactions": named(
-            events, StockItemTransactionID="event_id", StockItemID="user_id",
-            TransactionTypeID="length(event_type)", CustomerID="user_id",
-            InvoiceID="case when event_id % 2 = 0 then event_id end",
-            SupplierID="case when event_id % 2 = 1 then user_id end",
-            PurchaseOrderID="case when event_id % 2 = 1 then event_id end",
-            TransactionOccurredWhen="ts", Quantity="value",
-        ),
-        "Orders": named(
-            orders, OrderID="o_orderkey", CustomerID="o_custkey", SalespersonPersonID="o_custkey % 7",
-            PickedByPersonID="case when o_orderstatus = 'F' then o_custkey % 5 end",
-            BackorderOrderID="case when o_orderkey % 5 = 0 then o_orderkey + 1 end",
-            OrderDate="o_orderdate", LastEditedWhen="o_orderdate",
-        ),
-        "OrderLines": named(
-            lineitem, OrderID="l_orderkey", StockItemID="l_partkey", Description="l_returnflag",
-            PackageTypeID="l_suppkey % 25", Quantity="cast(l_quantity as int)",
-            UnitPrice="l_extendedprice", TaxRate="l_tax * 100", PickingCompletedWhen="l_shipdate",
-            LastEditedWhen="l_shipdate",
-        ),
-        "PurchaseOrders": named(
-            orders, PurchaseOrderID="o_orderkey", SupplierID="o_custkey", OrderDate="o_orderdate",
-            LastEditedWhen="o_orderdate",
-        ),
-        "PurchaseOrderLines": named(
-            lineitem, PurchaseOrderID="l_orderkey", StockItemID="l_partkey",
-            OrderedOuters="cast(l_quantity as int)", ReceivedOuters="l_linenumber",
-            PackageTypeID="l_linenumber", IsOrderLineFinalized="l_linestatus = 'F'",
-            LastEditedWhen="l_shipdate",
-        ),
-        "Invoices": named(
-            orders, InvoiceID="o_orderkey", CustomerID="o_custkey",
-            BillToCustomerID="case when o_orderkey % 11 = 0 then -1 else o_custkey - o_custkey % 10 end",
-            SalespersonPersonID="o_custkey % 7", InvoiceDate="o_orderdate",
-            ConfirmedDeliveryTime="case when o_orderstatus = 'F' then o_orderdate end",
-            LastEditedWhen="o_orderdate",
-        ),
-        "InvoiceLines": named(
-            lineitem, InvoiceID="l_orderkey", StockItemID="l_partkey", Description="l_returnflag",
-            PackageTypeID="l_suppkey % 25", Quantity="cast(l_quantity as int)",
-            UnitPrice="l_extendedprice", TaxRate="l_tax * 100", TaxAmount="l_tax",
-            LineProfit="l_discount", ExtendedPrice="l_extendedprice", LastEditedWhen="l_shipdate",
-        ),
-        "CustomerTransactions": named(
-            orders, CustomerTransactionID="o_orderkey", CustomerID="o_custkey - o_custkey % 10",
-            TransactionTypeID="length(o_orderpriority)",
-            InvoiceID="case when o_orderstatus <> 'P' then o_orderkey * 2 end",
-            PaymentMethodID="case when o_orderstatus = 'P' then 4 end", TransactionDate="o_orderdate",
-            AmountExcludingTax="o_totalprice", TaxAmount="o_totalprice * 0",
-            TransactionAmount="o_totalprice", OutstandingBalance="o_totalprice * 0",
-            IsFinalized="o_orderstatus = 'F'", LastEditedWhen="o_orderdate",
-        ),
-        "SupplierTransactions": named(
-            lineitem, SupplierTransactionID="l_orderkey * 10 + l_linenumber", SupplierID="l_suppkey",
-            TransactionTypeID="l_linenumber", PurchaseOrderID="l_orderkey",
-            PaymentMethodID="case when l_returnflag = 'R' then 4 end",
-            SupplierInvoiceNumber="l_returnflag", TransactionDate="l_shipdate",
-            AmountExcludingTax="l_extendedprice", TaxAmount="l_tax", TransactionAmount="l_extendedprice",
-            OutstandingBalance="l_discount", IsFinalized="l_linestatus = 'F'",
-            LastEditedWhen="l_shipdate",
-        ),
-    }
+    def __init__(self, spark: SparkSession, sf_dir: str, **replaced: DataFrame):
+        self._spark, self._sf_dir, self._replaced = spark, sf_dir, replaced
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self._replaced:
+            return self._replaced[name]
+        source, columns = SILVER[name]
+        return table(self._spark, self._sf_dir, source).selectExpr(
+            *[f"{sql} as {column}" for column, sql in columns.items()]
+        )
+
+    def __iter__(self):
+        return iter(SILVER)
+
+    def __len__(self) -> int:
+        return len(SILVER)

@@ -184,6 +184,7 @@ _GOLD_NAMES = {
     "Sales": "fact_sales", "Transactions": "fact_transactions",
 }
 
+_NEWEST_OF_ALL = "select * exclude (props) from (" + NEWEST_EVENT.format(where="true") + ")"
 _CURRENT_STREAM = NEWEST_EVENT.format(where="event_id % 11 <> 0")
 
 ORACLE_SQL: dict[str, str] = {
@@ -270,8 +271,10 @@ from applied where not bare and event_type = 'click'""",
 select event_type as coll, op, cast(event_id as varchar) as key, event_id as seq
 from applied where not bare and event_type in ('click', 'view')""",
     "latest_version": NEWEST_EVENT.format(where="true"),
-    "upsert_batch": "select * exclude (props) from (" + NEWEST_EVENT.format(where="true") + ")",
-    "upsert_by_union": "select * exclude (props) from (" + NEWEST_EVENT.format(where="true") + ")",
+    "upsert_batch": _NEWEST_OF_ALL,
+    "upsert_by_union": _NEWEST_OF_ALL,
+    "upsert_by_full_join": _NEWEST_OF_ALL,
+    "upsert_bucketed": _NEWEST_OF_ALL,
     "upsert_stream": _CURRENT_STREAM,
     "stream_errors": """
 select event_id, 'type' as rule, 'value' as column_name, 'abc' as bad_value, date '2024-03-01' as part_date

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings every job of this package is designed for. Shuffle width is left to the deployment: AQE
@@ -17,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
+    # Call-site capture costs a round trip to the JVM for every Column; rules make many Columns.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -44,3 +49,15 @@ def workspace(spark: SparkSession, label: str = "run") -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix=f"medallion-{label}-")
+
+
+def run_parallel(
+    spark: SparkSession, work: Callable[[str], None], names: Iterable[str], parallel: int
+) -> None:
+    """Independent jobs side by side, so that small tables do not leave the cluster idle in turn.
+
+    Local properties of the caller (job group, scheduler pool) reach every thread. The first failure
+    is raised.
+    """
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(inheritable_thread_target(spark)(work), names))

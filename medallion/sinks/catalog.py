@@ -20,7 +20,7 @@ def register_table(spark: SparkSession, database: str, table: str, path: str) ->
     """Table over existing files; partitions present there are added."""
     name = _name(database, table)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING PARQUET LOCATION '{path}'")
-    if spark.catalog.listColumns(name) and any(c.isPartition for c in spark.catalog.listColumns(name)):
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 

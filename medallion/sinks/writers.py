@@ -53,23 +53,31 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> No
 
 
 def write_gold(
-    df: DataFrame, path: str, order_by: list[str] | None = None, total_order: bool = False
+    df: DataFrame,
+    path: str,
+    order_by: list[str] | None = None,
+    leave_out: list[str] | None = None,
+    total_order: bool = False,
 ) -> None:
     """A gold table, replaced. Sorted within files by `order_by`, which needs no shuffle.
 
-    `total_order` sorts across files too (a range exchange). Give a unique last column: rows of one
-    hot key can then be cut into several ranges.
+    `total_order` sorts across files too (a range exchange). Order by a unique last column: rows of
+    one hot key can then be cut into several ranges. Columns in `leave_out` serve the order only.
     """
     if order_by:
         df = df.orderBy(*order_by) if total_order else df.sortWithinPartitions(*order_by)
-    _static(df, "overwrite").parquet(path)
+    _static(df.drop(*(leave_out or [])), "overwrite").parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system that holds `path`, with the path in its own type. Metadata only."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
 def child_directories(spark: SparkSession, path: str) -> dict[str, str]:
-    """Names and paths of the directories below `path`, on whichever file system holds it."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Names and paths of the directories below `path`."""
+    fs, root = _file_system(spark, path)
     if not fs.exists(root):
         return {}
     return {
@@ -79,10 +87,15 @@ def child_directories(spark: SparkSession, path: str) -> dict[str, str]:
 
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether a write to `path` has finished."""
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    fs, marker = _file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def directory_bytes(spark: SparkSession, path: str) -> int:
+    fs, directory = _file_system(spark, path)
+    return fs.getContentSummary(directory).getLength()
 
 
 def remove_directory(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, directory = _file_system(spark, path)
+    fs.delete(directory, True)

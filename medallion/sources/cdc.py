@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.operators.projection import fields_once
 from medallion.operators.upsert import latest
 
 _TEXT = T.StringType()
@@ -43,16 +44,15 @@ def parse_events(df: DataFrame, event: str = "event", seq: str = "seq") -> DataF
     `broken` holds the raw text of an envelope that cannot be read.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-    return df.select(
-        F.from_json(F.col(event), ENVELOPE, options).alias("e"), F.col(seq).alias("seq")
-    ).select(
-        F.col("e.operationType").alias("op"),
-        F.col("e.ns.db").alias("db"),
-        F.col("e.ns.coll").alias("coll"),
-        F.col("e.documentKey._id").alias("key"),
-        F.col("e.fullDocument").alias("document"),
-        "seq",
-        F.col(f"e.{_BROKEN}").alias("broken"),
+    envelopes = fields_once(df, F.from_json(F.col(event), ENVELOPE, options), [seq])
+    return envelopes.select(
+        F.col("operationType").alias("op"),
+        F.col("ns.db").alias("db"),
+        F.col("ns.coll").alias("coll"),
+        F.col("documentKey._id").alias("key"),
+        F.col("fullDocument").alias("document"),
+        F.col(seq).alias("seq"),
+        F.col(_BROKEN).alias("broken"),
     )
 
 

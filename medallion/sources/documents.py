@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.operators.projection import fields_once
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 
@@ -24,9 +26,7 @@ def parse_documents(df: DataFrame, document: str, schema: T.StructType) -> DataF
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     others = [c for c in df.columns if c != document]
-    return df.select(
-        *others, F.from_json(F.col(document), with_corrupt, options).alias("_parsed")
-    ).select(*others, "_parsed.*")
+    return fields_once(df, F.from_json(F.col(document), with_corrupt, options), others)
 
 
 def split_corrupt(parsed: DataFrame) -> Parsed:

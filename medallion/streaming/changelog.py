@@ -8,54 +8,89 @@ changes nothing (the newest version wins either way), so retries and restarts ne
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.operators.upsert import latest, upsert
-from medallion.sinks.writers import batch_path, child_directories, committed, remove_directory, write_batch
+from medallion.operators.upsert import latest, upsert, upsert_by_full_join, upsert_by_union
+from medallion.sinks.bucketed import bucketed_table, write_bucketed
+from medallion.sinks.writers import (
+    child_directories,
+    committed,
+    directory_bytes,
+    remove_directory,
+    write_batch,
+)
+
+# Up to this much log on disk, the snapshot is passed through an anti join that the planner can
+# broadcast; beyond it both sides are shuffled once. The planner's own broadcast threshold decides
+# within the first form. All forms give the same rows.
+SMALL_LOG_BYTES = 10 * 1024 * 1024
 
 
 @dataclass(frozen=True)
 class ChangeLog:
-    """`seq` orders the versions of a key; `keys` are never NULL."""
+    """`seq` orders the versions of a key; `keys` are never NULL.
+
+    With `buckets` (at least the session's shuffle partitions) snapshots are bucketed by key: reading
+    the current table and compacting then shuffle the log only, never the snapshot.
+    """
 
     spark: SparkSession
     path: str
     schema: T.StructType
     keys: list[str]
     seq: list[str]
+    buckets: int | None = None
+    small_log_bytes: int = SMALL_LOG_BYTES
 
     @property
     def _log(self) -> str:
         return f"{self.path}/log"
 
-    def _snapshots(self) -> list[tuple[int, str]]:
+    def _versions(self) -> list[int]:
+        """Versions of finished snapshots, oldest first."""
         found = child_directories(self.spark, f"{self.path}/snapshot").items()
-        numbered = [(int(name.split("=")[1]), path) for name, path in found if name.startswith("v=")]
-        return sorted((v, p) for v, p in numbered if committed(self.spark, p))
+        return sorted(int(name.split("=")[1]) for name, path in found if committed(self.spark, path))
 
     def _batches(self) -> list[str]:
         found = child_directories(self.spark, self._log).values()
         return sorted(p for p in found if committed(self.spark, p))
 
+    def _snapshot_path(self, version: int) -> str:
+        return f"{self.path}/snapshot/v={version}"
+
+    def _snapshot_table(self, version: int) -> str:
+        place = hashlib.sha256(self.path.encode()).hexdigest()[:16]
+        return f"snapshot_{place}_v{version}"
+
     def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def _write_snapshot(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/snapshot/v={version}")
+    def _snapshot(self, version: int) -> DataFrame:
+        path = self._snapshot_path(version)
+        if self.buckets is None:
+            return self._read([path])
+        table = self._snapshot_table(version)
+        return bucketed_table(self.spark, table, path, self.schema, self.keys, self.buckets)
+
+    def _write_snapshot(self, df: DataFrame, clustered: bool) -> None:
+        versions = self._versions()
+        version = versions[-1] + 1 if versions else 0
+        path = self._snapshot_path(version)
+        if self.buckets is None:
+            df.write.mode("overwrite").parquet(path)
+        else:
+            table = self._snapshot_table(version)
+            write_bucketed(df, table, path, self.keys, self.buckets, clustered)
 
     def seed(self, df: DataFrame) -> None:
         """Start from a full load."""
-        self._write_snapshot(df.select(*self.schema.names), self._next_version())
-
-    def _next_version(self) -> int:
-        snapshots = self._snapshots()
-        return snapshots[-1][0] + 1 if snapshots else 0
+        self._write_snapshot(df.select(*self.schema.names), clustered=False)
 
     def append(self, df: DataFrame, batch_id: int) -> None:
         """Log a batch, reduced to its newest version per key."""
@@ -64,12 +99,19 @@ class ChangeLog:
 
     def current(self) -> DataFrame:
         """The table now: one row per key."""
-        snapshots, batches = self._snapshots(), self._batches()
-        if not batches:
-            return self._read([snapshots[-1][1]] if snapshots else [])
-        if not snapshots:
+        versions, batches = self._versions(), self._batches()
+        if not versions:
             return latest(self._read(batches), self.keys, self.seq)
-        return upsert(self._read([snapshots[-1][1]]), self._read(batches), self.keys, self.seq)
+        snapshot = self._snapshot(versions[-1])
+        if not batches:
+            return snapshot
+        return self._merge(batches)(snapshot, self._read(batches), self.keys, self.seq)
+
+    def _merge(self, batches: list[str]):
+        if self.buckets is not None:
+            return upsert_by_full_join
+        log_bytes = sum(directory_bytes(self.spark, path) for path in batches)
+        return upsert if log_bytes <= self.small_log_bytes else upsert_by_union
 
     def compact(self) -> None:
         """Fold the log into a new snapshot, then drop the batches folded.
@@ -79,11 +121,14 @@ class ChangeLog:
         """
         batches = self._batches()
         if batches:
-            self._write_snapshot(self.current(), self._next_version())
+            merged_in_buckets = self.buckets is not None and bool(self._versions())
+            self._write_snapshot(self.current(), clustered=merged_in_buckets)
             for path in batches:
                 remove_directory(self.spark, path)
 
     def vacuum(self) -> None:
         """Drop all snapshots but the newest."""
-        for _, path in self._snapshots()[:-1]:
-            remove_directory(self.spark, path)
+        for version in self._versions()[:-1]:
+            if self.buckets is not None:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._snapshot_table(version)}")
+            remove_directory(self.spark, self._snapshot_path(version))
