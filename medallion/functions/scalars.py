@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Texts that stand for a missing value, and the presentation format of dates.
+# Fixed value: texts that stand for a missing value.
 NULL_WORDS = ("NULL", "None")
-DATE_TEXT_FORMAT = "MM-dd-yyyy HH:mm:ss"
 
 MONEY = "decimal(18,2)"
 
@@ -51,7 +50,14 @@ def parse_timestamp(value: Column, data_type: T.DataType) -> Column:
 
 
 def render_timestamp(value: Column) -> Column:
-    return F.date_format(value, DATE_TEXT_FORMAT)
+    """Timestamp without zone as text `MM-dd-yyyy HH:mm:ss`.
+
+    Rearranged from its plain text: `date_format` would pass through the session time zone, where a
+    local time may not exist.
+    """
+    return F.regexp_replace(
+        value.cast("string"), r"^(.*)-(\d\d)-(\d\d) (\d\d:\d\d:\d\d).*$", "$2-$3-$1 $4"
+    )
 
 
 def money(value: Column) -> Column:

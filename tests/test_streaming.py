@@ -1,0 +1,134 @@
+"""Stream results equal batch results, whatever the split into files, batches and runs."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from medallion.dictionary import DataDictionary
+from medallion.operators.header import HeaderMismatch
+from medallion.operators.quality import good_rows
+from medallion.operators.rules import rules_for
+from medallion.operators.standardize import conform
+from medallion.operators.upsert import latest
+from medallion.queries.catalogue import EVENT_KEYS, EVENT_SEQ, LANDED_EVENTS
+from medallion.queries.derived import change_events, dictionary, dirty_events
+from medallion.streaming.changelog import ChangeLog
+from medallion.streaming.feed import LANDING_SCHEMA, collection_landing, run_feed
+from medallion.streaming.incremental import IncrementalLoad
+
+DAY = date(2024, 1, 1)
+
+
+def incremental(spark, root):
+    return IncrementalLoad(
+        spark, dictionary(), "events", f"{root}/landing", str(root), EVENT_SEQ, DAY, LANDED_EVENTS
+    )
+
+
+def batch_result(spark, sf_dir):
+    df = dirty_events(spark, sf_dir)
+    good = good_rows(df, rules_for(df, dictionary(), "events"))
+    return latest(conform(good, dictionary(), "events"), EVENT_KEYS, EVENT_SEQ)
+
+
+@pytest.mark.parametrize("files,per_batch", [(1, 1), (5, 2)])
+def test_stream_equals_batch(spark, tiny_dir, tmp_path, files, per_batch):
+    load = incremental(spark, tmp_path)
+    dirty_events(spark, tiny_dir).repartition(files).write.parquet(load.landing)
+    load.run(max_files=per_batch)
+    expected = sorted(map(str, batch_result(spark, tiny_dir).collect()))
+    columns = batch_result(spark, tiny_dir).columns
+    assert sorted(map(str, load.current().select(*columns).collect())) == expected
+    bad = dirty_events(spark, tiny_dir).where("event_id % 11 = 0").count()
+    assert load.errors().count() == bad
+    # the same checkpoint again, a batch delivered again, then compaction: nothing changes
+    load.run()
+    load.process_batch(spark.read.schema(LANDED_EVENTS).parquet(load.landing).where("event_id % 5 = 0"), files)
+    load.log.compact()
+    load.log.vacuum()
+    assert sorted(map(str, load.current().select(*columns).collect())) == expected
+    # a lost checkpoint: everything is delivered again under old batch numbers
+    again = IncrementalLoad(
+        spark, dictionary(), "events", load.landing, str(tmp_path), EVENT_SEQ, DAY, LANDED_EVENTS
+    )
+    again.process_batch(spark.read.schema(LANDED_EVENTS).parquet(load.landing), 0)
+    assert sorted(map(str, again.current().select(*columns).collect())) == expected
+
+
+def test_batch_without_good_rows_is_reported_not_applied(spark, tmp_path):
+    load = incremental(spark, tmp_path)
+    rows = spark.createDataFrame([(1, None, 1, "click", "abc", "p")], LANDED_EVENTS)
+    load.process_batch(rows, 0)
+    assert load.current().count() == 0
+    report = {(r["rule"], r["column_name"], r["n_rows"]) for r in load.reports[0].collect()}
+    assert report == {("not_null", "ts", 1), ("type", "value", 1)}
+
+
+def test_documents_with_a_wrong_field_go_to_quarantine(spark, tmp_path):
+    dd = DataDictionary.from_rows(
+        [("c", "id", 1, False, "int", True, "integer"), ("c", "n", 2, False, "int", False, "integer")]
+    )
+    schema = T.StructType().add("document", T.StringType()).add("seq", T.LongType())
+    load = IncrementalLoad(spark, dd, "c", f"{tmp_path}/landing", str(tmp_path), ["seq"], DAY, schema, "document")
+    docs = [('{"id": 1, "n": 5}', 1), ('{"id": 1, "n": 6}', 2), ('{"id": 2, "n": "x"}', 3), ('{"id": 3', 4), (None, 5)]
+    spark.createDataFrame(docs, schema).write.parquet(load.landing)
+    load.run()
+    assert load.current().collect() == [(1, 6)]
+    errors = {(r["seq"], r["rule"]) for r in load.errors().collect()}
+    assert errors == {(3, "corrupt"), (4, "corrupt"), (5, "not_null")}
+
+
+def test_strict_header_stops_the_run(spark, tmp_path):
+    load = incremental(spark, tmp_path)
+    load.strict_header = True
+    with pytest.raises(HeaderMismatch):
+        load.process_batch(spark.createDataFrame([(1,)], "event_id bigint"), 0)
+
+
+def test_feed_to_table(spark, tiny_dir, tmp_path):
+    """Raw events to landing to clean table, and files arriving between runs are taken once."""
+    source, landing = f"{tmp_path}/source", f"{tmp_path}/landing"
+    events = change_events(spark, tiny_dir)
+    for arrival in (0, 1):
+        events.where(F.col("seq") % 2 == arrival).write.mode("append").parquet(source)
+        run_feed(spark, source, landing, f"{tmp_path}/error", f"{tmp_path}/checkpoint", DAY)
+    clicks = spark.read.parquet(collection_landing(landing, "click"))
+    rejected = spark.read.parquet(f"{tmp_path}/error")
+    assert clicks.count() == clicks.select("seq").distinct().count()
+    assert spark.read.parquet(landing).count() + rejected.count() == events.count()
+
+    load = IncrementalLoad(
+        spark, dictionary(), "events", collection_landing(landing, "click"), f"{tmp_path}/click",
+        ["seq"], DAY, LANDING_SCHEMA, "document",
+    )
+    load.run()
+    newest = clicks.select(F.from_json("document", dictionary().schema("events")).alias("d")).select("d.*")
+    expected = latest(conform(newest, dictionary(), "events"), EVENT_KEYS, ["event_id"])
+    assert load.current().count() == expected.count()
+    assert sorted(r["event_id"] for r in load.current().collect()) == sorted(r["event_id"] for r in expected.collect())
+
+
+def test_unfinished_batches_and_snapshots_are_not_read(spark, tmp_path):
+    schema = T.StructType().add("id", T.IntegerType()).add("seq", T.IntegerType())
+    log = ChangeLog(spark, str(tmp_path), schema, ["id"], ["seq"])
+    assert log.current().count() == 0
+    log.append(spark.createDataFrame([(1, 1)], schema), 0)
+    log.append(spark.createDataFrame([(2, 1)], schema), 1)
+    (tmp_path / "log" / "batch_id=1" / "_SUCCESS").unlink()
+    assert log.current().collect() == [(1, 1)]
+    log.compact()
+    log.append(spark.createDataFrame([(1, 5)], schema), 2)
+    log.compact()
+    (tmp_path / "snapshot" / "v=1" / "_SUCCESS").unlink()
+    assert log.current().collect() == [(1, 1)]
+
+
+def test_large_log_takes_the_other_form_with_the_same_result(spark, tmp_path):
+    schema = T.StructType().add("id", T.IntegerType()).add("seq", T.IntegerType())
+    small = ChangeLog(spark, str(tmp_path), schema, ["id"], ["seq"])
+    large = ChangeLog(spark, str(tmp_path), schema, ["id"], ["seq"], small_log_bytes=0)
+    small.seed(spark.createDataFrame([(1, 1), (2, 9)], schema))
+    small.append(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], schema), 0)
+    assert sorted(small.current().collect()) == sorted(large.current().collect()) == [(1, 2), (2, 9), (3, 1)]
