@@ -6,7 +6,7 @@ evaluated together in one pass by `medallion.operators.quality`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,10 @@ from medallion.functions.scalars import is_blank, parse_timestamp
 NULL_ERROR = "NULL Check Failed for Column "
 TYPE_ERROR = "Data Type MisMatch for "
 DATE_ERROR = "Date Parse Failed for Column "
+CORRUPT_ERROR = "Document Cannot Be Read"
+
+# Column that keeps the raw text of a document that does not fit its schema.
+CORRUPT_COLUMN = "_corrupt_record"
 
 
 @dataclass(frozen=True)
@@ -94,3 +98,16 @@ def rules_for(
         else:
             rules.append(type_rule(spec.name, data_type, declared[spec.name].dataType))
     return [r for r in rules if r is not None]
+
+
+def corrupt_rule() -> Rule:
+    return Rule("corrupt", CORRUPT_COLUMN, F.col(CORRUPT_COLUMN).isNotNull(), CORRUPT_ERROR)
+
+
+def document_rules(rules: list[Rule]) -> list[Rule]:
+    """Rules for parsed documents: one that cannot be read is `corrupt` and nothing else.
+
+    Its fields are NULL for want of a value, which must not count as further violations.
+    """
+    corrupt = corrupt_rule()
+    return [corrupt, *(replace(r, broken=~corrupt.broken & r.broken) for r in rules)]

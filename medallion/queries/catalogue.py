@@ -211,7 +211,7 @@ def q_cdc_feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed files to landing directories by a stream; event keys of two collections read back."""
     root = workspace(spark, "feed")
     change_events(spark, sf_dir).write.parquet(f"{root}/source")
-    run_feed(spark, f"{root}/source", f"{root}/landing", f"{root}/error", f"{root}/checkpoint", DAY_1)
+    run_feed(spark, f"{root}/source", f"{root}/landing", f"{root}/checkpoint", DAY_1)
     landed = [
         spark.read.parquet(collection_landing(f"{root}/landing", name)).select(
             F.lit(name).alias("coll"), "op", "key", "seq"

@@ -75,10 +75,10 @@ def look_up_documents(events: DataFrame, collection: DataFrame, key: str, docume
     return events.where(~wanted).unionByName(found.select(*events.columns))
 
 
-def split_events(events: DataFrame) -> Feed:
-    """Events with a document to apply, and the others as error records with a rule.
+def classify_events(events: DataFrame) -> DataFrame:
+    """Events with a `rule` that says why one cannot be applied, NULL for those that can.
 
-    Deletes are not applied (rule `unsupported_op`); an event whose document is gone is
+    Deletes are not applied (`unsupported_op`); an event whose document is gone is
     `missing_document`; an envelope that cannot be read is `corrupt`.
     """
     unreadable = F.col("broken").isNotNull() | F.col("op").isNull() | F.col("coll").isNull()
@@ -87,10 +87,16 @@ def split_events(events: DataFrame) -> Feed:
         .when(~F.col("op").isin(*APPLIED_OPERATIONS), "unsupported_op")
         .when(F.col("document").isNull(), "missing_document")
     )
-    ruled = events.withColumn("rule", rule)
-    good = ruled.where(F.col("rule").isNull()).select(*EVENT_COLUMNS)
-    errors = ruled.where(F.col("rule").isNotNull()).select(*EVENT_COLUMNS, "broken", "rule")
-    return Feed(good, errors)
+    return events.withColumn("rule", rule).select(*EVENT_COLUMNS, "broken", "rule")
+
+
+def split_events(events: DataFrame) -> Feed:
+    """Events with a document to apply, and the others as error records with their rule."""
+    ruled = classify_events(events)
+    return Feed(
+        ruled.where(F.col("rule").isNull()).select(*EVENT_COLUMNS),
+        ruled.where(F.col("rule").isNotNull()),
+    )
 
 
 def post_images(events: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:

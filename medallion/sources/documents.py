@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.projection import fields_once
-
-CORRUPT_COLUMN = "_corrupt_record"
+from medallion.operators.quality import error_records, good_rows
+from medallion.operators.rules import CORRUPT_COLUMN, corrupt_rule
 
 
 class Parsed(NamedTuple):
@@ -31,13 +31,8 @@ def parse_documents(df: DataFrame, document: str, schema: T.StructType) -> DataF
 
 def split_corrupt(parsed: DataFrame) -> Parsed:
     """Readable rows, and broken documents as error records (rule `corrupt`)."""
-    broken = F.col(CORRUPT_COLUMN).isNotNull()
-    rows = parsed.where(~broken).drop(CORRUPT_COLUMN)
-    corrupt = parsed.where(broken).select(
-        *[f"`{c}`" for c in parsed.columns if c != CORRUPT_COLUMN],
-        F.lit("corrupt").alias("rule"),
-        F.lit(None).cast("string").alias("column_name"),
-        F.col(CORRUPT_COLUMN).alias("bad_value"),
-        F.lit("Document Cannot Be Read").alias("error_desc"),
+    rules = [corrupt_rule()]
+    return Parsed(
+        good_rows(parsed, rules).drop(CORRUPT_COLUMN),
+        error_records(parsed, rules).drop(CORRUPT_COLUMN),
     )
-    return Parsed(rows, corrupt)

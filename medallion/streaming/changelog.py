@@ -14,9 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from medallion.operators.quality import has_rows
 from medallion.operators.upsert import latest, upsert, upsert_by_full_join, upsert_by_union
 from medallion.sinks.bucketed import bucketed_table, write_bucketed
 from medallion.sinks.writers import (
+    batch_path,
     child_directories,
     committed,
     directory_bytes,
@@ -92,10 +94,11 @@ class ChangeLog:
         """Start from a full load."""
         self._write_snapshot(df.select(*self.schema.names), clustered=False)
 
-    def append(self, df: DataFrame, batch_id: int) -> None:
-        """Log a batch, reduced to its newest version per key."""
+    def append(self, df: DataFrame, batch_id: int) -> bool:
+        """Log a batch, reduced to its newest version per key. Returns whether it had any rows."""
         rows = latest(df.select(*self.schema.names), self.keys, self.seq)
         write_batch(rows, self._log, batch_id)
+        return has_rows(self._read([batch_path(self._log, batch_id)]))
 
     def current(self) -> DataFrame:
         """The table now: one row per key."""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.sinks.writers import with_part_date, write_batch
-from medallion.sources.cdc import look_up_documents, parse_events, split_events
+from medallion.sources.cdc import classify_events, look_up_documents, parse_events
 from medallion.sources.readers import stream_files
 
 _TEXT = T.StringType()
@@ -22,27 +23,30 @@ LANDING_SCHEMA = (
 def land_events(
     raw: DataFrame,
     landing: str,
-    errors: str,
     batch_id: int,
     as_of: date,
     collection: DataFrame | None = None,
     key: str = "_id",
     document: str = "document",
 ) -> None:
-    """A batch of raw events to `<landing>/batch_id=<n>/coll=<name>/`, the unusable ones to errors."""
+    """Raw events to `<landing>/batch_id=<n>/status=<usable|rejected>/coll=<name>/`.
+
+    Envelopes are parsed once, and one write routes every event by status and collection; rejected
+    ones keep their rule and, if unreadable, their text. With `collection`, absent documents are
+    looked up there.
+    """
     events = parse_events(raw)
     if collection is not None:
         events = look_up_documents(events, collection, key, document)
-    good, bad = split_events(events)
-    write_batch(with_part_date(good, as_of), landing, batch_id, "coll")
-    write_batch(with_part_date(bad, as_of), errors, batch_id)
+    status = F.when(F.col("rule").isNull(), "usable").otherwise("rejected")
+    routed = classify_events(events).withColumn("status", status)
+    write_batch(with_part_date(routed, as_of), landing, batch_id, "status", "coll")
 
 
 def run_feed(
     spark: SparkSession,
     source: str,
     landing: str,
-    errors: str,
     checkpoint: str,
     as_of: date,
     max_files: int | None = None,
@@ -54,7 +58,7 @@ def run_feed(
         max_files=max_files, max_bytes=max_bytes,
     )
     query = (
-        stream.writeStream.foreachBatch(lambda df, n: land_events(df, landing, errors, n, as_of))
+        stream.writeStream.foreachBatch(lambda df, n: land_events(df, landing, n, as_of))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -63,5 +67,10 @@ def run_feed(
 
 
 def collection_landing(landing: str, collection: str) -> str:
-    """Path pattern of one collection's files over all batches, for a file stream."""
-    return f"{landing}/batch_id=*/coll={collection}"
+    """Path pattern of one collection's files over all batches, for a reader or a file stream."""
+    return f"{landing}/batch_id=*/status=usable/coll={collection}"
+
+
+def read_rejected(spark: SparkSession, landing: str) -> DataFrame:
+    """Rejected events of all batches; files of usable ones are not scanned."""
+    return spark.read.parquet(landing).where(F.col("status") == "rejected")

@@ -5,24 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.dictionary import DataDictionary
 from medallion.operators.header import HeaderMismatch, IGNORED_COLUMNS, PARTITION_COLUMN, header_differences
-from medallion.operators.quality import error_report, has_rows, split
-from medallion.operators.rules import rules_for
-from medallion.operators.setops import union_all
+from medallion.operators.quality import error_report, split
+from medallion.operators.rules import CORRUPT_COLUMN, document_rules, rules_for
 from medallion.operators.standardize import conform
 from medallion.sinks.writers import batch_path, with_part_date, write_batch
-from medallion.sources.documents import parse_documents, split_corrupt
+from medallion.sources.documents import parse_documents
 from medallion.sources.readers import stream_files
 from medallion.streaming.changelog import ChangeLog
 
-SEQ_COLUMN = "_seq"
-
 
 @dataclass
 class IncrementalLoad:
@@ -31,6 +26,7 @@ class IncrementalLoad:
     `root` holds the table's bronze, error, log and checkpoint directories. Landing files hold the
     table's columns, or with `document` a JSON column to parse by the dictionary. `seq` are the
     columns that order versions of a key; columns of `seq` outside the dictionary are carried along.
+    `buckets` is the change log's.
     """
 
     spark: SparkSession
@@ -44,6 +40,7 @@ class IncrementalLoad:
     document: str | None = None
     match: str = "contains"
     strict_header: bool = False
+    buckets: int | None = None
     reports: list[DataFrame] = field(default_factory=list)
 
     @property
@@ -55,37 +52,41 @@ class IncrementalLoad:
         clean = self.dictionary.schema(self.table, typed_dates=True)
         extra = [self.landing_schema[c] for c in self.seq if c not in clean.names]
         schema = T.StructType([*clean.fields, *extra])
-        return ChangeLog(self.spark, f"{self.root}/silver", schema, self.keys, self.seq)
+        path = f"{self.root}/silver"
+        return ChangeLog(self.spark, path, schema, self.keys, self.seq, self.buckets)
 
     def errors(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/error")
 
+    def _check_header(self, rows: DataFrame) -> None:
+        missing, unexpected = header_differences(rows, self.dictionary, self.table)
+        missing = [c for c in missing if c != PARTITION_COLUMN]
+        unexpected = [c for c in unexpected if c not in (*self.seq, CORRUPT_COLUMN)]
+        if self.strict_header and (missing or unexpected):
+            raise HeaderMismatch(f"{self.table}: missing {missing}, unexpected {unexpected}")
+
     def process_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Bronze copy, checks, quarantine, upsert. Every write is the batch's own directory."""
-        batch = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_batch(with_part_date(batch.drop(PARTITION_COLUMN), self.as_of), f"{self.root}/bronze", batch_id)
-            rows = batch.drop(PARTITION_COLUMN, *IGNORED_COLUMNS)
-            corrupt = None
-            if self.document:
-                schema = self.dictionary.schema(self.table)
-                rows, corrupt = split_corrupt(parse_documents(rows, self.document, schema))
-            missing, unexpected = header_differences(rows, self.dictionary, self.table)
-            lacking = [c for c in missing if c != PARTITION_COLUMN]
-            extra = [c for c in unexpected if c not in self.seq]
-            if self.strict_header and (lacking or extra):
-                raise HeaderMismatch(f"{self.table}: missing {lacking}, unexpected {extra}")
-            good, errors = split(rows, rules_for(rows, self.dictionary, self.table, self.match))
-            if corrupt is not None:
-                errors = union_all(errors, corrupt)
-            write_batch(with_part_date(errors, self.as_of), f"{self.root}/error", batch_id)
-            if has_rows(good):
-                self.log.append(conform(good, self.dictionary, self.table), batch_id)
-            else:
-                written = self.spark.read.parquet(batch_path(f"{self.root}/error", batch_id))
-                self.reports.append(error_report(written, self.table, self.keys))
-        finally:
-            batch.unpersist()
+        """Bronze copy, checks, quarantine, upsert. Every write is the batch's own directory.
+
+        The checks read the bronze copy, not the stream's frame: it is stored and shared, so neither
+        the two writes that follow nor a lost executor go back to the landing files or to a cache.
+        """
+        arrived = with_part_date(df.drop(PARTITION_COLUMN), self.as_of)
+        write_batch(arrived, f"{self.root}/bronze", batch_id)
+        bronze = batch_path(f"{self.root}/bronze", batch_id)
+        rows = self.spark.read.schema(arrived.schema).parquet(bronze)
+        rows = rows.drop(PARTITION_COLUMN, *IGNORED_COLUMNS)
+        if self.document:
+            rows = parse_documents(rows, self.document, self.dictionary.schema(self.table))
+        self._check_header(rows)
+        rules = rules_for(rows, self.dictionary, self.table, self.match)
+        good, errors = split(rows, document_rules(rules) if self.document else rules)
+        errors = with_part_date(errors.drop(CORRUPT_COLUMN), self.as_of)
+        write_batch(errors, f"{self.root}/error", batch_id)
+        clean = conform(good.drop(CORRUPT_COLUMN), self.dictionary, self.table)
+        if not self.log.append(clean, batch_id):
+            written = self.spark.read.parquet(batch_path(f"{self.root}/error", batch_id))
+            self.reports.append(error_report(written, self.table, self.keys))
 
     def run(self, max_files: int | None = None, max_bytes: str | None = None) -> None:
         """Process everything that has landed since the last run, then stop."""

@@ -15,7 +15,7 @@ from medallion.operators.upsert import latest
 from medallion.queries.catalogue import EVENT_KEYS, EVENT_SEQ, LANDED_EVENTS
 from medallion.queries.derived import change_events, dictionary, dirty_events
 from medallion.streaming.changelog import ChangeLog
-from medallion.streaming.feed import LANDING_SCHEMA, collection_landing, run_feed
+from medallion.streaming.feed import LANDING_SCHEMA, collection_landing, read_rejected, run_feed
 from medallion.streaming.incremental import IncrementalLoad
 
 DAY = date(2024, 1, 1)
@@ -93,11 +93,15 @@ def test_feed_to_table(spark, tiny_dir, tmp_path):
     events = change_events(spark, tiny_dir)
     for arrival in (0, 1):
         events.where(F.col("seq") % 2 == arrival).write.mode("append").parquet(source)
-        run_feed(spark, source, landing, f"{tmp_path}/error", f"{tmp_path}/checkpoint", DAY)
+        run_feed(spark, source, landing, f"{tmp_path}/checkpoint", DAY)
     clicks = spark.read.parquet(collection_landing(landing, "click"))
-    rejected = spark.read.parquet(f"{tmp_path}/error")
+    rejected = read_rejected(spark, landing)
     assert clicks.count() == clicks.select("seq").distinct().count()
-    assert spark.read.parquet(landing).count() + rejected.count() == events.count()
+    assert {r["rule"] for r in rejected.collect()} == {"corrupt", "unsupported_op", "missing_document"}
+    everything = spark.read.parquet(landing)
+    assert everything.count() == events.count()
+    usable = everything.where("status = 'usable'")
+    assert usable.count() + rejected.count() == events.count() and usable.where("rule is not null").count() == 0
 
     load = IncrementalLoad(
         spark, dictionary(), "events", collection_landing(landing, "click"), f"{tmp_path}/click",
