@@ -20,8 +20,16 @@ class Split(NamedTuple):
 
 
 def any_broken(rules: list[Rule]) -> Column:
-    """True for a bad row. A plain OR: evaluated in generated code, stops at the first hit."""
-    return reduce(lambda a, b: a | b, (r.broken for r in rules), F.lit(False))
+    """True for a bad row. A plain OR: evaluated in generated code, stops at the first hit.
+
+    A required number or flag held as text needs one test instead of two rules': NULL, '' and words
+    for NULL are no numbers either, so a failed cast covers them all. Short conditions matter, since
+    the code generated for a wide table's rules is a single method (see `session.DEFAULTS`).
+    """
+    required = {r.column for r in rules if r.rule == "not_null"}
+    merged = {r.column: r.no_value for r in rules if r.no_value is not None and r.column in required}
+    tests = [r.broken for r in rules if r.column not in merged] + list(merged.values())
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def _violation(rule: Rule) -> Column:
@@ -78,12 +86,11 @@ def has_rows(df: DataFrame) -> bool:
 
 def quality_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Good, bad and all rows, and the number of violations, in one scan."""
-    bad = any_broken(rules)
     violations = reduce(lambda a, b: a + b, (r.broken.cast("int") for r in rules), F.lit(0))
     return df.agg(
         F.count("*").alias("n_rows"),
-        F.count_if(~bad).alias("n_good"),
-        F.count_if(bad).alias("n_bad"),
+        F.count_if(violations == 0).alias("n_good"),
+        F.count_if(violations > 0).alias("n_bad"),
         F.coalesce(F.sum(violations), F.lit(0)).cast("bigint").alias("n_violations"),
     )
 

@@ -27,10 +27,13 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 @dataclass(frozen=True)
 class Rule:
+    """`no_value`, on type rules of text columns: true for a value that is missing or does not fit."""
+
     rule: str
     column: str
     broken: Column
     error_desc: str
+    no_value: Column | None = None
 
 
 def not_null_rule(column: str, data_type: T.DataType, match: str = "contains") -> Rule:
@@ -59,9 +62,12 @@ def type_rule(column: str, actual: T.DataType, declared: T.DataType) -> Rule | N
     castable = isinstance(actual, (T.StringType, T.NumericType, T.BooleanType))
     fits = (value if castable else value.cast("string")).try_cast(declared).isNotNull()
     broken = value.isNotNull() & ~fits
+    no_value = None
     if isinstance(actual, T.StringType):
         broken = broken & (value != "")
-    return Rule("type", column, broken, TYPE_ERROR + column)
+        if isinstance(declared, (T.NumericType, T.BooleanType)):
+            no_value = ~fits
+    return Rule("type", column, broken, TYPE_ERROR + column, no_value)
 
 
 def date_rule(column: str, actual: T.DataType) -> Rule | None:
@@ -110,4 +116,8 @@ def document_rules(rules: list[Rule]) -> list[Rule]:
     Its fields are NULL for want of a value, which must not count as further violations.
     """
     corrupt = corrupt_rule()
-    return [corrupt, *(replace(r, broken=~corrupt.broken & r.broken) for r in rules)]
+
+    def gated(condition: Column | None) -> Column | None:
+        return None if condition is None else ~corrupt.broken & condition
+
+    return [corrupt, *(replace(r, broken=gated(r.broken), no_value=gated(r.no_value)) for r in rules)]

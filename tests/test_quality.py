@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from medallion.dictionary import DataDictionary
 from medallion.functions.scalars import amount_excluding_tax, later_of, tax_amount
 from medallion.operators.quality import (
+    any_broken,
     error_records,
     error_report,
     fill_nulls,
@@ -115,6 +116,34 @@ def test_null_flag_passes_unless_asked_for(spark):
     assert good_rows(df, rules_for(df, DD, "t", include_flags=True)).count() == 0
 
 
+NUMBERS_AS_TEXT = ["7", " 7 ", "abc", "3.7", "3000000000", None, "", "NULL", "xNone", "NaN", "true", "1e3", "  "]
+
+
+@pytest.mark.parametrize("declared", ["integer", "double", "boolean", "bigint", "decimal(10,2)"])
+@pytest.mark.parametrize("match", ["contains", "exact"])
+def test_merged_test_of_a_required_number_equals_its_two_rules(spark, declared, match):
+    dd = DataDictionary.from_rows([("t", "c", 1, False, "x", True, declared)])
+    df = spark.createDataFrame([(t,) for t in NUMBERS_AS_TEXT], "c string")
+    rules = rules_for(df, dd, "t", match)
+    assert [r.rule for r in rules] == ["not_null", "type"] and rules[1].no_value is not None
+    merged = [r[0] for r in df.where(any_broken(rules)).collect()]
+    assert merged == [r[0] for r in df.where(rules[0].broken | rules[1].broken).collect()]
+    assert good_rows(df, rules).count() + len(merged) == len(NUMBERS_AS_TEXT)
+    # one rule alone is not widened
+    assert df.where(any_broken(rules[1:])).count() == df.where(rules[1].broken).count()
+
+
+def test_rules_of_a_wide_table_stay_in_a_method_the_jvm_compiles(spark, tmp_path):
+    kinds = [("int", "integer"), ("nvarchar", "string"), ("decimal", "double"), ("datetime2", "string")]
+    dd = DataDictionary.from_rows([("t", f"c{i}", i, False, kinds[i % 4][0], i == 0, kinds[i % 4][1]) for i in range(20)])
+    spark.range(10).selectExpr(*[f"cast(id as string) as c{i}" for i in range(20)]).write.parquet(str(tmp_path / "w"))
+    df = spark.read.parquet(str(tmp_path / "w"))
+    execution = good_rows(df, rules_for(df, dd, "t"))._jdf.queryExecution()
+    codes = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(execution.executedPlan())
+    sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+    assert sizes and max(sizes) < 8000
+
+
 def test_no_rules(spark):
     df = spark.range(3)
     good, errors = split(df, [])
