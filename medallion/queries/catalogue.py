@@ -295,6 +295,12 @@ def q_stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.errors().select("event_id", "rule", "column_name", "bad_value", "part_date")
 
 
+def q_stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze copy: everything that arrived, good or bad, under its batch."""
+    load = _landed_in_two_runs(spark, sf_dir)
+    return spark.read.parquet(f"{load.root}/bronze").select("event_id", "value", "part_date", "batch_id")
+
+
 def q_stream_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `upsert_stream`, with a run that finds nothing, a batch delivered twice, and a compaction."""
     load = _landed_in_two_runs(spark, sf_dir)
@@ -330,6 +336,15 @@ def q_landing_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals of a table, the second with a column more, read as one."""
+    path = workspace(spark, "drift")
+    orders = table(spark, sf_dir, "orders")
+    append_landing(orders.where("o_orderstatus = 'F'").drop("o_orderpriority"), path, DAY_1)
+    append_landing(orders.where("o_orderstatus <> 'F'"), path, DAY_2)
+    return read_table(spark, path, merge_schema=True)
+
+
 def q_ingest_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = Layers(workspace(spark, "ingest"))
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -383,6 +398,14 @@ def _gold(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.build(name, SilverTables(spark, sf_dir))
 
 
+def q_gold_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales written in total order of invoice and line, and read back."""
+    path = workspace(spark, "ordered")
+    tables = SilverTables(spark, sf_dir)
+    gold.build_all(spark, tables, path, ["Sales"], total_order=True)
+    return read_table(spark, f"{path}/Sales")
+
+
 def q_gold_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All gold tables written, registered by directory and counted by catalog name."""
     root = workspace(spark, "gold")
@@ -442,10 +465,12 @@ QUERIES: dict[str, Query] = {
     "upsert_bucketed": q_upsert_bucketed,
     "upsert_stream": q_upsert_stream,
     "stream_errors": q_stream_errors,
+    "stream_bronze": q_stream_bronze,
     "stream_rerun_idempotent": q_stream_rerun,
     "bronze_roundtrip": q_bronze_roundtrip,
     "full_reload_overwrite": q_full_reload,
     "landing_append": q_landing_append,
+    "schema_drift": q_schema_drift,
     "ingest_all_counts": q_ingest_all_counts,
     "silver_load": q_silver_load,
     "error_day_scan": q_error_day_scan,
@@ -462,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "fact_purchase": partial(_gold, "Purchase"),
     "fact_sales": partial(_gold, "Sales"),
     "fact_transactions": partial(_gold, "Transactions"),
+    "gold_ordered": q_gold_ordered,
     "gold_catalog_counts": q_gold_catalog_counts,
     "clean_order_lines": q_clean_order_lines,
 }

@@ -279,12 +279,20 @@ from applied where not bare and event_type in ('click', 'view')""",
     "stream_errors": """
 select event_id, 'type' as rule, 'value' as column_name, 'abc' as bad_value, date '2024-03-01' as part_date
 from events where event_id % 11 = 0""",
+    "stream_bronze": """
+select event_id, case when event_id % 11 = 0 then 'abc' else cast(cast(value as decimal(18,2)) as varchar) end
+       as value, date '2024-03-01' as part_date, cast(event_id % 2 as int) as batch_id
+from events""",
     "stream_rerun_idempotent": _CURRENT_STREAM,
     "bronze_roundtrip": "select *, date '2024-03-01' as part_date from customer",
     "full_reload_overwrite": "select *, date '2024-03-02' as part_date from orders where o_orderstatus <> 'F'",
     "landing_append": """
 select *, case when event_id % 2 = 0 then date '2024-03-01' else date '2024-03-02' end as part_date
 from events""",
+    "schema_drift": """
+select * exclude (o_orderpriority), case when o_orderstatus <> 'F' then o_orderpriority end as o_orderpriority,
+       case when o_orderstatus = 'F' then date '2024-03-01' else date '2024-03-02' end as part_date
+from orders""",
     "ingest_all_counts": " union all ".join(
         _count(n)
         for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -300,6 +308,7 @@ select o_custkey, nullif(o_orderstatus, 'P') from orders where o_totalprice > 40
 select c_custkey as party_key, c_name as name, c_mktsegment as segment from customer
 union all select s_suppkey, s_name, null from supplier""",
     **_GOLD,
+    "gold_ordered": _GOLD["fact_sales"],
     "gold_catalog_counts": " union all ".join(
         f"select '{name}_gold' as table_name, count(*) as n_rows from ({_GOLD[key]})"
         for name, key in _GOLD_NAMES.items()

@@ -34,12 +34,24 @@ def write_errors(errors: DataFrame, path: str, as_of: date) -> None:
     _static(errors, "overwrite").parquet(f"{path}/{PARTITION_COLUMN}={as_of.isoformat()}")
 
 
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a directory-to-be brought together in files of the advisory size.
+
+    Without it every task writes a file into every directory it has rows for. Adaptive execution
+    merges small partitions and splits large ones, so a directory with most of the rows is still
+    written by many tasks.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def append_landing(df: DataFrame, path: str, as_of: date, route: str | None = None) -> None:
     """Add arrivals to a landing directory; files of earlier arrivals stay.
 
     With `route`, one pass writes a directory per value of that column (one per collection).
     """
-    columns = [route, PARTITION_COLUMN] if route else [PARTITION_COLUMN]
+    columns = [PARTITION_COLUMN]
+    if route:
+        df, columns = rebalanced(df, route), [route, PARTITION_COLUMN]
     with_part_date(df, as_of).write.mode("append").partitionBy(*columns).parquet(path)
 
 

@@ -70,7 +70,7 @@ def stream_files(
     schema: T.StructType,
     fmt: str = "parquet",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Files of a directory as a stream. The schema is declared, so drift cannot change it mid-run.
 

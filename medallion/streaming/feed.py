@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.sinks.writers import with_part_date, write_batch
+from medallion.sinks.writers import rebalanced, with_part_date, write_batch
 from medallion.sources.cdc import classify_events, look_up_documents, parse_events
 from medallion.sources.readers import stream_files
 
@@ -40,6 +40,7 @@ def land_events(
         events = look_up_documents(events, collection, key, document)
     status = F.when(F.col("rule").isNull(), "usable").otherwise("rejected")
     routed = classify_events(events).withColumn("status", status)
+    routed = rebalanced(routed, "status", "coll")
     write_batch(with_part_date(routed, as_of), landing, batch_id, "status", "coll")
 
 
@@ -50,7 +51,7 @@ def run_feed(
     checkpoint: str,
     as_of: date,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> None:
     """Land every event file that arrived since the last run, then stop."""
     stream = stream_files(

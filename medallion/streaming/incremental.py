@@ -88,7 +88,7 @@ class IncrementalLoad:
             written = self.spark.read.parquet(batch_path(f"{self.root}/error", batch_id))
             self.reports.append(error_report(written, self.table, self.keys))
 
-    def run(self, max_files: int | None = None, max_bytes: str | None = None) -> None:
+    def run(self, max_files: int | None = None, max_bytes: int | None = None) -> None:
         """Process everything that has landed since the last run, then stop."""
         stream = stream_files(
             self.spark, self.landing, self.landing_schema, max_files=max_files, max_bytes=max_bytes

@@ -57,6 +57,15 @@ def test_stream_equals_batch(spark, tiny_dir, tmp_path, files, per_batch):
     assert sorted(map(str, again.current().select(*columns).collect())) == expected
 
 
+def test_batches_limited_by_bytes(spark, tiny_dir, tmp_path):
+    load = incremental(spark, tmp_path)
+    dirty_events(spark, tiny_dir).repartition(4).write.parquet(load.landing)
+    load.run(max_bytes=1)
+    batches = spark.read.parquet(f"{tmp_path}/bronze").select("batch_id").distinct().count()
+    assert batches > 1
+    assert load.current().count() == batch_result(spark, tiny_dir).count()
+
+
 def test_batch_without_good_rows_is_reported_not_applied(spark, tmp_path):
     load = incremental(spark, tmp_path)
     rows = spark.createDataFrame([(1, None, 1, "click", "abc", "p")], LANDED_EVENTS)
