@@ -19,6 +19,8 @@ from medallion.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: DuckDB SQL of the queries that SQL expresses, over the same tables.
+ORACLE_SQL: dict[str, str] = {}
 
 
 def _registered(query: Query) -> Query:
