@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from medallion.llm.common import read_table, share_checkout
 from medallion.llm.fingerprints import edited_fingerprints
 from medallion.llm.jaccard_join import jaccard_components
+from medallion.llm.line_dedup import line_report
 from medallion.llm.mixing import mix
 from medallion.llm.packing import pack
 from medallion.llm.quality import quality_scores
@@ -68,3 +69,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(read_table(spark, sf_dir, "documents"))
