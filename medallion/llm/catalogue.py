@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import read_table, share_checkout
 from medallion.llm.fingerprints import edited_fingerprints
+from medallion.llm.html_text import main_texts
 from medallion.llm.jaccard_join import jaccard_components
 from medallion.llm.line_dedup import line_report
 from medallion.llm.mixing import mix
 from medallion.llm.packing import pack
 from medallion.llm.quality import quality_scores
 from medallion.llm.secret_scan import secret_scan
+from medallion.llm.topk_search import quantised, top_k
 from medallion.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +76,33 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantised(read_table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@_registered
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op2_topk_search"] = """
+WITH whole AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), parts AS (
+    SELECT vec_id, unnest(range(len(embedding))) AS place,
+           CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+    FROM whole
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM parts q JOIN parts c ON q.place = c.place AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 20
+"""
