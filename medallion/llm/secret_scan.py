@@ -34,7 +34,9 @@ _CODE[[ord(c) for c in LETTERS]] = np.arange(len(LETTERS))
 _START = len(LETTERS)
 _WIDTH = len(LETTERS) + 1
 _WORD = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
-_LONG = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+LEAST_CHARS = 16
+_LONG = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LEAST_CHARS},}}")
+_NO_DIGIT = re.compile(r"[^0-9]*")
 
 #: Documents that the models are trained on, in expectation; the whole table if it has no more.
 TRAIN_DOCUMENTS = 20_000
@@ -90,6 +92,7 @@ def transition_counts(documents: DataFrame, of: int = TRAIN_DOCUMENTS) -> DataFr
                 if spans:
                     add(1, list({text[s[3] : s[2]] for s in spans}))
                 words = {m.group() for m in _outside(_WORD, text, spans)}
+                words = {w for w in words if len(w) < LEAST_CHARS or _NO_DIGIT.fullmatch(w)}
                 if words:
                     add(0, sorted(words))
         kind, step = np.nonzero(counts)
@@ -99,19 +102,24 @@ def transition_counts(documents: DataFrame, of: int = TRAIN_DOCUMENTS) -> DataFr
     return counted.groupBy("kind", "step").agg(F.sum("n").alias("n"))
 
 
-def log_ratios(counts: pd.DataFrame, smooth: float = 0.5) -> np.ndarray | None:
-    """Log-likelihood ratio of every step, random against identifier; None without samples of both."""
+def log_ratios(counts: pd.DataFrame, smooth: float = 4.0) -> np.ndarray | None:
+    """Log-likelihood ratio of every step, random against identifier; None without samples of both.
+
+    A step's probability is smoothed towards how frequent the second character is in all samples of the kind.
+    """
     n = np.zeros((2, _WIDTH * _WIDTH))
     n[counts["kind"], counts["step"]] = counts["n"]
     if not n.sum(1).all():
         return None
-    n = n.reshape(2, _WIDTH, _WIDTH)[:, :, :-1] + smooth
-    p = np.log(n / n.sum(2, keepdims=True))
-    return np.pad(p[0 + 1] - p[0], ((0, 0), (0, 1)))
+    n = n.reshape(2, _WIDTH, _WIDTH)[:, :, :-1]
+    alone = n.sum(1, keepdims=True) + 0.5
+    alone /= alone.sum(2, keepdims=True)
+    p = np.log((n + smooth * alone) / (n.sum(2, keepdims=True) + smooth))
+    return np.pad(p[1] - p[0], ((0, 0), (0, 1)))
 
 
 def random_spans(text: str, base: list, ratios: np.ndarray | None) -> list[tuple[int, int, int, int]]:
-    """Strings of 16 characters and more, outside the base spans, that the models call random."""
+    """Strings of LEAST_CHARS and more, outside the base spans, that the models call random."""
     out = []
     for m in _outside(_LONG, text, base) if ratios is not None else ():
         codes = _codes(m.group())
