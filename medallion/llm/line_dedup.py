@@ -79,7 +79,7 @@ def line_keys(texts: list[str], most: int, least: int) -> Iterator[pd.DataFrame]
     `line` is a hash of the line, its last bit is 1 for probes; `letters` holds sixteen 4-bit counts of
     characters. A hash is a polynomial over the code points, so keys of all lines come from running sums.
     """
-    points = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
     ends = np.append(np.flatnonzero(points == 10), points.size)
     starts = np.append(0, ends[:-1] + 1)
     ok = ends - starts >= least
@@ -141,14 +141,16 @@ def first_occurrences(documents: DataFrame, most: int, least: int) -> DataFrame:
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, ties = batch["doc_id"].astype("Int64"), batch["tie"].to_numpy()
-            for k, text in enumerate(batch["text"]):
-                points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-                line, number = _line_hashes(points, least)
-                if line.size:
-                    yield pd.DataFrame(
-                        {"line": line, "doc_id": pd.array([ids.iloc[k]] * line.size, "Int64"), "tie": ties[k], "line_no": number}
-                    )
+            found = [_line_hashes(np.frombuffer((t or "").encode("utf-32-le"), np.uint32), least) for t in batch["text"]]
+            of = np.repeat(np.arange(len(batch)), [line.size for line, _ in found])
+            yield pd.DataFrame(
+                {
+                    "line": np.concatenate([np.empty(0, np.int64), *(line for line, _ in found)]),
+                    "doc_id": batch["doc_id"].astype("Int64").array[of],
+                    "tie": batch["tie"].to_numpy()[of],
+                    "line_no": np.concatenate([np.empty(0, np.int32), *(number for _, number in found)]),
+                }
+            )
 
     rows = documents.select(*_document(), "text").mapInPandas(each, "line long, doc_id long, tie long, line_no int")
     first = F.min(F.struct("doc_id", "tie", "line_no")).alias("f")
