@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NULL_KEY_SPREAD = 1024
-
 
 def left_lookup(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: list[str]
@@ -14,10 +12,10 @@ def left_lookup(
     """Left outer equi-join whose left key may be NULL in any share of the rows.
 
     A left join must keep rows with a NULL key and would hash all of them to one partition. A second
-    join key, 0 for real keys and taken from `spread_by` for NULL keys, spreads them; they match
-    nothing either way. No hint is set: the planner broadcasts `right` if its size allows.
+    join key, 0 for real keys and an odd hash of `spread_by` for NULL keys, spreads them over all
+    partitions; they match nothing either way. No hint is set: the planner broadcasts `right` if its size allows.
     """
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SPREAD)) + 1
+    spread = F.xxhash64(*spread_by).bitwiseOR(F.lit(1).cast("long"))
     keyed = left.withColumn("_spread", F.when(F.col(left_key).isNull(), spread).otherwise(0))
     # Always 0, but not a literal: that would be folded into a filter and leave a one-column key.
     zero = F.pmod(F.xxhash64(right_key), F.lit(1))

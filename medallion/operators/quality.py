@@ -28,7 +28,9 @@ def any_broken(rules: list[Rule]) -> Column:
     """
     required = {r.column for r in rules if r.rule == "not_null"}
     merged = {r.column: r.no_value for r in rules if r.no_value is not None and r.column in required}
-    tests = [r.broken for r in rules if r.column not in merged] + list(merged.values())
+    covered = ("not_null", "type")
+    tests = [r.broken for r in rules if r.column not in merged or r.rule not in covered]
+    tests += list(merged.values())
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 

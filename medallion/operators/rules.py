@@ -61,6 +61,9 @@ def type_rule(column: str, actual: T.DataType, declared: T.DataType) -> Rule | N
     value = F.col(f"`{column}`")
     castable = isinstance(actual, (T.StringType, T.NumericType, T.BooleanType))
     fits = (value if castable else value.cast("string")).try_cast(declared).isNotNull()
+    if isinstance(declared, (T.FloatType, T.DoubleType)) and isinstance(actual, T.StringType):
+        fits = fits & ~F.isnan(value.try_cast(declared))  # text NaN is a missing value, not a number
+        fits = F.coalesce(fits, F.lit(False))
     broken = value.isNotNull() & ~fits
     no_value = None
     if isinstance(actual, T.StringType):

@@ -30,8 +30,15 @@ def latest(df: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
 def upsert_by_union(
     target: DataFrame, updates: DataFrame, keys: list[str], seq: list[str]
 ) -> DataFrame:
-    """Target and updates together, newest version per key. Shuffles both; needs nothing unique."""
-    return latest(target.unionByName(updates.select(*target.columns)), keys, seq)
+    """Target and updates together, newest version per key. Shuffles both; needs nothing unique.
+
+    At the same `seq` an update goes before the target's row, as in the other forms.
+    """
+    side = "_is_update"
+    both = target.withColumn(side, F.lit(0)).unionByName(
+        updates.select(*target.columns).withColumn(side, F.lit(1))
+    )
+    return latest(both, keys, [*seq, side]).drop(side)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
@@ -90,13 +97,17 @@ def merge_into_table(
 ) -> None:
     """The same upsert on a catalog table whose format supports MERGE (Parquet tables do not).
 
-    Updates are reduced to one row per key first: a merge with two source rows for a key fails.
+    Updates are reduced to one row per key first: a merge with two source rows for a key fails. An
+    update older than the target's row is ignored.
     """
+    not_older = F.struct(*[F.col(f"updates.`{c}`") for c in seq]) >= F.struct(
+        *[F.col(f"{table}.`{c}`") for c in seq]
+    )
     (
         latest(updates, keys, seq)
         .alias("updates")
         .mergeInto(table, merge_condition(keys, table))
-        .whenMatched()
+        .whenMatched(not_older)
         .updateAll()
         .whenNotMatched()
         .insertAll()

@@ -119,7 +119,7 @@ def fact_stock_movement(t: Tables) -> DataFrame:
     return moves.select(
         occurred.cast("date").alias("Date_Key"),
         "StockItemTransactionID", "InvoiceID", "PurchaseOrderID",
-        F.col("Quantity").cast("int").alias("Quantity"),
+        F.col("Quantity").try_cast("int").alias("Quantity"),
         "StockItemID", "CustomerID", "SupplierID", "TransactionTypeID", "TransactionOccurredWhen",
     )
 

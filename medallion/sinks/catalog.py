@@ -17,9 +17,15 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def register_table(spark: SparkSession, database: str, table: str, path: str) -> None:
-    """Table over existing files; partitions present there are added."""
+    """Table over existing files, with the columns and partitions present there now.
+
+    An entry of the same name is replaced, since its files may have been written anew with other
+    columns; that leaves the files alone, as the table is external.
+    """
     name = _name(database, table)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING PARQUET LOCATION '{path}'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.refreshByPath(path)
+    spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{path}'")
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name}")
 

@@ -21,16 +21,10 @@ from medallion.sinks.writers import (
     batch_path,
     child_directories,
     committed,
-    directory_bytes,
     remove_directory,
     write_batch,
 )
 
-# Up to this much log on disk, the snapshot is passed through an anti join that the planner can
-# broadcast; beyond it both sides are shuffled once. The planner's own broadcast threshold decides
-# within the first form. All forms give the same rows.
-SMALL_LOG_BYTES = 10 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class ChangeLog:
@@ -46,7 +40,6 @@ class ChangeLog:
     keys: list[str]
     seq: list[str]
     buckets: int | None = None
-    small_log_bytes: int = SMALL_LOG_BYTES
 
     @property
     def _log(self) -> str:
@@ -108,13 +101,9 @@ class ChangeLog:
         snapshot = self._snapshot(versions[-1])
         if not batches:
             return snapshot
-        return self._merge(batches)(snapshot, self._read(batches), self.keys, self.seq)
-
-    def _merge(self, batches: list[str]):
-        if self.buckets is not None:
-            return upsert_by_full_join
-        log_bytes = sum(directory_bytes(self.spark, path) for path in batches)
-        return upsert if log_bytes <= self.small_log_bytes else upsert_by_union
+        # One form whatever the log's size: the planner broadcasts the updates' keys if they are few.
+        apply = upsert if self.buckets is None else upsert_by_full_join
+        return apply(snapshot, self._read(batches), self.keys, self.seq)
 
     def compact(self) -> None:
         """Fold the log into a new snapshot, then drop the batches folded.

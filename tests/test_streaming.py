@@ -14,6 +14,7 @@ from medallion.operators.standardize import conform
 from medallion.operators.upsert import latest
 from medallion.queries.catalogue import EVENT_KEYS, EVENT_SEQ, LANDED_EVENTS
 from medallion.queries.derived import change_events, dictionary, dirty_events
+from medallion.operators.upsert import upsert, upsert_by_full_join, upsert_by_union
 from medallion.streaming.changelog import ChangeLog
 from medallion.streaming.feed import LANDING_SCHEMA, collection_landing, read_rejected, run_feed
 from medallion.streaming.incremental import IncrementalLoad
@@ -138,10 +139,16 @@ def test_unfinished_batches_and_snapshots_are_not_read(spark, tmp_path):
     assert log.current().collect() == [(1, 1)]
 
 
-def test_large_log_takes_the_other_form_with_the_same_result(spark, tmp_path):
-    schema = T.StructType().add("id", T.IntegerType()).add("seq", T.IntegerType())
-    small = ChangeLog(spark, str(tmp_path), schema, ["id"], ["seq"])
-    large = ChangeLog(spark, str(tmp_path), schema, ["id"], ["seq"], small_log_bytes=0)
-    small.seed(spark.createDataFrame([(1, 1), (2, 9)], schema))
-    small.append(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], schema), 0)
-    assert sorted(small.current().collect()) == sorted(large.current().collect()) == [(1, 2), (2, 9), (3, 1)]
+def test_ties_go_to_the_update_in_every_form(spark, tmp_path):
+    schema = T.StructType().add("id", T.IntegerType()).add("seq", T.IntegerType()).add("v", T.StringType())
+    target = spark.createDataFrame([(k, 1, f"old{k}") for k in range(40)], schema)
+    updates = spark.createDataFrame([(k, 1, f"new{k}") for k in range(20)], schema)
+    want = sorted([(k, 1, f"new{k}") for k in range(20)] + [(k, 1, f"old{k}") for k in range(20, 40)])
+    for form in (upsert, upsert_by_union, upsert_by_full_join):
+        assert sorted(map(tuple, form(target, updates, ["id"], ["seq"]).collect())) == want
+    log = ChangeLog(spark, str(tmp_path), schema, ["id"], ["seq"])
+    log.seed(target)
+    log.append(updates, 0)
+    assert sorted(map(tuple, log.current().collect())) == want
+    log.compact()
+    assert sorted(map(tuple, log.current().collect())) == want
