@@ -1,9 +1,8 @@
 """Exact top-k search by inner product over an impact-ordered index, score at a time.
 
-Vectors are integers. An index shard holds, for every dimension, its vectors in order of impact. A query goes
-through the posting segments of all dimensions by descending contribution to the score and adds up what it has
-seen. It stops only when what unseen segments can add proves that no vector outside a small set can be among
-the best; the set is scored exactly. Queries and vectors are dealt into blocks, and each pair of a shard and a
+Vectors are integers. An index shard holds its components as posting segments by descending impact. Queries go
+through the segments and add up what they have seen. A query stops only when what unseen segments can add or
+take proves that no vector outside a small set can be among the best; the set is scored exactly. Queries and vectors are dealt into blocks, and each pair of a shard and a
 block of queries is a task's work.
 """
 
@@ -17,49 +16,63 @@ from pyspark.sql import functions as F
 K = 20
 SCALE = 64
 SHARD_ROWS, QUERY_ROWS = 8_192, 256
-#: Steps in which a query goes down from the largest contribution to nothing.
-STEPS = 12
+#: Segments, by equal steps from the largest impact down to nothing.
+STEPS = 4
 
 
 class ImpactIndex:
-    """Vectors of one shard, with the order of their impacts in every dimension, highest first."""
+    """Vectors of one shard, cut into posting segments by the size of their components, largest first.
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    A segment holds the components of one band of impacts, as a matrix that is zero elsewhere, so that a block
+    of queries takes a segment in one product.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, steps: int = STEPS):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.order = np.argsort(-self.vectors, axis=0, kind="stable").T.copy()
-        self.impacts = np.take_along_axis(self.vectors, self.order.T, axis=0).T.copy()
-
-    def search(self, query: np.ndarray, own, k: int, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best vectors but the query's own, ties to smaller ids."""
-        n = self.ids.size
-        used = np.flatnonzero(query)
-        runs = []
-        for d in used:
-            impacts, order = self.impacts[d], self.order[d]
-            if query[d] < 0:
-                impacts, order = impacts[::-1], order[::-1]
-            runs.append((impacts * query[d] - impacts[-1] * query[d], order))  # contributions above the least one
-        seen, at = np.zeros(n, np.int64), [0] * len(runs)
-        top = max((int(c[0]) for c, _ in runs), default=0)
-        possible = np.arange(n)
-        best = min(k + 1, n)  # one more: the query itself may be among them
-        for step in range(1, steps + 1):
-            level = top * (steps - step) // steps
-            unseen = 0
-            for r, (gain, order) in enumerate(runs):
-                to = n - int(np.searchsorted(gain[::-1], level, side="left"))
-                seen[order[at[r] : to]] += gain[at[r] : to]
-                at[r] = to
-                unseen += int(gain[to]) if to < n else 0
-            least = np.partition(seen, n - best)[n - best]
-            possible = np.flatnonzero(seen + unseen >= least)
-            if possible.size <= 4 * k:
+        size = np.abs(self.vectors)
+        self.top = int(size.max(initial=0))
+        self.cuts = [self.top * (steps - step) // steps for step in range(1, steps + 1)]
+        self.bands = [self.top, *self.cuts]
+        self.size = size
+
+    def segments(self, exact: type):
+        """(matrix, largest component still unseen) by descending impact."""
+        for high, low in zip(self.bands[:-1], self.cuts):
+            if high > low:
+                yield np.where((self.size <= high) & (self.size > low), self.vectors, 0).astype(exact), low
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query, ids and scores of its k best vectors but its own, ties to smaller ids.
+
+        After each segment a score lies within the query's sum of sizes times the largest unseen component of
+        what was added up. A query is done when that leaves few possible members, or nothing is unseen.
+        """
+        n, best = self.ids.size, min(k + 1, self.ids.size)  # one more: the query itself may be among them
+        weight = np.abs(queries).sum(1)
+        floats = int(weight.max(initial=0)) * self.top < 1 << 53  # then sums of doubles are exact
+        exact = np.float64 if floats else np.int64
+        seen, open_ = np.zeros((len(queries), n), exact), np.arange(len(queries))
+        possible = [np.arange(n)] * len(queries)
+        for matrix, unseen in self.segments(exact):
+            seen[open_] += queries[open_].astype(exact) @ matrix.T
+            still = []
+            for q in open_:
+                slack = int(weight[q]) * unseen
+                least = np.partition(seen[q], n - best)[n - best] - slack
+                possible[q] = np.flatnonzero(seen[q] + slack >= least)
+                if possible[q].size > 4 * k:
+                    still.append(q)
+            open_ = np.array(still, np.int64)
+            if not open_.size:
                 break
-        possible = possible[self.ids[possible] != own]
-        scores = self.vectors[possible] @ query
-        chosen = np.lexsort((self.ids[possible], -scores))[:k]
-        return self.ids[possible[chosen]], scores[chosen]
+        out = []
+        for q, members in enumerate(possible):
+            members = members[self.ids[members] != own[q]]
+            scores = self.vectors[members] @ queries[q]
+            chosen = np.lexsort((self.ids[members], -scores))[:k]
+            out.append((self.ids[members[chosen]], scores[chosen]))
+        return out
 
 
 def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -104,8 +117,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         if len(candidates) and len(asked):
             width = max(candidates["v"].map(len).max(), asked["v"].map(len).max())
             index = ImpactIndex(candidates["vec_id"].to_numpy(), matrix(candidates["v"], width))
-            for own, query in zip(asked["vec_id"], matrix(asked["v"], width)):
-                ids, scores = index.search(query, own, k)
+            own = asked["vec_id"].to_numpy()
+            for own, (ids, scores) in zip(own, index.search(matrix(asked["v"], width), own, k)):
                 out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 

@@ -194,8 +194,7 @@ def test_index_stops_early_only_with_proof():
     vectors = np.floor(64 * rng.normal(0, 0.2, (3000, 16))).astype(np.int64)
     vectors[:30] *= 4
     index = ImpactIndex(np.arange(3000), vectors)
-    for q in range(20):
-        ids, scores = index.search(vectors[q], q, 20)
+    for q, (ids, scores) in enumerate(index.search(vectors[:20], np.arange(20), 20)):
         exact = vectors @ vectors[q]
         exact[q] = -(10**12)
         want = np.lexsort((np.arange(3000), -exact))[:20]
