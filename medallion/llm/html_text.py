@@ -176,15 +176,21 @@ def main_texts(pages: DataFrame, long: int = LONG, group: int = GROUP_PAGES) ->
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
-    large = rows.groupBy("host").agg(F.ceil(F.count("*") / group).cast("int").alias("groups")).where("groups > 1")
-    rows = rows.join(large.withColumnRenamed("host", "its_host"), F.col("host") == F.col("its_host"), "left")
-    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int").alias("part")
-    rows = rows.select("page_id", "url", "html", "host", part)
 
-    def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def closed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             blocks = [page_blocks(page) for page in batch["html"]]
-            out = batch[["page_id", "url", "host", "part"]].copy()
+            alone = [all(kind != OPEN for kind, _ in b) for b in blocks]
+            texts = [" ".join(t for kind, t in b if kind == ARTICLE) for b, ok in zip(blocks, alone) if ok]
+            out = batch.loc[alone, ["page_id", "url"]].astype(object)
+            yield out.assign(text=pd.Series(texts, out.index, dtype=object))
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            blocks = [page_blocks(page) for page in batch["html"]]
+            out = batch[["page_id", "url", "host"]].copy()
+            out["asked"] = [any(kind == OPEN for kind, _ in b) for b in blocks]
+            blocks = [b if ask else [x for x in b if x[0] == AROUND] for b, ask in zip(blocks, out["asked"])]
             out["kinds"] = [[kind for kind, _ in b] for b in blocks]
             out["texts"] = [[text for _, text in b] for b in blocks]
             yield out
@@ -192,10 +198,17 @@ def main_texts(pages: DataFrame, long: int = LONG, group: int = GROUP_PAGES) ->
     def each(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("page_id", kind="stable")
         texts = host_texts([list(zip(k, t)) for k, t in zip(part["kinds"], part["texts"])], long)
-        return pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": texts})
+        out = pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": texts})
+        return out[part["asked"].to_numpy()].astype(object)
 
-    rows = rows.mapInPandas(
-        parsed, "page_id long, url string, host string, part int, kinds array<int>, texts array<string>"
+    # Pages without open text stay where they are read; their surroundings are evidence for the others.
+    alone = rows.mapInPandas(closed, "page_id long, url string, text string")
+    large = rows.groupBy("host").agg(F.ceil(F.count("*") / group).cast("int").alias("groups")).where("groups > 1")
+    streams = rows.mapInPandas(
+        judged, "page_id long, url string, host string, asked boolean, kinds array<int>, texts array<string>"
     )
-    out = rows.groupBy("host", "part").applyInPandas(each, "page_id long, url string, text string")
-    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+    streams = streams.join(large.withColumnRenamed("host", "its_host"), F.col("host") == F.col("its_host"), "left")
+    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int").alias("part")
+    streams = streams.select("page_id", "url", "host", "asked", "kinds", "texts", part)
+    open_ = streams.groupBy("host", "part").applyInPandas(each, "page_id long, url string, text string")
+    return alone.unionByName(open_).withColumn("n_chars", F.char_length("text").cast("long"))
