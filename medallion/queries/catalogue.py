@@ -36,6 +36,9 @@ from medallion.queries.derived import (
     event_documents,
     nested_lines,
     order_documents,
+    SOURCE_TABLES,
+    shared_key_collections,
+    shared_key_events,
     table,
 )
 from medallion.session import workspace
@@ -43,9 +46,9 @@ from medallion.sinks.catalog import create_database, register_gold
 from medallion.sinks.writers import append_landing, write_errors, write_full
 from medallion.sources.cdc import look_up_documents, of_collection, parse_events, post_images, split_events
 from medallion.sources.documents import parse_documents, split_corrupt
-from medallion.sources.readers import read_day, read_table
+from medallion.sources.readers import read_day, read_source, read_table
 from medallion.streaming.changelog import ChangeLog
-from medallion.streaming.feed import collection_landing, run_feed
+from medallion.streaming.feed import read_landed, run_feed
 from medallion.streaming.incremental import IncrementalLoad
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,9 +189,7 @@ def q_cdc_post_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_cdc_lookup_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of all usable events, absent ones looked up in the collection by key."""
-    events = look_up_documents(
-        parse_events(change_events(spark, sf_dir)), event_collection(spark, sf_dir), "_id", "document"
-    )
+    events = look_up_documents(parse_events(change_events(spark, sf_dir)), event_collection(spark, sf_dir))
     documents = split_events(events).events.select("op", "coll", "key", "document")
     parsed = parse_documents(documents, "document", dictionary().schema("events"))
     rows = conform(split_corrupt(parsed).rows, dictionary(), "events")
@@ -196,29 +197,33 @@ def q_cdc_lookup_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cdc_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = look_up_documents(
-        parse_events(change_events(spark, sf_dir)), event_collection(spark, sf_dir), "_id", "document"
-    )
+    events = look_up_documents(parse_events(change_events(spark, sf_dir)), event_collection(spark, sf_dir))
     return split_events(events).errors.select("seq", "op", "key", "rule")
 
 
+def q_cdc_lookup_shared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose keys repeat and occur in several collections: each with the document of its own one."""
+    events = parse_events(shared_key_events(spark, sf_dir))
+    feed = split_events(look_up_documents(events, shared_key_collections(spark, sf_dir)))
+    document_id = F.get_json_object("document", "$.event_id").cast("long").alias("document_id")
+    usable = feed.events.select("seq", "coll", "key", document_id, F.lit(None).cast("string").alias("rule"))
+    return union_all(usable, feed.errors.select("seq", "coll", "key", document_id, "rule"))
+
+
 def q_cdc_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = split_events(parse_events(change_events(spark, sf_dir))).events
     return of_collection(events, "click").select("seq", "op", "db", "key")
 
 
 def q_cdc_feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed files to landing directories by a stream; event keys of two collections read back."""
+    """Feed files to landing directories by a stream that looks documents up; every event read back."""
     root = workspace(spark, "feed")
     change_events(spark, sf_dir).write.parquet(f"{root}/source")
-    run_feed(spark, f"{root}/source", f"{root}/landing", f"{root}/checkpoint", DAY_1)
-    landed = [
-        spark.read.parquet(collection_landing(f"{root}/landing", name)).select(
-            F.lit(name).alias("coll"), "op", "key", "seq"
-        )
-        for name in ("click", "view")
-    ]
-    return union_all(*landed)
+    run_feed(
+        spark, f"{root}/source", f"{root}/landing", f"{root}/checkpoint", DAY_1,
+        current=lambda session: event_collection(session, sf_dir),
+    )
+    return read_landed(spark, f"{root}/landing").select("coll", "op", "key", "seq", "rule")
 
 
 # --- upsert and streaming -----------------------------------------------------------------------
@@ -226,7 +231,7 @@ def q_cdc_feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _target_and_updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """State of the even events, and the odd ones as updates: newer and older ones mixed."""
-    events = table(spark, sf_dir, "events").drop("props")
+    events = table(spark, sf_dir, "events")
     even = F.col("event_id") % 2 == 0
     return latest(events.where(even), EVENT_KEYS, EVENT_SEQ), events.where(~even)
 
@@ -347,8 +352,8 @@ def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ingest_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = Layers(workspace(spark, "ingest"))
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-    ingest_all(spark, lambda name: table(spark, sf_dir, name), names, layers, DAY_1)
+    names = SOURCE_TABLES
+    ingest_all(spark, lambda name: read_source(spark, "parquet", path=f"{sf_dir}/{name}.parquet"), names, layers, DAY_1)
     counts = [
         read_table(spark, layers.bronze(name)).groupBy("part_date").agg(F.count("*").alias("n_rows"))
         .select(F.lit(name).alias("table_name"), "part_date", "n_rows")
@@ -455,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "json_corrupt_quarantine": q_json_corrupt_quarantine,
     "cdc_post_images": q_cdc_post_images,
     "cdc_lookup_images": q_cdc_lookup_images,
+    "cdc_lookup_shared_keys": q_cdc_lookup_shared_keys,
     "cdc_rejected": q_cdc_rejected,
     "cdc_routed": q_cdc_routed,
     "cdc_feed_stream": q_cdc_feed_stream,

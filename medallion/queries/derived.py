@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from medallion.dictionary import DataDictionary
 from medallion.operators.projection import select_once
+from medallion.sources.cdc import current_documents
 
 # (table, column, ordinal, nullable, source type, primary key, declared type)
 DICTIONARY_ROWS = [
@@ -28,6 +29,13 @@ DICTIONARY_ROWS = [
 ]
 
 
+#: Every table of the source.
+SOURCE_TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
+
+
 def dictionary() -> DataDictionary:
     return DataDictionary.from_rows(DICTIONARY_ROWS)
 
@@ -105,12 +113,31 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The current documents of `events`; every eleventh is gone."""
-    return (
-        table(spark, sf_dir, "events")
-        .where(~_every(11, "event_id"))
-        .select(F.col("event_id").alias("_id"), F.to_json(_event_document()).alias("document"))
+    """The current documents of `events` by collection; every eleventh is gone."""
+    rows = table(spark, sf_dir, "events").where(~_every(11, "event_id"))
+    rows = rows.select("event_type", F.col("event_id").alias("_id"), F.to_json(_event_document()).alias("document"))
+    return current_documents(rows, F.lit("shop"), F.col("event_type"), "_id", "document")
+
+
+def shared_key_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of `events` as an update of the document of its user, which each collection has its own of; every
+    other one without document, some without key."""
+    key = F.when(~_every(13, "event_id"), F.col("user_id").cast("string"))
+    envelope = F.struct(
+        F.lit("update").alias("operationType"),
+        F.struct(F.lit("shop").alias("db"), F.col("event_type").alias("coll")).alias("ns"),
+        F.struct(key.alias("_id")).alias("documentKey"),
+        F.when(~_every(2, "event_id"), _event_document()).alias("fullDocument"),
     )
+    return table(spark, sf_dir, "events").select(F.to_json(envelope).alias("event"), F.col("event_id").alias("seq"))
+
+
+def shared_key_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By collection and user the document of the last event; users divisible by eleven have none."""
+    rows = table(spark, sf_dir, "events").where(~_every(11, "user_id"))
+    last = rows.groupBy("event_type", "user_id").agg(F.max("event_id").alias("event_id"))
+    last = last.withColumn("document", F.to_json(F.struct("event_id")))
+    return current_documents(last, F.lit("shop"), F.col("event_type"), "user_id", "document")
 
 
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -184,7 +184,7 @@ _GOLD_NAMES = {
     "Sales": "fact_sales", "Transactions": "fact_transactions",
 }
 
-_NEWEST_OF_ALL = "select * exclude (props) from (" + NEWEST_EVENT.format(where="true") + ")"
+_NEWEST_OF_ALL = NEWEST_EVENT.format(where="true")
 _CURRENT_STREAM = NEWEST_EVENT.format(where="event_id % 11 <> 0")
 
 ORACLE_SQL: dict[str, str] = {
@@ -268,8 +268,21 @@ where bare and event_id % 11 = 0""",
 select event_id as seq, op, 'shop' as db, cast(event_id as varchar) as key
 from applied where not bare and event_type = 'click'""",
     "cdc_feed_stream": f"""with {FEED}
-select event_type as coll, op, cast(event_id as varchar) as key, event_id as seq
-from applied where not bare and event_type in ('click', 'view')""",
+select event_type as coll, op, cast(event_id as varchar) as key, event_id as seq, cast(null as varchar) as rule
+from applied where not bare or event_id % 11 <> 0
+union all select null, null, null, event_id, 'corrupt' from events where event_id % 97 = 0
+union all select event_type, op, cast(event_id as varchar), event_id, 'unsupported_op' from feed where op = 'delete'
+union all select event_type, op, cast(event_id as varchar), event_id, 'missing_document' from applied
+where bare and event_id % 11 = 0""",
+    "cdc_lookup_shared_keys": """
+with newest as (
+    select event_type, user_id, max(event_id) as event_id from events where user_id % 11 <> 0 group by all
+)
+select e.event_id as seq, e.event_type as coll, case when e.event_id % 13 <> 0 then cast(e.user_id as varchar) end as key,
+       case when e.event_id % 2 = 1 then e.event_id else n.event_id end as document_id,
+       case when e.event_id % 2 = 0 and n.event_id is null then 'missing_document' end as rule
+from events e left join newest n
+on e.event_type = n.event_type and e.user_id = n.user_id and e.event_id % 13 <> 0""",
     "latest_version": NEWEST_EVENT.format(where="true"),
     "upsert_batch": _NEWEST_OF_ALL,
     "upsert_by_union": _NEWEST_OF_ALL,
@@ -295,7 +308,10 @@ select * exclude (o_orderpriority), case when o_orderstatus <> 'F' then o_orderp
 from orders""",
     "ingest_all_counts": " union all ".join(
         _count(n)
-        for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+        for n in (
+            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+            "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+        )
     ),
     "silver_load": f"with {GOOD} select *, date '2024-03-01' as part_date from ({TYPED})",
     "error_day_scan": f"""with {VIOLATIONS}

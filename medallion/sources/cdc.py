@@ -6,12 +6,15 @@ an update may carry only the changed fields, then the current document is looked
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.operators.joins import left_lookup
 from medallion.operators.projection import fields_once
 from medallion.operators.upsert import latest
 
@@ -56,23 +59,32 @@ def parse_events(df: DataFrame, event: str = "event", seq: str = "seq") -> DataF
     )
 
 
-def look_up_documents(events: DataFrame, collection: DataFrame, key: str, document: str) -> DataFrame:
-    """Fill missing documents of update events from the collection's current state.
+def current_documents(collection: DataFrame, db: Column, coll: Column, key: str, document: str) -> DataFrame:
+    """The state of one or more collections as (db, coll, key, document), for `look_up_documents`."""
+    return collection.select(
+        db.alias("db"), coll.alias("coll"), F.col(key).cast("string").alias("key"), F.col(document).alias("document")
+    )
+
+
+def _place() -> Column:
+    """Where a document is kept; NULL if any part of that is unknown."""
+    parts = ("db", "coll", "key")
+    known = reduce(and_, [F.col(c).isNotNull() for c in parts])
+    return F.when(known, F.struct(*parts))
+
 
-    One join on the document key instead of one lookup per event. Every event of a key would get
-    the same current document, so events without one are reduced to the newest per key first: a
-    heavily updated document is joined once.
+def look_up_documents(events: DataFrame, current: DataFrame) -> DataFrame:
+    """Fill missing documents of events from the current state of their own collection.
+
+    `current` has (db, coll, key, document), each place once. One left join instead of one lookup per event, and
+    every event stays one row: those that have a document, need none or say no key meet nothing and are
+    spread over all partitions.
     """
     wanted = F.col("document").isNull() & F.col("op").isin(*APPLIED_OPERATIONS)
-    wanted = F.coalesce(wanted, F.lit(False))
-    bare = latest(events.where(wanted), ["db", "coll", "key"], ["seq"])
-    current = collection.select(
-        F.col(key).cast("string").alias("_key"), F.col(document).alias("_document")
-    )
-    found = bare.join(current, F.col("key") == F.col("_key"), "left").withColumn(
-        "document", F.col("_document")
-    )
-    return events.where(~wanted).unionByName(found.select(*events.columns))
+    asking = events.withColumn("_wanted", F.when(wanted, _place()))
+    state = current.select(_place().alias("_place"), F.col("document").alias("_document"))
+    found = left_lookup(asking, state.where(F.col("_place").isNotNull()), "_wanted", "_place", ["seq", "key"])
+    return found.withColumn("document", F.coalesce("document", "_document")).select(*events.columns)
 
 
 def classify_events(events: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +26,17 @@ def land_events(
     landing: str,
     batch_id: int,
     as_of: date,
-    collection: DataFrame | None = None,
-    key: str = "_id",
-    document: str = "document",
+    current: DataFrame | None = None,
 ) -> None:
     """Raw events to `<landing>/batch_id=<n>/status=<usable|rejected>/coll=<name>/`.
 
     Envelopes are parsed once, and one write routes every event by status and collection; rejected
-    ones keep their rule and, if unreadable, their text. With `collection`, absent documents are
-    looked up there.
+    ones keep their rule and, if unreadable, their text. With `current`, the state of the collections
+    (db, coll, key, document), absent documents are looked up there.
     """
     events = parse_events(raw)
-    if collection is not None:
-        events = look_up_documents(events, collection, key, document)
+    if current is not None:
+        events = look_up_documents(events, current)
     status = F.when(F.col("rule").isNull(), "usable").otherwise("rejected")
     routed = classify_events(events).withColumn("status", status)
     routed = rebalanced(routed, "status", "coll")
@@ -52,14 +51,22 @@ def run_feed(
     as_of: date,
     max_files: int | None = None,
     max_bytes: int | None = None,
+    current: Callable[[SparkSession], DataFrame] | None = None,
 ) -> None:
-    """Land every event file that arrived since the last run, then stop."""
+    """Land every event file that arrived since the last run, then stop.
+
+    `current` gives the state of the collections (db, coll, key, document) and is asked for every batch.
+    """
+
+    def land(df: DataFrame, batch_id: int) -> None:
+        land_events(df, landing, batch_id, as_of, current(df.sparkSession) if current else None)
+
     stream = stream_files(
         spark, source, T.StructType.fromDDL("event string, seq bigint"),
         max_files=max_files, max_bytes=max_bytes,
     )
     query = (
-        stream.writeStream.foreachBatch(lambda df, n: land_events(df, landing, n, as_of))
+        stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -67,6 +74,11 @@ def run_feed(
     query.awaitTermination()
 
 
+def read_landed(spark: SparkSession, landing: str) -> DataFrame:
+    """Events of all batches and collections, usable and rejected, told apart by `status`."""
+    return spark.read.parquet(landing)
+
+
 def collection_landing(landing: str, collection: str) -> str:
     """Path pattern of one collection's files over all batches, for a reader or a file stream."""
     return f"{landing}/batch_id=*/status=usable/coll={collection}"
@@ -74,4 +86,4 @@ def collection_landing(landing: str, collection: str) -> str:
 
 def read_rejected(spark: SparkSession, landing: str) -> DataFrame:
     """Rejected events of all batches; files of usable ones are not scanned."""
-    return spark.read.parquet(landing).where(F.col("status") == "rejected")
+    return read_landed(spark, landing).where(F.col("status") == "rejected")

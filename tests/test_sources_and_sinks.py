@@ -10,7 +10,7 @@ from medallion.sinks.catalog import create_database, register_gold
 from medallion.sinks.writers import (
     append_landing, child_directories, write_batch, write_errors, write_full, write_gold,
 )
-from medallion.sources.cdc import look_up_documents, parse_events, split_events
+from medallion.sources.cdc import current_documents, look_up_documents, parse_events, split_events
 from medallion.sources.documents import parse_documents, split_corrupt
 from medallion.sources.readers import jdbc_options, read_day, read_silver, read_source, read_table
 
@@ -220,7 +220,8 @@ EVENTS = [
 def test_events(spark):
     events = parse_events(spark.createDataFrame(EVENTS, "event string, seq bigint"))
     collection = spark.createDataFrame([("2", '{"a": 1, "b": 2}')], "_id string, document string")
-    feed = split_events(look_up_documents(events, collection, "_id", "document"))
+    current = current_documents(collection, F.lit("d"), F.lit("c"), "_id", "document")
+    feed = split_events(look_up_documents(events, current))
     good = {(r["op"], r["db"], r["coll"], r["key"], r["document"], r["seq"]) for r in feed.events.collect()}
     assert good == {
         ("insert", "d", "c", "1", '{"a":{"b":"None of True"}}', 1), ("update", "d", "c", "2", '{"a": 1, "b": 2}', 2),
@@ -230,6 +231,20 @@ def test_events(spark):
     }
 
 
+def test_no_event_is_lost_by_lookup_and_none_gets_another_collections_document(spark):
+    def bare(seq, coll, key):
+        key = f', "documentKey": {{"_id": "{key}"}}' if key else ""
+        return (f'{{"operationType": "update", "ns": {{"db": "d", "coll": "{coll}"}}{key}}}', seq)
+
+    raw = [bare(1, "a", "1"), bare(2, "a", "1"), bare(3, "b", "1"), bare(4, "a", None), bare(5, "a", None), bare(6, "c", "1")]
+    events = parse_events(spark.createDataFrame(raw, "event string, seq bigint"))
+    rows = [("d", "a", "1", "of a"), ("d", "b", "1", "of b"), ("d", "a", None, "none"), ("e", "c", "1", "other db")]
+    current = spark.createDataFrame(rows, "db string, coll string, key string, document string")
+    feed = split_events(look_up_documents(events, current))
+    assert {(r["seq"], r["document"]) for r in feed.events.collect()} == {(1, "of a"), (2, "of a"), (3, "of b")}
+    assert sorted((r["seq"], r["rule"]) for r in feed.errors.collect()) == [(n, "missing_document") for n in (4, 5, 6)]
+
+
 def test_no_event_is_lost_without_lookup(spark):
     feed = split_events(parse_events(spark.createDataFrame(EVENTS, "event string, seq bigint")))
     assert feed.events.count() + feed.errors.count() == len(EVENTS)
