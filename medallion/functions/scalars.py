@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 # Fixed value: texts that stand for a missing value.
 NULL_WORDS = ("NULL", "None")
 
+# A zone or an offset behind a time of day.
+ZONE_AFTER_TIME = r":\d\d(\.\d*)?\s*[A-Za-z+-]"
+
 MONEY = "decimal(18,2)"
 
 
@@ -39,14 +42,17 @@ def is_blank(column: str, data_type: T.DataType, match: str = "contains") -> Col
 def parse_timestamp(value: Column, data_type: T.DataType) -> Column:
     """Source date or datetime as a timestamp without zone (the source types carry none).
 
-    Text that is no date gives NULL. Parsing without a zone keeps the result independent of the
-    session time zone.
+    Text that is no date gives NULL. Text that names a zone or an offset gives the time in UTC; other text is
+    taken as it stands. Neither depends on the session time zone.
     """
     if isinstance(data_type, T.TimestampNTZType):
         return value
     if isinstance(data_type, (T.TimestampType, T.DateType)):
         return value.cast("timestamp_ntz")
-    return value.cast("string").try_cast("timestamp_ntz")
+    text = value.cast("string")
+    seconds = (F.unix_micros(text.try_cast("timestamp")) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    in_utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.when(text.rlike(ZONE_AFTER_TIME), in_utc).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def render_timestamp(value: Column) -> Column:

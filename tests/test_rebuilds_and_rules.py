@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.functions.scalars import parse_timestamp
 from medallion.operators.joins import left_lookup
 from medallion.operators.quality import good_rows
 from medallion.operators.rules import Rule, not_null_rule, type_rule
@@ -36,3 +37,20 @@ def test_null_keys_are_spread_without_a_bound(spark):
     out = left_lookup(left, right, "k", "key", ["id"])
     assert out.count() == 5000 and out.where("v is not null").count() == 0
     assert "pmod(xxhash64(id" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dates_with_an_offset_become_utc_in_any_session_zone(spark):
+    texts = {
+        "2024-01-01T10:00:00+05:00": "2024-01-01 05:00:00", "2024-01-01T10:00:00Z": "2024-01-01 10:00:00",
+        "2024-01-01 10:00:00.5": "2024-01-01 10:00:00.5", "2024-01-05": "2024-01-05 00:00:00",
+        "2024-01-01T10:00:00.123456-02:30": "2024-01-01 12:30:00.123456", "2024-01-01T10:00:00+99:00": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            parsed = parse_timestamp(F.col("t"), T.StringType()).cast("string").alias("p")
+            assert {r.t: r.p for r in df.select("t", parsed).collect()} == texts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
