@@ -4,6 +4,10 @@ A page becomes blocks of text, each of one kind: article, surrounding (menus, fo
 element, class or role) or open. The token streams of all surrounding and open blocks of a host's pages are put
 in a row, and suffixes sorted by their first tokens show which long substrings occur on distinct pages. Open
 text that such substrings cover is boilerplate; its unique runs are kept along with the article.
+
+A large host's array is made in parts of some pages each. Hashes of the parts' distinct long substrings are counted
+over all parts, and each part learns which of its own, not repeated in it, occur in others: the result doesn't
+depend on the parts.
 """
 
 from __future__ import annotations
@@ -14,12 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medallion.llm.common import _STEP, _mix, stored
+
 #: Tokens of a substring that is boilerplate if it occurs on two pages.
 LONG = 8
-#: Pages of a host whose suffixes are sorted together; larger hosts are dealt into groups by a hash.
+#: Pages of a host whose suffixes are sorted together; larger hosts are dealt into parts by a hash.
 GROUP_PAGES = 256
 
 ARTICLE, OPEN, AROUND = 0, 1, 2
@@ -148,13 +155,53 @@ def repeated(tokens: np.ndarray, pages: np.ndarray, long: int = LONG) -> np.ndar
     return covered[:n].cumsum() > 0
 
 
-def host_texts(blocks: list[list[tuple[int, str]]], long: int = LONG) -> list[str]:
-    """Main text of each page of a host (or of a group of its pages) from the pages' blocks."""
-    words = [(p, kind, w) for p, page in enumerate(blocks) for kind, text in page if kind != ARTICLE for w in text.split()]
-    if not any(kind == OPEN for _, kind, _ in words):
+class HostStream:
+    """The tokens of the blocks outside articles of a host's pages (or of a part of them), in a row."""
+
+    def __init__(self, blocks: list[list[tuple[int, str]]]):
+        words = [(p, kind, w) for p, page in enumerate(blocks) for kind, text in page if kind != ARTICLE for w in text.split()]
+        self.words, self.tokens = np.unique(np.array([w for _, _, w in words], object), return_inverse=True)
+        self.pages = np.array([p for p, _, _ in words], np.int64)
+        self.open = np.array([kind == OPEN for _, kind, _ in words], bool)
+
+    def windows(self, long: int) -> tuple[np.ndarray, np.ndarray]:
+        """(start, hash) of every run of `long` tokens within a page."""
+        starts = np.flatnonzero(self.pages[: max(0, self.pages.size - long + 1)] == self.pages[long - 1 :])
+        h, word = np.full(starts.size, long, np.uint64), hash_array(self.words)
+        for j in range(long):
+            h = _mix(h * _STEP + word[self.tokens[starts + j]])
+        return starts, h.view(np.int64)
+
+    def asked(self, long: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes of runs of `long` tokens, and of which other parts have to say whether they occur there:
+        those with open tokens that aren't known to be repeated.
+        """
+        starts, h = self.windows(long)
+        unknown = np.append(0, np.cumsum(self.open & ~repeated(self.tokens, self.pages, long)))
+        h, at = np.unique(h, return_inverse=True)
+        ask = np.zeros(h.size, bool)
+        np.logical_or.at(ask, at, unknown[starts + long] > unknown[starts])
+        return h, ask
+
+    def boilerplate(self, long: int, elsewhere: np.ndarray) -> np.ndarray:
+        """Which tokens lie in a run of `long` ones that another page here has, or whose hash is in `elsewhere`."""
+        hit = repeated(self.tokens, self.pages, long)
+        if elsewhere.size:
+            starts, h = self.windows(long)
+            at = starts[np.isin(h, elsewhere)]
+            hit[(at[:, None] + np.arange(long)).ravel()] = True
+        return hit
+
+
+def host_texts(blocks: list[list[tuple[int, str]]], elsewhere: np.ndarray, long: int = LONG) -> list[str]:
+    """Main text of each page of a host (or of a part of its pages) from the pages' blocks.
+
+    `elsewhere` has the hashes of this part's runs of tokens that occur in other parts of the host.
+    """
+    stream = HostStream(blocks)
+    if not stream.open.any():
         return [" ".join(t for kind, t in page if kind == ARTICLE) for page in blocks]
-    _, tokens = np.unique([w for _, _, w in words], return_inverse=True)
-    covered = iter(repeated(tokens, np.array([p for p, _, _ in words]), long))
+    covered = iter(stream.boilerplate(long, elsewhere))
     out = []
     for page in blocks:
         kept = []
@@ -171,8 +218,8 @@ def host_texts(blocks: list[list[tuple[int, str]]], long: int = LONG) -> list[st
 def main_texts(pages: DataFrame, long: int = LONG, group: int = GROUP_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages.
 
-    Null and empty pages have the empty text. Pages without url form a host of their own, dealt into groups like
-    any large host. Repeated rows are pages of their own. Empty pages tables give no rows.
+    Null and empty pages have the empty text. Pages without url form a host of their own, made in parts like any
+    large host. Repeated rows are pages of their own. Empty pages tables give no rows.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
@@ -195,20 +242,36 @@ def main_texts(pages: DataFrame, long: int = LONG, group: int = GROUP_PAGES) ->
             out["texts"] = [[text for _, text in b] for b in blocks]
             yield out
 
-    def each(part: pd.DataFrame) -> pd.DataFrame:
+    def part_blocks(part: pd.DataFrame) -> list[list[tuple[int, str]]]:
+        return [list(zip(k, t)) for k, t in zip(part["kinds"], part["texts"])]
+
+    def substrings(part: pd.DataFrame) -> pd.DataFrame:
+        h, ask = HostStream(part_blocks(part)).asked(long)
+        return pd.DataFrame({"host": part["host"].iloc[0], "part": part["part"].iloc[0], "h": h, "ask": ask})
+
+    def each(part: pd.DataFrame, elsewhere: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("page_id", kind="stable")
-        texts = host_texts([list(zip(k, t)) for k, t in zip(part["kinds"], part["texts"])], long)
+        texts = host_texts(part_blocks(part), elsewhere["h"].to_numpy(np.int64), long)
         out = pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": texts})
-        return out[part["asked"].to_numpy()].astype(object)
+        return out[part["asked"].to_numpy(bool)].astype(object)
 
     # Pages without open text stay where they are read; their surroundings are evidence for the others.
     alone = rows.mapInPandas(closed, "page_id long, url string, text string")
-    large = rows.groupBy("host").agg(F.ceil(F.count("*") / group).cast("int").alias("groups")).where("groups > 1")
+    large = rows.groupBy("host").agg(F.ceil(F.count("*") / group).cast("int").alias("parts")).where("parts > 1")
     streams = rows.mapInPandas(
         judged, "page_id long, url string, host string, asked boolean, kinds array<int>, texts array<string>"
     )
     streams = streams.join(large.withColumnRenamed("host", "its_host"), F.col("host") == F.col("its_host"), "left")
-    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int").alias("part")
-    streams = streams.select("page_id", "url", "host", "asked", "kinds", "texts", part)
-    open_ = streams.groupBy("host", "part").applyInPandas(each, "page_id long, url string, text string")
+    parts = F.coalesce("parts", F.lit(1)).alias("parts")
+    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
+    streams = stored(streams.select("page_id", "url", "host", "asked", "kinds", "texts", parts, part), "streams")
+
+    found = streams.where("parts > 1").groupBy("host", "part")
+    found = stored(found.applyInPandas(substrings, "host string, part int, h long, ask boolean"), "substrings")
+    # A hash occurs once a part, so one that is there twice is on pages of two parts.
+    shared = found.groupBy("host", "h").agg(F.count("*").alias("n"), F.max("ask").alias("asks"))
+    shared = shared.where("n > 1 and asks").select("host", "h")
+    elsewhere = found.where("ask").join(shared, ["host", "h"], "left_semi").select("host", "part", "h")
+    judged_pages = streams.groupBy("host", "part").cogroup(elsewhere.groupBy("host", "part"))
+    open_ = judged_pages.applyInPandas(each, "page_id long, url string, text string")
     return alone.unionByName(open_).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -48,7 +48,7 @@ class ImpactIndex:
         After each segment a score lies within the query's sum of sizes times the largest unseen component of
         what was added up. A query is done when that leaves few possible members, or nothing is unseen.
         """
-        n, best = self.ids.size, min(k + 1, self.ids.size)  # one more: the query itself may be among them
+        n = self.ids.size
         weight = np.abs(queries).sum(1)
         floats = int(weight.max(initial=0)) * self.top < 1 << 53  # then sums of doubles are exact
         exact = np.float64 if floats else np.int64
@@ -58,9 +58,12 @@ class ImpactIndex:
             seen[open_] += queries[open_].astype(exact) @ matrix.T
             still = []
             for q in open_:
-                slack = int(weight[q]) * unseen
-                least = np.partition(seen[q], n - best)[n - best] - slack
-                possible[q] = np.flatnonzero(seen[q] + slack >= least)
+                slack, others = int(weight[q]) * unseen, self.ids != own[q]
+                rivals = seen[q][others]
+                if rivals.size > k:
+                    least = np.partition(rivals, rivals.size - k)[rivals.size - k] - slack
+                    others &= seen[q] + slack >= least
+                possible[q] = np.flatnonzero(others)
                 if possible[q].size > 4 * k:
                     still.append(q)
             open_ = np.array(still, np.int64)

@@ -189,6 +189,13 @@ def test_top_k_equals_brute_force(spark):
     assert top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_copies_of_a_query_leave_its_rivals_their_places():
+    vectors = np.array([[100, 0]] * 40 + [[k, 1] for k in range(60)])
+    ids = np.array([7] * 40 + list(range(100, 160)))
+    (got, scores), = ImpactIndex(ids, vectors).search(np.array([[100, 0]]), np.array([7]), 5)
+    assert got.tolist() == [159, 158, 157, 156, 155] and scores.tolist() == [5900, 5800, 5700, 5600, 5500]
+
+
 def test_index_stops_early_only_with_proof():
     rng = np.random.default_rng(1)
     vectors = np.floor(64 * rng.normal(0, 0.2, (3000, 16))).astype(np.int64)

@@ -246,6 +246,35 @@ def test_open_text_loses_what_pages_of_a_host_share(spark):
     assert got == {k: f"Story {k} tells of unique{k}." for k in range(9)}
 
 
+def test_parts_of_a_host_judge_as_the_whole_does(spark):
+    rng = np.random.default_rng(4)
+    phrases = [" ".join(f"w{x}" for x in rng.integers(0, 9, rng.integers(6, 12))) for _ in range(40)]
+
+    def page(k):
+        blocks = [phrases[j] for j in rng.integers(0, 40, 3)] + [f"only{k} here"]
+        kinds = [("nav" if rng.random() < 0.3 else "div") for _ in blocks]
+        return "".join(f"<{t}>{b}</{t}>" for t, b in zip(kinds, blocks))
+
+    rows = [(k, f"http://{'big' if k % 3 else 'other'}.example/{k}", page(k)) for k in range(60)]
+    rows += [(61, None, page(61)), (62, None, page(62)), rows[4]]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted((r.page_id, r.text) for r in main_texts(df).collect())
+    streams = {}
+    for n, (k, url, text) in enumerate(rows):
+        words = [(w, kind) for kind, t in page_blocks(text) for w in t.split()]
+        for at in range(len(words) - 7):
+            key = ((url or "").rsplit("/", 1)[0], tuple(w for w, _ in words[at : at + 8]))
+            streams.setdefault(key, []).append((n, at))
+    gone = {(n, at + j) for places in streams.values() if len({n for n, _ in places}) > 1 for n, at in places for j in range(8)}
+    want = []
+    for n, (k, _, text) in enumerate(rows):
+        words = [(w, kind) for kind, t in page_blocks(text) for w in t.split()]
+        want.append((k, " ".join(w for at, (w, kind) in enumerate(words) if kind == 1 and (n, at) not in gone)))
+    assert whole == sorted(want)
+    for group in (1, 2, 7):
+        assert sorted((r.page_id, r.text) for r in main_texts(df, group=group).collect()) == whole
+
+
 def test_repeated_equals_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(60):
