@@ -25,7 +25,7 @@ from medallion.operators.setops import except_distinct, union_all
 from medallion.operators.standardize import conform, standardize_dates
 from medallion.operators.upsert import latest, upsert, upsert_by_full_join, upsert_by_union
 from medallion.plans import gold
-from medallion.plans.initial import Layers, ingest_all, load_silver
+from medallion.plans.initial import Layers, ingest_all, load_silver, register_layers
 from medallion.queries.derived import (
     SilverTables,
     change_events,
@@ -46,7 +46,7 @@ from medallion.sinks.catalog import create_database, register_gold
 from medallion.sinks.writers import append_landing, write_errors, write_full
 from medallion.sources.cdc import look_up_documents, of_collection, parse_events, post_images, split_events
 from medallion.sources.documents import parse_documents, split_corrupt
-from medallion.sources.readers import read_day, read_source, read_table
+from medallion.sources.readers import read_day, read_silver, read_source, read_table
 from medallion.streaming.changelog import ChangeLog
 from medallion.streaming.feed import read_landed, run_feed
 from medallion.streaming.incremental import IncrementalLoad
@@ -426,9 +426,8 @@ def q_gold_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(*counts)
 
 
-def q_clean_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text orders through all checks to typed rows, then the order line fact on the good ones."""
-    clean = q_typed_rows(spark, sf_dir).selectExpr(
+def _order_facts(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    clean = orders.selectExpr(
         "o_orderkey as OrderID", "o_custkey as CustomerID", "o_custkey % 7 as SalespersonPersonID",
         "case when o_orderstatus = 'F' then o_custkey % 5 end as PickedByPersonID",
         "case when o_orderkey % 5 = 0 then o_orderkey + 1 end as BackorderOrderID",
@@ -437,6 +436,43 @@ def q_clean_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact_order_line(SilverTables(spark, sf_dir, Orders=clean))
 
 
+def q_incremental_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even orders by a full load, odd ones, later and older versions by a stream, the order line fact by table name."""
+    root, database = workspace(spark, "joined"), "medallion_joined"
+    layers, orders = Layers(root), dirty_orders(spark, sf_dir)
+    number = F.col("o_orderkey").cast("long")
+    write_full(orders.where(number % 2 == 0), layers.bronze("orders"), DAY_1)
+    load_silver(spark, layers, dictionary(), "orders", DAY_1)
+    register_layers(spark, database, layers, ["orders"])
+
+    schema = T.StructType([*orders.schema.fields, T.StructField("version", T.LongType())])
+    load = IncrementalLoad(
+        spark, dictionary(), "orders", f"{root}/landing", f"{root}/stream", ["version"], DAY_2, schema
+    )
+    load.seed(read_silver(spark, database, dictionary("orders"))["orders"])
+    of_customer = F.col("o_custkey").try_cast("long").isNotNull()
+    arrivals = [
+        orders.where(number % 2 == 1).withColumn("version", F.lit(1)),
+        orders.where(number % 3 == 0).withColumns(
+            {"version": F.lit(2), "o_custkey": F.when(of_customer, "1").otherwise(F.col("o_custkey"))}
+        ),
+        orders.where(number % 5 == 0).withColumns(
+            {"version": F.lit(0), "o_custkey": F.when(of_customer, "2").otherwise(F.col("o_custkey"))}
+        ),
+    ]
+    for arrival in arrivals:
+        typed = arrival.withColumn("version", F.col("version").cast("long"))
+        typed.write.mode("append").parquet(load.landing)
+        load.run()
+    load.publish(database)
+    return _order_facts(spark, sf_dir, read_silver(spark, database, dictionary("orders"))["orders"])
+
+
+def q_clean_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text orders through all checks to typed rows, then the order line fact on the good ones."""
+    return _order_facts(spark, sf_dir, q_typed_rows(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "null_profile": q_null_profile,
     "null_violations": partial(_violations, "not_null"),
@@ -496,4 +532,5 @@ QUERIES: dict[str, Query] = {
     "gold_ordered": q_gold_ordered,
     "gold_catalog_counts": q_gold_catalog_counts,
     "clean_order_lines": q_clean_order_lines,
+    "incremental_to_gold": q_incremental_to_gold,
 }

@@ -36,8 +36,9 @@ SOURCE_TABLES = (
 ).split()
 
 
-def dictionary() -> DataDictionary:
-    return DataDictionary.from_rows(DICTIONARY_ROWS)
+def dictionary(*tables: str) -> DataDictionary:
+    """The dictionary of the given tables, without names of all."""
+    return DataDictionary.from_rows([r for r in DICTIONARY_ROWS if not tables or r[0] in tables])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

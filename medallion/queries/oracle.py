@@ -329,5 +329,8 @@ union all select s_suppkey, s_name, null from supplier""",
         f"select '{name}_gold' as table_name, count(*) as n_rows from ({_GOLD[key]})"
         for name, key in _GOLD_NAMES.items()
     ),
+    "incremental_to_gold": f"""with {GOOD}, typed as (
+  select * replace (case when o_orderkey % 3 = 0 then 1 when o_orderkey % 10 = 0 then 2 else o_custkey end as o_custkey)
+  from ({TYPED})) {_order_lines('typed')}""",
     "clean_order_lines": f"""with {GOOD}, typed as ({TYPED}) {_order_lines('typed')}""",
 }

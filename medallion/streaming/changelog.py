@@ -105,6 +105,12 @@ class ChangeLog:
         apply = upsert if self.buckets is None else upsert_by_full_join
         return apply(snapshot, self._read(batches), self.keys, self.seq)
 
+    def newest_snapshot(self) -> str:
+        """Directory of the newest finished snapshot; of an empty one, if there is none yet."""
+        if not self._versions():
+            self.seed(self._read([]))
+        return self._snapshot_path(self._versions()[-1])
+
     def compact(self) -> None:
         """Fold the log into a new snapshot, then drop the batches folded.
 

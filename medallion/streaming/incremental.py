@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.dictionary import DataDictionary
@@ -13,6 +14,7 @@ from medallion.operators.header import HeaderMismatch, IGNORED_COLUMNS, PARTITIO
 from medallion.operators.quality import error_report, split
 from medallion.operators.rules import CORRUPT_COLUMN, document_rules, rules_for
 from medallion.operators.standardize import conform
+from medallion.sinks.catalog import register_table
 from medallion.sinks.writers import batch_path, with_part_date, write_batch
 from medallion.sources.documents import parse_documents
 from medallion.sources.readers import stream_files
@@ -55,6 +57,25 @@ class IncrementalLoad:
         path = f"{self.root}/silver"
         return ChangeLog(self.spark, path, schema, self.keys, self.seq, self.buckets)
 
+    def seed(self, clean: DataFrame) -> None:
+        """Start from the clean table of a full load.
+
+        Where that lacks columns of `seq` they are NULL: any update replaces such a row.
+        """
+        columns = [
+            F.col(f"`{f.name}`") if f.name in clean.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in self.log.schema.fields
+        ]
+        self.log.seed(clean.select(*columns))
+
+    def publish(self, database: str) -> None:
+        """Fold the log into a new snapshot and make that the table `<database>.<table>_silver`.
+
+        The full load registers its table under the same name, so gold plans that read by name see the updates.
+        """
+        self.log.compact()
+        register_table(self.spark, database, f"{self.table}_silver", self.log.newest_snapshot())
+
     def errors(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/error")
 

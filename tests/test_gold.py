@@ -150,3 +150,16 @@ def test_build_all_writes_and_registers(spark, t, tmp_path):
     assert register_gold(spark, "gold_all", str(tmp_path / "gold")) == sorted(f"{n}_gold" for n in gold.GOLD)
     for name in gold.GOLD:
         assert rows(spark.table(f"gold_all.{name}_gold")) == rows(gold.build(name, t)), name
+
+
+def test_customers_join_orders_before_lines_do(spark, tiny_dir):
+    from medallion.queries.derived import SilverTables
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = gold.fact_order_line(SilverTables(spark, tiny_dir))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    by = {key: next(n for n, line in enumerate(joins) if key in line) for key in ("PackageTypeID", "OrderID", "CustomerID")}
+    assert by["PackageTypeID"] < by["OrderID"] < by["CustomerID"]

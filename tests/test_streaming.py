@@ -15,6 +15,7 @@ from medallion.operators.upsert import latest
 from medallion.queries.catalogue import EVENT_KEYS, EVENT_SEQ, LANDED_EVENTS
 from medallion.queries.derived import change_events, dictionary, dirty_events
 from medallion.operators.upsert import upsert, upsert_by_full_join, upsert_by_union
+from medallion.sinks.catalog import create_database
 from medallion.streaming.changelog import ChangeLog
 from medallion.streaming.feed import LANDING_SCHEMA, collection_landing, read_rejected, run_feed
 from medallion.streaming.incremental import IncrementalLoad
@@ -152,3 +153,20 @@ def test_ties_go_to_the_update_in_every_form(spark, tmp_path):
     assert sorted(map(tuple, log.current().collect())) == want
     log.compact()
     assert sorted(map(tuple, log.current().collect())) == want
+
+
+def test_rows_of_a_full_load_give_way_to_any_update(spark, tiny_dir, tmp_path):
+    load = incremental(spark, tmp_path)
+    load.landing_schema, load.seq = T.StructType([*LANDED_EVENTS.fields, T.StructField("v", T.LongType())]), ["v"]
+    full = conform(dirty_events(spark, tiny_dir).where("event_id in (1, 2)"), dictionary(), "events")
+    load.seed(full)
+    first = full.orderBy("event_id").first()
+    update = spark.createDataFrame([(99, first.ts, first.user_id, first.event_type, "5", "{}", -7)], load.landing_schema)
+    load.process_batch(update, 0)
+    assert {r.event_id for r in load.current().collect()} == {99, 2}
+    create_database(spark, "published")
+    load.publish("published")
+    assert {r.event_id for r in spark.table("published.events_silver").collect()} == {99, 2}
+    load.publish("published")
+    assert spark.table("published.events_silver").count() == 2
+    spark.sql("DROP DATABASE published CASCADE")
