@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 K = 20
 SCALE = 64
-SHARD_ROWS, QUERY_ROWS = 8_192, 256
+SHARD_ROWS, QUERY_ROWS = 8_192, 1_024
 #: Segments, by equal steps from the largest impact down to nothing.
 STEPS = 4
 
