@@ -38,8 +38,6 @@ LEAST_CHARS = 16
 _LONG = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LEAST_CHARS},}}")
 _NO_DIGIT = re.compile(r"[^0-9]*")
 
-#: Documents that the models are trained on, in expectation; the whole table if it has no more.
-TRAIN_DOCUMENTS = 20_000
 #: Least difference of log-likelihoods, in all and for each character.
 LEAST, LEAST_EACH = 20.0, 0.6
 
@@ -69,14 +67,12 @@ def _outside(pattern: re.Pattern, text: str, spans: list[tuple[int, int, int, in
             yield m
 
 
-def transition_counts(documents: DataFrame, of: int = TRAIN_DOCUMENTS) -> DataFrame:
+def transition_counts(documents: DataFrame) -> DataFrame:
     """(kind, step, n): how often a character follows another in random strings (1) and identifiers (0).
 
-    Counted on about `of` documents chosen by a hash of id and text, in each task first: at most
-    2 * 69 * 69 rows come from a task.
+    Counted on all documents, since samples of random strings may be in very few of them; in each task first:
+    at most 2 * 69 * 69 rows come from a task.
     """
-    share = min(1.0, of / max(1, documents.count()))
-    chosen = documents.select("text").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share * (1 << 30))
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros((2, _WIDTH * _WIDTH), np.int64)
@@ -98,7 +94,7 @@ def transition_counts(documents: DataFrame, of: int = TRAIN_DOCUMENTS) -> DataFr
         kind, step = np.nonzero(counts)
         yield pd.DataFrame({"kind": kind, "step": step, "n": counts[kind, step]})
 
-    counted = chosen.mapInPandas(each, "kind int, step int, n long")
+    counted = documents.select("text").mapInPandas(each, "kind int, step int, n long")
     return counted.groupBy("kind", "step").agg(F.sum("n").alias("n"))
 
 

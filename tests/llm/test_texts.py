@@ -14,7 +14,7 @@ from medallion.llm.html_text import main_texts, page_blocks, repeated
 from medallion.llm.mixing import mix, mixed_documents, source_targets, splitting_tree
 from medallion.llm.packing import SumOfSquares, pack
 from medallion.llm.quality import quality_scores
-from medallion.llm.secret_scan import secret_scan
+from medallion.llm.secret_scan import log_ratios, random_spans, secret_scan, transition_counts
 from medallion.llm.toxicity import toxicity_scores
 
 
@@ -90,6 +90,19 @@ def test_markov_models_find_random_strings_only(spark):
     assert got[500].spans == "random:6:38" and all(got[k].n_random == 0 for k in range(199))
 
 
+def test_markov_models_learn_from_rare_samples(spark):
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
+    secret = ["".join(rng.choice(letters, 32)) for _ in range(61)]
+    rows = [(k, f"plain identifiers like make_connection_pool_{k % 9}", "", "", 0) for k in range(40_000)]
+    rows[7::670] = [(r[0], f"token={secret[n]} {r[1]}", "", "", 0) for n, r in enumerate(rows[7::670])]
+    rows.append((500_000, f"first {secret[60]} then internationalization_of_documents", "", "", 0))
+    counts = transition_counts(spark.createDataFrame(rows, DOCUMENTS)).toPandas()
+    assert counts.loc[counts["kind"] == 1, "n"].sum() == 60 * 32
+    ratios = log_ratios(counts)
+    assert random_spans(rows[-1][1], [], ratios) == [(6, 3, 38, 6)]
+
+
 def test_packing_places_every_id_once(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
