@@ -25,6 +25,9 @@ LEAST_CHARS = 8
 #: Code points handled at once when keys are made.
 _PIECE = 1 << 20
 _BUCKETS = 16
+#: White space besides line feeds, of which blank lines consist; as code points and as a pattern.
+_SPACES = np.array([9, 11, 12, 13, 32, 0x85, 0xA0, *range(0x2000, 0x200B), 0x3000], np.uint32)
+_BLANK = r"^[\t\x0B\f\r \x{85}\x{A0}\x{2000}-\x{200A}\x{3000}]*\z"
 
 
 def within(a: str, b: str, most: int) -> bool:
@@ -257,11 +260,13 @@ def line_report(documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS
     return out.select("doc_id", "n_lines", "n_long_lines", F.size(kept).cast("long").alias("n_kept"), kept.alias("kept"))
 
 
-def without_repeated_lines(documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS) -> DataFrame:
+def without_repeated_lines(
+    documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS, short_count: bool = False
+) -> DataFrame:
     """Documents without the lines that repeat an earlier one, with their columns; `n_chars` follows the text.
 
-    Shorter lines stay where they are. A document that had longer lines and keeps none of them is dropped;
-    null and empty texts stay.
+    Shorter lines stay where they are. A document that had longer lines and keeps none of them is dropped, with
+    `short_count` only if none of its shorter lines that stay has more than white space; null and empty texts stay.
     """
     columns = documents.columns
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), *_document(), "text")
@@ -272,7 +277,10 @@ def without_repeated_lines(documents: DataFrame, most: int = MOST, least: int =
     left = F.filter(
         lines, lambda x, k: (F.char_length(x) < least) | F.array_contains(F.coalesce("kept", none), k)
     )
-    rows = rows.where(F.col("kept").isNotNull() | F.col("text").isNull() | ~has_long)
+    stays = F.col("kept").isNotNull() | F.col("text").isNull() | ~has_long
+    if short_count:
+        stays = stays | F.exists(left, lambda x: ~x.rlike(_BLANK))
+    rows = rows.where(stays)
     text = F.when(F.col("text").isNotNull(), F.array_join(left, "\n"))
     new = {"text": text} | ({"n_chars": F.char_length(text).cast("long")} if "n_chars" in columns else {})
     return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
