@@ -12,7 +12,7 @@ from medallion.llm.common import read_table, share_checkout
 from medallion.llm.fingerprints import edited_fingerprints
 from medallion.llm.html_text import main_texts
 from medallion.llm.jaccard_join import jaccard_components
-from medallion.llm.line_dedup import line_report
+from medallion.llm.line_dedup import PER_EDIT, line_report
 from medallion.llm.mixing import mix
 from medallion.llm.packing import pack
 from medallion.llm.quality import quality_scores
@@ -75,7 +75,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_registered
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(read_table(spark, sf_dir, "documents"))
+    return line_report(read_table(spark, sf_dir, "documents"), least=1, per=PER_EDIT)
 
 
 @_registered

@@ -1,9 +1,12 @@
 """Line dedup: a segment-partition edit join of all lines.
 
-Two lines within `most` edits have one of `most` + 1 segments of the shorter one in common, at nearly the same
-place. Every distinct line is indexed by its segments and probes with the substrings that can match a segment
+Two lines within some edits have one of so many segments, and one more, of the shorter one in common, at nearly
+the same place. Every distinct line is indexed by its segments and probes with the substrings that can match a segment
 of a line up to `most` shorter; keys hold length, segment number and a hash of the substring. Lines that meet
 are compared by their letters' counts, then exactly, with a banded bit-parallel automaton.
+
+Edits are the same for lines of all lengths, or with `per` one for each `per` code points of the shorter line, so
+that short lines go as exact repeats only. With `per`, a line also goes only for being near a line that is kept.
 """
 
 from __future__ import annotations
@@ -22,6 +25,10 @@ from medallion.llm.common import _ODD, _STEP, _mix, _powers, stored
 MOST = 2
 #: Shorter lines are left alone: below, two edits are more than a quarter of a line.
 LEAST_CHARS = 8
+#: Code points that a line has for each edit, where edits follow the length.
+PER_EDIT = 20
+#: Pairs of lines that one task decides in order, once rounds over all have left no more.
+ONE_TASK = 1_000_000
 #: Code points handled at once when keys are made.
 _PIECE = 1 << 20
 _BUCKETS = 16
@@ -76,7 +83,7 @@ def _segments(length: np.ndarray, parts: int) -> list[tuple[np.ndarray, np.ndarr
     return out
 
 
-def line_keys(texts: list[str], most: int, least: int) -> Iterator[pd.DataFrame]:
+def line_keys(texts: list[str], most: int, least: int, per: int | None = None) -> Iterator[pd.DataFrame]:
     """(key, line, letters) of the distinct lines of some texts: keys of segments and of probes.
 
     `line` is a hash of the line, its last bit is 1 for probes; `letters` holds sixteen 4-bit counts of
@@ -85,7 +92,7 @@ def line_keys(texts: list[str], most: int, least: int) -> Iterator[pd.DataFrame]
     points = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
     ends = np.append(np.flatnonzero(points == 10), points.size)
     starts = np.append(0, ends[:-1] + 1)
-    ok = ends - starts >= least
+    ok = ends - starts >= max(least, per or 0)
     starts, ends = starts[ok], ends[ok]
     if not starts.size:
         return
@@ -112,16 +119,18 @@ def line_keys(texts: list[str], most: int, least: int) -> Iterator[pd.DataFrame]
         mark = line[pick] if kind else line[pick] ^ np.uint64(1)
         return pd.DataFrame({"key": key.view(np.int64), "line": mark.view(np.int64), "letters": letters[pick].view(np.int64)})
 
-    every = np.arange(starts.size)
-    for i, (p, size) in enumerate(_segments(length, most + 1)):
-        yield rows(i, length, starts + p, size, 0, every)
-    for shorter in range(most + 1):
-        pick = np.flatnonzero(length - shorter >= least)
-        of = length[pick] - shorter
-        for i, (p, size) in enumerate(_segments(of, most + 1)):
-            for move in range(max(-i, shorter - (most - i)), min(i, shorter + most - i) + 1):
-                fits = (p + move >= 0) & (p + move + size <= length[pick])
-                yield rows(i, of[fits], (starts[pick] + p + move)[fits], size[fits], 1, pick[fits])
+    for edits in range(1, most + 1) if per else [most]:
+        pick = np.flatnonzero(np.minimum(most, length // per) == edits) if per else np.arange(starts.size)
+        for i, (p, size) in enumerate(_segments(length[pick], edits + 1)):
+            yield rows(i, length[pick], starts[pick] + p, size, 0, pick)
+        for shorter in range(edits + 1):
+            of = length - shorter
+            pick = np.flatnonzero((of >= least) & (np.minimum(most, of // per) == edits if per else True))
+            of = of[pick]
+            for i, (p, size) in enumerate(_segments(of, edits + 1)):
+                for move in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
+                    fits = (p + move >= 0) & (p + move + size <= length[pick])
+                    yield rows(i, of[fits], (starts[pick] + p + move)[fits], size[fits], 1, pick[fits])
 
 
 def _document() -> list[Column]:
@@ -139,12 +148,15 @@ def _differing(a: str, b: str) -> Column:
     return total
 
 
-def first_occurrences(documents: DataFrame, most: int, least: int) -> DataFrame:
-    """(line, doc_id, tie, line_no, n): where each distinct line first occurs, by document then line, and how often."""
+def first_occurrences(documents: DataFrame, least: int, blank: bool = True) -> DataFrame:
+    """(line, doc_id, tie, line_no, n): where each distinct line first occurs, by document then line, and how often.
+
+    Lines of nothing but white space count only with `blank`.
+    """
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [_line_hashes(np.frombuffer((t or "").encode("utf-32-le"), np.uint32), least) for t in batch["text"]]
+            found = [_line_hashes(np.frombuffer((t or "").encode("utf-32-le"), np.uint32), least, blank) for t in batch["text"]]
             of = np.repeat(np.arange(len(batch)), [line.size for line, _ in found])
             yield pd.DataFrame(
                 {
@@ -160,11 +172,15 @@ def first_occurrences(documents: DataFrame, most: int, least: int) -> DataFrame:
     return rows.groupBy("line").agg(first, F.count("*").alias("n")).select("line", "f.*", "n")
 
 
-def _line_hashes(points: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _line_hashes(points: np.ndarray, least: int, blank: bool) -> tuple[np.ndarray, np.ndarray]:
     """(hash, number) of the lines of one text that have `least` code points; hashes as in `line_keys`, even."""
     ends = np.append(np.flatnonzero(points == 10), points.size)
     starts = np.append(0, ends[:-1] + 1)
-    number = np.flatnonzero(ends - starts >= least)
+    ok = ends - starts >= least
+    if not blank:
+        dark = np.append(0, np.cumsum(~np.isin(points, _SPACES)))
+        ok &= dark[ends] > dark[starts]
+    number = np.flatnonzero(ok)
     starts, ends = starts[number], ends[number]
     up, down = _powers(max(8, int(points.size + 1).bit_length()))
     value = (points.astype(np.uint64) + np.uint64(1)) * _ODD
@@ -173,8 +189,8 @@ def _line_hashes(points: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
     return ((h | np.uint64(1)) ^ np.uint64(1)).view(np.int64), number.astype(np.int32)
 
 
-def near_lines(documents: DataFrame, first: DataFrame, most: int, least: int) -> DataFrame:
-    """(line, other): pairs of different lines within `most` edits, each once."""
+def near_lines(documents: DataFrame, first: DataFrame, most: int, least: int, per: int | None = None) -> DataFrame:
+    """(line, other): pairs of different lines within `most` edits, or one for each `per` code points, each once."""
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -183,9 +199,9 @@ def near_lines(documents: DataFrame, first: DataFrame, most: int, least: int) ->
                 held.append(text)
                 size += len(text)
                 if size >= _PIECE:
-                    yield from line_keys(held, most, least)
+                    yield from line_keys(held, most, least, per)
                     held, size = [], 0
-            yield from line_keys(held, most, least)
+            yield from line_keys(held, most, least, per)
 
     rows = documents.select("text").mapInPandas(keys, "key long, line long, letters long")
     group = Window.partitionBy("key")
@@ -213,7 +229,10 @@ def near_lines(documents: DataFrame, first: DataFrame, most: int, least: int) ->
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ok = [within(a, b, most) for a, b in zip(batch["text"], batch["other_text"])]
+            ok = [
+                within(a, b, min(most, min(len(a), len(b)) // per) if per else most)
+                for a, b in zip(batch["text"], batch["other_text"])
+            ]
             yield batch.loc[ok, ["line", "other"]]
 
     others = texts.select(F.col("line").alias("other"), F.col("text").alias("other_text"))
@@ -222,20 +241,64 @@ def near_lines(documents: DataFrame, first: DataFrame, most: int, least: int) ->
     )
 
 
-def kept_lines(documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS) -> DataFrame:
+def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines that go, of pairs (line, earlier) in order of line: those near an earlier line that doesn't go."""
+    gone: set[int] = set()
+    for batch in batches:
+        gone.update(line for line, earlier in zip(batch["line"], batch["earlier"]) if earlier not in gone)
+    yield pd.DataFrame({"line": np.array(sorted(gone), np.int64)})
+
+
+def near_kept(pairs: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+    """(line): the lines that go, of pairs (line, place, earlier) of a line, its place and a near line before it.
+
+    In order of place, a line goes if one of those before it stays. In rounds over all pairs, lines of which no
+    pair is left stay, lines near those go, and both are done with; the first undecided line is always decided.
+    Once few pairs are left, one task decides them in order.
+    """
+    gone = None
+    while True:
+        open_ = pairs.count()
+        if open_ <= one_task:
+            break
+        lines = pairs.select("line").distinct()
+        stay = pairs.select(F.col("earlier").alias("line")).distinct().join(lines, "line", "left_anti")
+        go = pairs.join(stay.select(F.col("line").alias("earlier")), "earlier", "left_semi").select("line").distinct()
+        go = stored(go, "gone-lines")
+        gone = go if gone is None else gone.unionByName(go)
+        pairs = pairs.join(go, "line", "left_anti").join(go.select(F.col("line").alias("earlier")), "earlier", "left_anti")
+        pairs = stored(pairs.select("line", "place", "earlier"), "open-pairs")
+
+    ordered = pairs.coalesce(1).sortWithinPartitions("place").select("line", "earlier")
+    last = stored(ordered.mapInPandas(_in_order, "line long"), "last-lines")
+    return last if gone is None else gone.unionByName(last)
+
+
+def kept_lines(documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
     """(doc_id, tie, kept): per document, the numbers (from 0) of its lines that repeat no earlier line.
 
     A line is kept if no line before it, by document id (null first) then line number, is within `most` edits.
     Only lines of at least `least` code points take part; documents that keep none of them aren't in the result.
+    With `per`, lines are as many edits apart as the shorter one has `per` code points, `most` at the most, a line
+    is kept if no line before it that is kept is so near, and blank lines take no part.
     """
-    first = stored(first_occurrences(documents, most, least), "first-lines")
-    pairs = stored(near_lines(documents, first, most, least), "near-lines")
+    first = stored(first_occurrences(documents, least, per is None), "first-lines")
+    pairs = stored(near_lines(documents, first, most, least, per), "near-lines")
     place = F.struct("doc_id", "tie", "line_no")
     line = first.select("line", place.alias("place"))
     other = first.select(F.col("line").alias("other"), place.alias("other_place"))
     later = pairs.join(line, "line").join(other, "other")
-    later = later.select(F.when(F.col("place") < F.col("other_place"), F.col("other")).otherwise(F.col("line")).alias("line"))
-    alone = first.join(later.distinct(), "line", "left_anti")
+    is_first = F.col("place") < F.col("other_place")
+    if per is None:
+        gone = later.select(F.when(is_first, F.col("other")).otherwise(F.col("line")).alias("line")).distinct()
+    else:
+        ends = {
+            "line": F.when(is_first, F.col("other")).otherwise(F.col("line")),
+            "place": F.greatest("place", "other_place"),
+            "earlier": F.when(is_first, F.col("line")).otherwise(F.col("other")),
+        }
+        gone = near_kept(stored(later.select(*[c.alias(n) for n, c in ends.items()]), "open-pairs"))
+    alone = first.join(gone, "line", "left_anti")
     return alone.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
 
@@ -245,37 +308,43 @@ def _joined(documents: DataFrame, kept: DataFrame) -> DataFrame:
     return documents.join(kept, same, "left").drop("kept_id", "kept_tie")
 
 
-def line_report(documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS) -> DataFrame:
+def _takes_part(line: Column, least: int, per: int | None) -> Column:
+    long = F.char_length(line) >= least
+    return long if per is None else long & ~line.rlike(_BLANK)
+
+
+def line_report(documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS, per: int | None = None) -> DataFrame:
     """Per row of documents: doc_id, n_lines, n_long_lines (of `least` code points), n_kept (of those), kept.
 
-    `kept` lists the numbers of the long lines that repeat no earlier line. Null texts have no lines, an empty
+    `kept` lists the numbers of the long lines that repeat no earlier line. With `per` (see `kept_lines`), blank
+    lines are not long. Null texts have no lines, an empty
     text has one empty line. A repeated row (same id and text) is the same document and keeps the same lines.
     Empty documents give no rows.
     """
     lines = F.coalesce(F.split("text", "\n"), F.array().cast("array<string>"))
-    long = F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + (F.char_length(x) >= least).cast("long"))
+    long = F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + _takes_part(x, least, per).cast("long"))
     counted = documents.select(*_document(), F.size(lines).cast("long").alias("n_lines"), long.alias("n_long_lines"))
-    out = _joined(counted, kept_lines(documents, most, least))
+    out = _joined(counted, kept_lines(documents, most, least, per))
     kept = F.coalesce("kept", F.array().cast("array<int>"))
     return out.select("doc_id", "n_lines", "n_long_lines", F.size(kept).cast("long").alias("n_kept"), kept.alias("kept"))
 
 
 def without_repeated_lines(
-    documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS, short_count: bool = False
+    documents: DataFrame, most: int = MOST, least: int = LEAST_CHARS, short_count: bool = False, per: int | None = None
 ) -> DataFrame:
     """Documents without the lines that repeat an earlier one, with their columns; `n_chars` follows the text.
 
-    Shorter lines stay where they are. A document that had longer lines and keeps none of them is dropped, with
+    Shorter lines, and with `per` (see `kept_lines`) blank ones, stay where they are. A document that had longer lines and keeps none of them is dropped, with
     `short_count` only if none of its shorter lines that stay has more than white space; null and empty texts stay.
     """
     columns = documents.columns
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), *_document(), "text")
-    rows = _joined(rows, kept_lines(documents, most, least))
+    rows = _joined(rows, kept_lines(documents, most, least, per))
     lines = F.split("text", "\n")
-    has_long = F.exists(lines, lambda x: F.char_length(x) >= least)
+    has_long = F.exists(lines, lambda x: _takes_part(x, least, per))
     none = F.array().cast("array<int>")
     left = F.filter(
-        lines, lambda x, k: (F.char_length(x) < least) | F.array_contains(F.coalesce("kept", none), k)
+        lines, lambda x, k: ~_takes_part(x, least, per) | F.array_contains(F.coalesce("kept", none), k)
     )
     stays = F.col("kept").isNotNull() | F.col("text").isNull() | ~has_long
     if short_count:

@@ -6,7 +6,7 @@ from tests.llm.frames import DOCUMENTS, awkward_rows, clashing, documents
 
 from medallion.llm.common import components, shingle_set
 from medallion.llm.jaccard_join import jaccard_components, one_of_each, parities, possible_links, region_links
-from medallion.llm.line_dedup import line_report, within, without_repeated_lines
+from medallion.llm.line_dedup import line_report, near_kept, within, without_repeated_lines
 from medallion.llm.topk_search import ImpactIndex, quantised, top_k
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -170,6 +170,37 @@ def test_lines_equal_brute_force(spark):
             assert i not in texts
 
 
+@pytest.mark.parametrize("per", [6, 20])
+def test_lines_by_length_equal_brute_force(spark, per):
+    rows = edited_lines() + [(151, "\n \nTable 11\nTable 27\n\nTable 11", "en", "s", 1), (152, "x\nx\u3000\n\u3000\nx", "en", "s", 1)]
+    kept, want = [], {}
+    for i, t, *_ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        want[i] = []
+        for k, line in enumerate((t or "").split("\n")):
+            near = [s for s in kept if abs(len(s) - len(line)) <= 2]
+            if line.strip() and not any(levenshtein(line, s) <= min(2, min(len(line), len(s)) // per) for s in near):
+                want[i].append(k)
+                kept.append(line)
+    got = line_report(documents(spark, rows), least=1, per=per).collect()
+    assert {r.doc_id: list(r.kept) for r in got} == want and want[151] == [2, 3]
+    texts = {r.doc_id: r.text for r in without_repeated_lines(documents(spark, rows), least=1, short_count=True, per=per).collect()}
+    for i, t, *_ in rows:
+        left = [x for k, x in enumerate((t or "").split("\n")) if not x.strip() or k in want[i]]
+        assert texts.get(i) == ("\n".join(left) if t is not None and (want[i] or not t.strip()) else None)
+
+
+def test_chains_are_decided_in_order_in_rounds_and_in_one_task(spark):
+    rng = random.Random(4)
+    edges = {(k, k - 1) for k in range(1, 12)} | {tuple(sorted(rng.sample(range(40), 2), reverse=True)) for _ in range(60)}
+    gone = set()
+    for k in range(40):
+        if any((k, j) in edges and j not in gone for j in range(k)):
+            gone.add(k)
+    pairs = spark.createDataFrame([(a, (a,), b) for a, b in edges], "line long, place struct<doc_id long>, earlier long")
+    for one_task in (0, 20, 1000):
+        assert sorted(r.line for r in near_kept(pairs, one_task).collect()) == sorted(gone)
+
+
 def test_top_k_equals_brute_force(spark):
     rng = random.Random(8)
     rows = [(k, [rng.choice([-0.5, -0.1, 0.0, 0.2, 0.5]) for _ in range(6)]) for k in range(90)]
