@@ -30,6 +30,8 @@ LONG = 8
 GROUP_PAGES = 256
 
 ARTICLE, OPEN, AROUND = 0, 1, 2
+#: Surroundings by a class word, and forms in articles, while a page is read: what is in them can still win.
+_BY_WORD, _IN_FORM = 3, 4
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -46,7 +48,7 @@ _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
-_AROUND_TAGS = set("nav footer aside form script style noscript template head svg button select menu dialog".split())
+_AROUND_TAGS = set("nav footer aside script style noscript template head svg button select menu dialog".split())
 _MAIN_WORDS = {"main", "articlebody"}
 _AROUND_WORDS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar aside menu nav navbar "
@@ -54,20 +56,45 @@ _AROUND_WORDS = set(
     "gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share "
     "sharing social related recommended widget toolbar pagination pager contentinfo complementary".split()
 )
+_CONTENT_WORDS = set("article articlebody content entry hentry main page post site story".split())
+#: First words of classes that only say how a page is laid out, as in with-sidebar.
+_MODIFIERS = set("with without has have no not is hide show".split())
+_TEXT_TAGS = set("p h1 h2 h3 h4 h5 h6 section blockquote".split())
 _HEADER_WORDS = {"header", "masthead", "banner", "topbar"}
 
 
 def _kind(name: str, attributes: str, around: int) -> int:
-    """Kind of an element's text from its name, its attributes and the kind around it."""
-    if around == AROUND or name in _AROUND_TAGS or (name == "header" and around != ARTICLE):
+    """Kind of an element's text from its name, its attributes and the kind around it.
+
+    Classes, ids and roles are read one by one. An article or main element wins over a word of its own or around
+    it, not over both; then, as with words for and against, the kind is open.
+    """
+    if around == AROUND or name in _AROUND_TAGS:
         return AROUND
-    words: set[str] = set()
+    against = for_ = main = False
     if "=" in attributes and name not in ("html", "body"):
         for m in _NAMES.finditer(attributes):
-            words.update(re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()))
-    if words & _AROUND_WORDS or (around != ARTICLE and words & _HEADER_WORDS):
-        return AROUND
-    return ARTICLE if name in ("article", "main") or words & _MAIN_WORDS else around
+            for label in (m[1] or m[2] or m[3] or "").lower().split():
+                parts = [w for w in re.split(r"[^a-z0-9]+", label) if w]
+                if len(parts) > 1 and parts[0] in _MODIFIERS:
+                    continue
+                words = set(parts)
+                if words & _AROUND_WORDS or (around != ARTICLE and words & _HEADER_WORDS):
+                    against = True
+                elif words:
+                    main |= bool(words & _MAIN_WORDS)
+                    for_ |= words <= _CONTENT_WORDS or bool(words & _MAIN_WORDS)
+    if name in ("article", "main"):
+        return OPEN if against and around == _BY_WORD else ARTICLE
+    if against:  # with a class for content, the suffix array judges
+        return OPEN if for_ and around != _BY_WORD else _BY_WORD
+    if name == "header" and around != ARTICLE:
+        return _BY_WORD
+    if name == "form" and around == ARTICLE:
+        return _IN_FORM
+    if around == _IN_FORM and name in _TEXT_TAGS:
+        return OPEN
+    return ARTICLE if main else around
 
 
 def page_blocks(page: str | None) -> list[tuple[int, str]]:
@@ -82,7 +109,7 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
         text = _SPACE.sub(" ", "".join(held)).strip()
         held.clear()
         if text:
-            blocks.append((kind, text))
+            blocks.append((min(kind, AROUND), text))
 
     while at < len(page):
         m = _TAG.search(page, at)

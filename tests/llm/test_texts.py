@@ -251,6 +251,28 @@ def test_pages_keep_the_article(spark):
     assert main_texts(df.limit(0)).count() == 0
 
 
+def test_a_class_word_makes_no_whole_page_surrounding():
+    kinds = {
+        '<div class="content with-sidebar">t</div>': 1,
+        '<div id="page" class="no-sidebar">t</div>': 1,
+        '<article class="post has-comments">t</article>': 0,
+        '<div class="search-result article">t</div>': 1,
+        "<form id=f><div>t</div></form>": 1,
+        "<form><main>t</main></form>": 0,
+        '<div class="sidebar layout"><article>t</article></div>': 0,
+        '<article class="share">t</article>': 0,
+        '<div id="comments"><article class="comment">t</article></div>': 1,
+        "<main><form><p>t</p></form></main>": 1,
+        "<main><form>t</form></main>": 2,
+        '<div class="sidebar">t</div>': 2,
+        '<article><div class="share-links">t</div></article>': 2,
+        '<div class="sidebar-content">t</div>': 2,
+        "<nav><article>t</article></nav>": 2,
+        '<div class="main-content">t</div>': 0,
+    }
+    assert {page: page_blocks(page) for page in kinds} == {page: [(kind, "t")] for page, kind in kinds.items()}
+
+
 def test_open_text_loses_what_pages_of_a_host_share(spark):
     shared = "all rights reserved by the owners of this very fine site since long ago"
     rows = [(k, f"https://h.example/{k}", f"<body><div>Story {k} tells of unique{k}.</div><div>{shared}</div>") for k in range(9)]
