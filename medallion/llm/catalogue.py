@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import read_table, share_checkout
 from medallion.llm.fingerprints import edited_fingerprints
-from medallion.llm.html_text import main_texts
+from medallion.llm.html_text import Evidence, main_texts
 from medallion.llm.jaccard_join import jaccard_components
 from medallion.llm.line_dedup import PER_EDIT, line_report
 from medallion.llm.mixing import mix
@@ -86,7 +86,7 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_registered
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_texts(read_table(spark, sf_dir, "pages"))
+    return main_texts(read_table(spark, sf_dir, "pages"), evidence=Evidence())
 
 
 ORACLE_SQL["op2_topk_search"] = """

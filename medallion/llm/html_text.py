@@ -8,6 +8,9 @@ text that such substrings cover is boilerplate; its unique runs are kept along w
 A large host's array is made in parts of some pages each. Hashes of the parts' distinct long substrings are counted
 over all parts, and each part learns which of its own, not repeated in it, occur in others: the result doesn't
 depend on the parts.
+
+With `Evidence`, articles are judged as well, a substring has to be on a number of pages that follows the host's,
+only whole blocks go, and a page of which nothing would be left stays as it is.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,6 +30,8 @@ from medallion.llm.common import _STEP, _mix, stored
 
 #: Tokens of a substring that is boilerplate if it occurs on two pages.
 LONG = 8
+#: Tokens of shorter blocks that are judged as a whole, by evidence as strong as for articles.
+SHORT = 4
 #: Pages of a host whose suffixes are sorted together; larger hosts are dealt into parts by a hash.
 GROUP_PAGES = 256
 
@@ -151,16 +157,34 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
     return blocks
 
 
-def repeated(tokens: np.ndarray, pages: np.ndarray, long: int = LONG) -> np.ndarray:
-    """Which tokens lie in a substring of `long` tokens that occurs on two distinct pages.
+@dataclass(frozen=True)
+class Evidence:
+    """On how many of a host's pages a run of `long` tokens has to be: this many, and this share of all."""
+
+    long: int = 16
+    open_pages: int = 3
+    open_share: float = 0.01
+    article_pages: int = 10
+    article_share: float = 0.1
+
+    def needed(self, pages: int) -> tuple[int, int]:
+        """For open blocks; for articles and short blocks."""
+        return (
+            max(self.open_pages, int(np.ceil(self.open_share * pages))),
+            max(self.article_pages, int(np.ceil(self.article_share * pages))),
+        )
+
+
+def run_pages(tokens: np.ndarray, pages: np.ndarray, long: int) -> np.ndarray:
+    """On how many distinct pages the run of `long` tokens that starts at each token is; 0 if it leaves its page.
 
     Suffixes are ranked by their first 1, 2, 4, ... tokens, each round from the ranks of the one before; those
     of equal rank at `long` tokens begin alike. A suffix that leaves its page is cut there.
     """
     n = tokens.size
-    covered = np.zeros(n + 1, np.int64)
+    out = np.zeros(n, np.int64)
     if n < long:
-        return covered[:n] > 0
+        return out
     left = np.searchsorted(pages, pages, side="right") - np.arange(n)  # tokens until the page ends
     _, rank = np.unique(tokens, return_inverse=True)
     depth = 1
@@ -171,22 +195,37 @@ def repeated(tokens: np.ndarray, pages: np.ndarray, long: int = LONG) -> np.ndar
         _, rank = np.unique(rank * np.int64(n + 2) + second, return_inverse=True)
         depth += step
     whole = np.flatnonzero(left >= long)
+    if not whole.size:
+        return out
     order = whole[np.lexsort((pages[whole], rank[whole]))]
-    same = rank[order][1:] == rank[order][:-1]
-    starts = np.flatnonzero(np.append(True, ~same)) if order.size else np.empty(0, np.int64)
-    size = np.diff(np.append(starts, order.size))
-    differ = pages[order[starts]] != pages[order[starts + size - 1]] if order.size else np.empty(0, bool)
-    hit = order[np.repeat(differ, size)]
-    np.add.at(covered, hit, 1)
-    np.add.at(covered, np.minimum(hit + long, n), -1)
+    other = np.append(True, rank[order][1:] != rank[order][:-1])
+    starts = np.flatnonzero(other)
+    distinct = np.add.reduceat((other | np.append(True, pages[order][1:] != pages[order][:-1])).astype(np.int64), starts)
+    out[order] = np.repeat(distinct, np.diff(np.append(starts, order.size)))
+    return out
+
+
+def _cover(starts: np.ndarray, sizes: np.ndarray | int, n: int) -> np.ndarray:
+    """Which of `n` places lie in one of the runs."""
+    covered = np.zeros(n + 1, np.int64)
+    np.add.at(covered, starts, 1)
+    np.add.at(covered, np.minimum(starts + sizes, n), -1)
     return covered[:n].cumsum() > 0
 
 
+def repeated(tokens: np.ndarray, pages: np.ndarray, long: int = LONG) -> np.ndarray:
+    """Which tokens lie in a substring of `long` tokens that occurs on two distinct pages."""
+    return _cover(np.flatnonzero(run_pages(tokens, pages, long) > 1), long, tokens.size)
+
+
 class HostStream:
-    """The tokens of the blocks outside articles of a host's pages (or of a part of them), in a row."""
+    """The tokens of the blocks outside articles, or of all, of a host's pages (or of a part of them), in a row."""
 
-    def __init__(self, blocks: list[list[tuple[int, str]]]):
-        words = [(p, kind, w) for p, page in enumerate(blocks) for kind, text in page if kind != ARTICLE for w in text.split()]
+    def __init__(self, blocks: list[list[tuple[int, str]]], articles: bool = False):
+        taken = [(p, kind, text.split()) for p, page in enumerate(blocks) for kind, text in page if articles or kind != ARTICLE]
+        words = [(p, kind, w) for p, kind, block in taken for w in block]
+        self.kinds = np.array([kind for _, kind, _ in taken], np.int64)
+        self.sizes = np.array([len(block) for _, _, block in taken], np.int64)
         self.words, self.tokens = np.unique(np.array([w for _, _, w in words], object), return_inverse=True)
         self.pages = np.array([p for p, _, _ in words], np.int64)
         self.open = np.array([kind == OPEN for _, kind, _ in words], bool)
@@ -194,10 +233,47 @@ class HostStream:
     def windows(self, long: int) -> tuple[np.ndarray, np.ndarray]:
         """(start, hash) of every run of `long` tokens within a page."""
         starts = np.flatnonzero(self.pages[: max(0, self.pages.size - long + 1)] == self.pages[long - 1 :])
-        h, word = np.full(starts.size, long, np.uint64), hash_array(self.words)
-        for j in range(long):
+        return starts, self._hashed(starts, long)
+
+    def _hashed(self, starts: np.ndarray, size: int) -> np.ndarray:
+        h, word = np.full(starts.size, size, np.uint64), hash_array(self.words)
+        for j in range(size):
             h = _mix(h * _STEP + word[self.tokens[starts + j]])
-        return starts, h.view(np.int64)
+        return h.view(np.int64)
+
+    def units(self, long: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size, hash, pages it is on here) of every run of `long` tokens and every short block."""
+        starts, h = self.windows(long)
+        found = [(starts, np.full(starts.size, long), h, run_pages(self.tokens, self.pages, long)[starts])]
+        begins = np.cumsum(self.sizes) - self.sizes
+        for size in range(SHORT, long):
+            at = begins[self.sizes == size]
+            if not at.size:
+                continue
+            h = self._hashed(at, size)
+            _, group = np.unique(h, return_inverse=True)
+            pairs = np.unique(group * np.int64(self.tokens.size + 1) + self.pages[at])
+            n = np.bincount(pairs // (self.tokens.size + 1))
+            found.append((at, np.full(at.size, size), h, n[group]))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def removed(self, evidence: Evidence, pages: int, elsewhere: pd.DataFrame) -> np.ndarray:
+        """Which blocks are boilerplate; `elsewhere` has (h, df) of the units known from all parts of the host."""
+        start, size, h, df = self.units(evidence.long)
+        if len(elsewhere):
+            known = elsewhere.sort_values("h")
+            keys = known["h"].to_numpy(np.int64)
+            at = np.minimum(np.searchsorted(keys, h), keys.size - 1)
+            df = np.where(keys[at] == h, known["df"].to_numpy(np.int64)[at], df)
+        few, many = evidence.needed(pages)
+        strong = df >= many
+        any_ = strong | ((df >= few) & (size == evidence.long))
+        block = np.repeat(np.arange(self.sizes.size), self.sizes)
+        out = self.kinds == AROUND
+        for kind, hit in ((ARTICLE, strong), (OPEN, any_)):
+            kept = np.bincount(block[~_cover(start[hit], size[hit], self.tokens.size)], minlength=out.size)
+            out |= (self.kinds == kind) & (kept == 0)
+        return out
 
     def asked(self, long: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct hashes of runs of `long` tokens, and of which other parts have to say whether they occur there:
@@ -242,14 +318,92 @@ def host_texts(blocks: list[list[tuple[int, str]]], elsewhere: np.ndarray, long:
     return out
 
 
-def main_texts(pages: DataFrame, long: int = LONG, group: int = GROUP_PAGES) -> DataFrame:
+def judged_texts(blocks: list[list[tuple[int, str]]], evidence: Evidence, pages: int, elsewhere: pd.DataFrame) -> list[str]:
+    """Main text of each page of a host (or of a part of its `pages`), whole blocks removed by evidence."""
+    removed = iter(HostStream(blocks, articles=True).removed(evidence, pages, elsewhere))
+    out = []
+    for page in blocks:
+        gone = [next(removed) for _ in page]
+        kept = [text for (_, text), g in zip(page, gone) if not g]
+        out.append(" ".join(kept or [text for kind, text in page if kind != AROUND]))
+    return out
+
+
+def _texts_by_evidence(rows: DataFrame, evidence: Evidence, group: int) -> DataFrame:
+    """page_id, url, text of rows of pages with their hosts.
+
+    A unit (run or short block) that is on enough of a large host's pages is on two pages of some part, if more
+    pages are needed than there are parts. So parts report such units only; those that can still be on enough
+    pages, counting one for each part that hasn't reported, are counted in all parts.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            blocks = [page_blocks(page) for page in batch["html"]]
+            out = batch[["page_id", "url", "host"]].copy()
+            out["kinds"] = [[kind for kind, _ in b] for b in blocks]
+            out["texts"] = [[text for _, text in b] for b in blocks]
+            yield out
+
+    def units(part: pd.DataFrame) -> pd.DataFrame:
+        _, _, h, n = HostStream(_part_blocks(part), articles=True).units(evidence.long)
+        h, first = np.unique(h, return_index=True)
+        return pd.DataFrame({"h": h, "n": n[first]})
+
+    def report(part: pd.DataFrame) -> pd.DataFrame:
+        out, parts = units(part), part["parts"].iloc[0]
+        few = evidence.needed(part["n_pages"].iloc[0])[0]
+        least = 2 if few > parts else 1
+        out = out[out["n"] >= least]
+        return out.assign(host=part["host"].iloc[0], parts=parts, few=few, least=least)[["host", "parts", "few", "least", "h", "n"]]
+
+    def count(part: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(part) or not len(asked):
+            return pd.DataFrame({"host": [], "h": [], "n": []}).astype({"host": object, "h": "int64", "n": "int64"})
+        out = units(part)
+        return out[out["h"].isin(asked["h"])].assign(host=part["host"].iloc[0])[["host", "h", "n"]]
+
+    def each(part: pd.DataFrame, elsewhere: pd.DataFrame) -> pd.DataFrame:
+        out = part[["page_id", "url"]].copy()
+        out["text"] = judged_texts(_part_blocks(part), evidence, int(part["n_pages"].iloc[0]), elsewhere) if len(part) else []
+        return out.astype(object)
+
+    sizes = rows.groupBy("host").agg(F.count("*").alias("n_pages")).select(F.col("host").alias("its_host"), "n_pages")
+    streams = rows.mapInPandas(read, "page_id long, url string, host string, kinds array<int>, texts array<string>")
+    streams = streams.join(sizes, F.col("host") == F.col("its_host")).drop("its_host")
+    streams = streams.withColumn("parts", F.ceil(F.col("n_pages") / group).cast("int"))
+    streams = stored(streams.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), "parts").cast("int")), "streams")
+    large = streams.where("parts > 1")
+    found = large.groupBy("host", "part").applyInPandas(report, "host string, parts int, few long, least long, h long, n long")
+    found = found.groupBy("host", "parts", "few", "least", "h").agg(F.sum("n").alias("n"), F.count("*").alias("told"))
+    asked = found.where("n + (least - 1) * (parts - told) >= few")
+    asked = stored(asked.select("host", "h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), "asked")
+    counted = large.groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInPandas(count, "host string, h long, n long")
+    total = stored(counted.groupBy("host", "h").agg(F.sum("n").alias("df")), "totals")
+    elsewhere = asked.join(total, ["host", "h"])
+    judged = streams.groupBy("host", "part").cogroup(elsewhere.groupBy("host", "part"))
+    return judged.applyInPandas(each, "page_id long, url string, text string")
+
+
+def _part_blocks(part: pd.DataFrame) -> list[list[tuple[int, str]]]:
+    return [list(zip(k, t)) for k, t in zip(part["kinds"], part["texts"])]
+
+
+def main_texts(
+    pages: DataFrame, long: int = LONG, group: int = GROUP_PAGES, evidence: Evidence | None = None
+) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages.
 
+    With `evidence`, blocks of articles and open blocks go by it; else open text goes token by token, in runs of
+    `long` tokens that two pages have.
+
     Null and empty pages have the empty text. Pages without url form a host of their own, made in parts like any
     large host. Repeated rows are pages of their own. Empty pages tables give no rows.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
+    if evidence:
+        return _texts_by_evidence(rows, evidence, group).withColumn("n_chars", F.char_length("text").cast("long"))
 
     def closed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -269,16 +423,13 @@ def main_texts(pages: DataFrame, long: int = LONG, group: int = GROUP_PAGES) ->
             out["texts"] = [[text for _, text in b] for b in blocks]
             yield out
 
-    def part_blocks(part: pd.DataFrame) -> list[list[tuple[int, str]]]:
-        return [list(zip(k, t)) for k, t in zip(part["kinds"], part["texts"])]
-
     def substrings(part: pd.DataFrame) -> pd.DataFrame:
-        h, ask = HostStream(part_blocks(part)).asked(long)
+        h, ask = HostStream(_part_blocks(part)).asked(long)
         return pd.DataFrame({"host": part["host"].iloc[0], "part": part["part"].iloc[0], "h": h, "ask": ask})
 
     def each(part: pd.DataFrame, elsewhere: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("page_id", kind="stable")
-        texts = host_texts(part_blocks(part), elsewhere["h"].to_numpy(np.int64), long)
+        texts = host_texts(_part_blocks(part), elsewhere["h"].to_numpy(np.int64), long)
         out = pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": texts})
         return out[part["asked"].to_numpy(bool)].astype(object)
 

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from medallion.llm.common import crc_fold, shingle_set
 from medallion.llm.fingerprints import edited_fingerprints, merged, resemblance, with_sketch
-from medallion.llm.html_text import main_texts, page_blocks, repeated
+from medallion.llm.html_text import Evidence, main_texts, page_blocks, repeated
 from medallion.llm.mixing import mix, mixed_documents, source_targets, splitting_tree
 from medallion.llm.packing import SumOfSquares, pack
 from medallion.llm.quality import quality_scores
@@ -281,6 +281,27 @@ def test_open_text_loses_what_pages_of_a_host_share(spark):
     assert got == {k: f"Story {k} tells of unique{k}." for k in range(9)}
 
 
+def test_evidence_follows_the_host_and_removes_blocks(spark):
+    notice = " ".join(f"notice{j}" for j in range(20))
+    quote = " ".join(f"quote{j}" for j in range(20))
+    copy = " ".join(f"copied{j}" for j in range(40))
+
+    def page(k):
+        said = f"{quote} " if k < 3 else ""
+        inside = f"<p>{notice}</p><p>share this line now</p><p>{quote if k < 5 else k}</p>"
+        return f"<article><p>story {k} {said}tells of it</p>{inside}</article><div>open {k} {said}end</div><div>{notice}</div>"
+
+    rows = [(k, f"http://h.example/{k}", page(k)) for k in range(60)]
+    rows += [(k, f"http://h.example/{k}", f"<div>{copy}</div>") for k in range(60, 72)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {k: copy for k in range(60, 72)}
+    for k in range(60):
+        said = f"{quote} " if k < 3 else ""
+        want[k] = f"story {k} {said}tells of it {quote if k < 5 else k} open {k} {said}end"
+    for group in (256, 20, 7):
+        assert {r.page_id: r.text for r in main_texts(df, group=group, evidence=Evidence()).collect()} == want
+
+
 def test_parts_of_a_host_judge_as_the_whole_does(spark):
     rng = np.random.default_rng(4)
     phrases = [" ".join(f"w{x}" for x in rng.integers(0, 9, rng.integers(6, 12))) for _ in range(40)]
