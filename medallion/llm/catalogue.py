@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.llm.alignment import align_tokenizers
 from medallion.llm.common import read_table, share_checkout
 from medallion.llm.fingerprints import edited_fingerprints
 from medallion.llm.html_text import Evidence, main_texts
@@ -17,8 +18,10 @@ from medallion.llm.mixing import mix
 from medallion.llm.packing import pack
 from medallion.llm.quality import quality_scores
 from medallion.llm.secret_scan import secret_scan
+from medallion.llm.sentence_pieces import encode_documents, piece_digests
 from medallion.llm.topk_search import quantised, top_k
 from medallion.llm.toxicity import toxicity_scores
+from medallion.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,6 +92,21 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read_table(spark, sf_dir, "pages"), evidence=Evidence())
 
 
+@_registered
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(encode_documents(read_table(spark, sf_dir, "documents")))
+
+
+@_registered
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(read_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 ORACLE_SQL["op2_topk_search"] = """
 WITH whole AS (
     SELECT vec_id, embedding FROM embeddings
