@@ -38,7 +38,7 @@ def _violation(rule: Rule) -> Column:
     return F.struct(
         F.lit(rule.rule).alias("rule"),
         F.lit(rule.column).alias("column_name"),
-        F.col(f"`{rule.column}`").cast("string").alias("bad_value"),
+        (F.col(f"`{rule.column}`") if rule.value is None else rule.value).cast("string").alias("bad_value"),
         F.lit(rule.error_desc).alias("error_desc"),
     )
 
@@ -48,20 +48,22 @@ def good_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.where(~any_broken(rules))
 
 
-def error_records(df: DataFrame, rules: list[Rule]) -> DataFrame:
+def error_records(df: DataFrame, rules: list[Rule], first: str | None = None) -> DataFrame:
     """One record per (bad row, broken rule): the whole row as read, plus what is wrong with it.
 
-    Good rows leave before the violation array is built, so its cost falls on bad rows only.
+    Good rows leave before the violation array is built, so its cost falls on bad rows only. `first` names a
+    flag that is true for one record of each bad row.
     """
     if not rules:
         nothing = [F.lit(None).cast("string").alias(name) for name in VIOLATION_FIELDS]
-        return df.where(F.lit(False)).select("*", *nothing)
-    violations = F.array(*[F.when(r.broken, _violation(r)) for r in rules])
+        flag = [F.lit(True).alias(first)] if first else []
+        return df.where(F.lit(False)).select("*", *nothing, *flag)
+    violations = F.array_compact(F.array(*[F.when(r.broken, _violation(r)) for r in rules]))
+    flag = [(F.col("_place") == 0).alias(first)] if first else []
     return (
         df.where(any_broken(rules))
-        .select("*", F.explode(violations).alias("_violation"))
-        .where(F.col("_violation").isNotNull())
-        .select(*[f"`{c}`" for c in df.columns], "_violation.*")
+        .select("*", F.posexplode(violations).alias("_place", "_violation"))
+        .select(*[f"`{c}`" for c in df.columns], "_violation.*", *flag)
     )
 
 

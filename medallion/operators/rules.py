@@ -20,6 +20,7 @@ NULL_ERROR = "NULL Check Failed for Column "
 TYPE_ERROR = "Data Type MisMatch for "
 DATE_ERROR = "Date Parse Failed for Column "
 CORRUPT_ERROR = "Document Cannot Be Read"
+DRIFT_ERROR = "Schema Drift in Column "
 
 # Column that keeps the raw text of a document that does not fit its schema.
 CORRUPT_COLUMN = "_corrupt_record"
@@ -27,13 +28,17 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 @dataclass(frozen=True)
 class Rule:
-    """`no_value`, on type rules of text columns: true for a value that is missing or does not fit."""
+    """`no_value`, on type rules of text columns: true for a value that is missing or does not fit.
+
+    `value` is the bad value, where that isn't the column's.
+    """
 
     rule: str
     column: str
     broken: Column
     error_desc: str
     no_value: Column | None = None
+    value: Column | None = None
 
 
 def not_null_rule(column: str, data_type: T.DataType, match: str = "contains") -> Rule:
@@ -113,6 +118,22 @@ def corrupt_rule() -> Rule:
     return Rule("corrupt", CORRUPT_COLUMN, F.col(CORRUPT_COLUMN).isNotNull(), CORRUPT_ERROR)
 
 
+def drift_rules(columns: list[str], rescued: str, others: list[Rule]) -> list[Rule]:
+    """Values of declared columns that a retyped file holds and the declared type doesn't; see `sources.drift`.
+
+    Such a value is no missing one, so `others` on that column are held back where it is rescued.
+    """
+
+    def rule(column: str) -> Rule:
+        value = F.get_json_object(F.col(rescued), f"$['{column}']")
+        broken = F.col(rescued).isNotNull() & value.isNotNull()
+        return Rule("schema_drift", column, broken, DRIFT_ERROR + column, value=value)
+
+    drift = {column: rule(column) for column in columns}
+    rest = [replace(r, broken=r.broken & ~drift[r.column].broken) if r.column in drift else r for r in others]
+    return [*drift.values(), *rest]
+
+
 def document_rules(rules: list[Rule]) -> list[Rule]:
     """Rules for parsed documents: one that cannot be read is `corrupt` and nothing else.
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from medallion.dictionary import DataDictionary
 from medallion.operators.header import IGNORED_COLUMNS, PARTITION_COLUMN, header_matches
+from medallion.operators.keys import split_by_key
 from medallion.operators.quality import split
 from medallion.operators.rules import rules_for
 from medallion.operators.standardize import conform, standardize_dates
@@ -64,12 +65,14 @@ def load_silver(
     match: str = "contains",
     render_dates: bool = False,
     cache: StorageLevel | None = None,
+    unique_keys: bool = False,
 ) -> bool:
     """Bronze to silver: header check, all rules in one plan, good rows and error records written.
 
     The two writes read bronze once each. That is a second columnar scan, against keeping the whole
-    table on executor disks; pass `cache` where the input is small or costly to read. Returns whether
-    the header matched.
+    table on executor disks; pass `cache` where the input is small or costly to read. With `unique_keys` rows
+    that share their primary key with another good row, or lack it, are quarantined too; otherwise such
+    duplicates stay. Returns whether the header matched.
     """
     bronze = spark.read.parquet(layers.bronze(table))
     matched = header_matches(bronze, dictionary, table, strict_header)
@@ -78,6 +81,9 @@ def load_silver(
         rows = rows.persist(cache)
     try:
         good, errors = split(rows, rules_for(rows, dictionary, table, match))
+        if unique_keys:
+            good, repeated = split_by_key(good, dictionary.primary_keys(table))
+            errors = errors.unionByName(repeated)
         write_errors(errors, layers.errors(table), as_of)
         if render_dates:
             clean = standardize_dates(good, dictionary.dates(table), render=True)

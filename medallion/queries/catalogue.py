@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.header import document_header_report
+from medallion.operators.keys import key_violations, split_by_key
 from medallion.operators.nested import flatten, sanitize_names
 from medallion.operators.quality import (
     error_records,
@@ -26,6 +27,7 @@ from medallion.operators.standardize import conform, standardize_dates
 from medallion.operators.upsert import latest, upsert, upsert_by_full_join, upsert_by_union
 from medallion.plans import gold
 from medallion.plans.initial import Layers, ingest_all, load_silver, register_layers
+from medallion.plans.refresh import MaintainedFact
 from medallion.queries.derived import (
     SilverTables,
     change_events,
@@ -37,13 +39,16 @@ from medallion.queries.derived import (
     nested_lines,
     order_documents,
     SOURCE_TABLES,
+    changed_rows,
+    sources_after,
+    sources_before,
     shared_key_collections,
     shared_key_events,
     table,
 )
 from medallion.session import workspace
 from medallion.sinks.catalog import create_database, register_gold
-from medallion.sinks.writers import append_landing, write_errors, write_full
+from medallion.sinks.writers import append_landing, remove_directory, write_errors, write_full
 from medallion.sources.cdc import look_up_documents, of_collection, parse_events, post_images, split_events
 from medallion.sources.documents import parse_documents, split_corrupt
 from medallion.sources.readers import read_day, read_silver, read_source, read_table
@@ -316,6 +321,91 @@ def q_stream_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.current()
 
 
+def q_stream_lost_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals; before the last the checkpoint is lost, so its run is delivered every file again.
+
+    All three sides of the load, told apart by `side`.
+    """
+    load = _landed_in_two_runs(spark, sf_dir)
+    remove_directory(spark, f"{load.root}/checkpoint")
+    late = dirty_events(spark, sf_dir).where("event_id % 10 = 0").withColumn("event_id", -F.col("event_id"))
+    late.write.mode("append").parquet(load.landing)
+    load.ledger.fold()
+    load.run(max_files=1)
+    sides = {
+        "good": load.current(),
+        "bronze": spark.read.parquet(f"{load.root}/bronze"),
+        "error": load.errors().withColumn("value", F.col("bad_value")),
+    }
+    parts = [
+        df.select(F.lit(side).alias("side"), "event_id", F.col("value").cast("decimal(18,2)" if side == "good" else "string").cast("string").alias("value"))
+        for side, df in sides.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_stream_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each batch, taken while it was written."""
+    return _landed_in_two_runs(spark, sf_dir).balance()
+
+
+def _drifting_events(spark: SparkSession, sf_dir: str) -> IncrementalLoad:
+    """Three arrivals: as declared; with a new column and one lost; with one retyped, in part beyond its type."""
+    root = workspace(spark, "drift")
+    load = IncrementalLoad(
+        spark, dictionary(), "events", f"{root}/landing", root, EVENT_SEQ, DAY_1, LANDED_EVENTS
+    )
+    events, of = dirty_events(spark, sf_dir), F.col("event_id") % 3
+    user = F.col("user_id").cast("string")
+    odd = F.concat(F.lit("u"), user)
+    arrivals = [
+        events.where(of == 0),
+        events.where(of == 1).drop("props").withColumn("channel", F.concat(F.lit("c"), F.col("event_id") % 4)),
+        events.where(of == 2).withColumn("user_id", F.when(F.col("event_id") % 7 == 0, odd).otherwise(user)),
+    ]
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(load.landing)
+        load.run()
+    return load
+
+
+def q_stream_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table after files with a new, a lost and a retyped column."""
+    return _drifting_events(spark, sf_dir).current()
+
+
+def q_stream_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the declared columns couldn't hold, in bronze and in quarantine."""
+    load = _drifting_events(spark, sf_dir)
+    bronze = spark.read.parquet(f"{load.root}/bronze").where("_rescued is not null")
+    bronze = bronze.select("event_id", F.lit("bronze").alias("side"), F.col("_rescued").alias("value"))
+    errors = load.errors().select("event_id", F.concat_ws(":", "rule", "column_name").alias("side"), F.col("bad_value").alias("value"))
+    return bronze.unionByName(errors)
+
+
+def q_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose key, as an order and line number, is NULL in part or isn't unique."""
+    order = F.when(F.col("l_partkey") % 97 != 0, F.col("l_orderkey")).alias("l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select(order, "l_linenumber", "l_partkey", "l_suppkey")
+    return key_violations(lines, ["l_orderkey", "l_linenumber"])
+
+
+def q_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines that `key_violations` leaves."""
+    order = F.when(F.col("l_partkey") % 97 != 0, F.col("l_orderkey")).alias("l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select(order, "l_linenumber", "l_partkey", "l_suppkey")
+    return split_by_key(lines, ["l_orderkey", "l_linenumber"]).good
+
+
+def q_seed_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log seeded with every version of each key, then a batch that some of them are newer than."""
+    events = table(spark, sf_dir, "events")
+    log = ChangeLog(spark, workspace(spark, "seeded"), events.schema, EVENT_KEYS, EVENT_SEQ)
+    log.seed(events.where("event_id % 5 <> 0"))
+    log.append(events.where("event_id % 5 = 0"), 0)
+    return log.current()
+
+
 # --- layers -------------------------------------------------------------------------------------
 
 
@@ -468,6 +558,23 @@ def q_incremental_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_facts(spark, sf_dir, read_silver(spark, database, dictionary("orders"))["orders"])
 
 
+#: Owners in a part of a maintained fact.
+OWNERS_A_PART = 5_000
+
+
+def _refreshed(names: tuple[str, ...], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact built before rows came and changed, then brought up to date."""
+    before = SilverTables(spark, sf_dir, sources_before(spark, sf_dir))
+    after = SilverTables(spark, sf_dir, sources_after(spark, sf_dir))
+    parts = []
+    for name in names:
+        fact = MaintainedFact(spark, name, workspace(spark, f"fact-{name}"), OWNERS_A_PART)
+        fact.build(before)
+        fact.refresh(after, changed_rows(after))
+        parts.append(fact.read(after))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_clean_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text orders through all checks to typed rows, then the order line fact on the good ones."""
     return _order_facts(spark, sf_dir, q_typed_rows(spark, sf_dir))
@@ -509,6 +616,13 @@ QUERIES: dict[str, Query] = {
     "stream_errors": q_stream_errors,
     "stream_bronze": q_stream_bronze,
     "stream_rerun_idempotent": q_stream_rerun,
+    "stream_lost_checkpoint": q_stream_lost_checkpoint,
+    "stream_balance": q_stream_balance,
+    "stream_schema_drift": q_stream_schema_drift,
+    "stream_rescued": q_stream_rescued,
+    "key_violations": q_key_violations,
+    "unique_keys": q_unique_keys,
+    "seed_repeated_keys": q_seed_repeated_keys,
     "bronze_roundtrip": q_bronze_roundtrip,
     "full_reload_overwrite": q_full_reload,
     "landing_append": q_landing_append,
@@ -533,4 +647,9 @@ QUERIES: dict[str, Query] = {
     "gold_catalog_counts": q_gold_catalog_counts,
     "clean_order_lines": q_clean_order_lines,
     "incremental_to_gold": q_incremental_to_gold,
+    "refresh_order_line": partial(_refreshed, ("Movement",)),
+    "refresh_purchase": partial(_refreshed, ("Purchase",)),
+    "refresh_sales": partial(_refreshed, ("Sales",)),
+    "refresh_transactions": partial(_refreshed, ("CustomerTransactions", "SupplierTransactions")),
+    "refresh_stock_movement": partial(_refreshed, ("StockMovement",)),
 }

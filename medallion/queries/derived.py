@@ -288,19 +288,62 @@ SILVER: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+def sources_before(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Orders, lines and events before the last of them came: every tenth isn't there."""
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+    return {name: table(spark, sf_dir, name).where(~_every(10, key)) for name, key in keys.items()}
+
+
+def sources_after(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All of them, some changed: other customers, quantities, cities, item sizes, and a package's name."""
+    changes = {
+        "orders": ("o_custkey", F.when(_every(7), 1).otherwise(F.col("o_custkey"))),
+        "lineitem": ("l_quantity", F.col("l_quantity") + F.when(_every(11, "l_orderkey"), 1).otherwise(0)),
+        "customer": ("c_nationkey", F.when(_every(50, "c_custkey"), 99).otherwise(F.col("c_nationkey"))),
+        "part": ("p_size", F.when(_every(40, "p_partkey"), 1).otherwise(F.col("p_size"))),
+        "nation": ("n_name", F.when(F.col("n_nationkey") == 3, "RENAMED").otherwise(F.col("n_name"))),
+        "events": ("value", F.when(_every(9, "event_id"), 1.0).otherwise(F.col("value"))),
+    }
+    return {
+        name: table(spark, sf_dir, name).withColumn(column, value.cast(table(spark, sf_dir, name).schema[column].dataType))
+        for name, (column, value) in changes.items()
+    }
+
+
+def changed_rows(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rows of the clean tables that `sources_before` and `sources_after` differ in."""
+    new = {"OrderID": 7, "PurchaseOrderID": 7, "InvoiceID": 7, "CustomerTransactionID": 7, "StockItemTransactionID": 9}
+    lines = {"OrderLines": "OrderID", "PurchaseOrderLines": "PurchaseOrderID", "InvoiceLines": "InvoiceID"}
+    headers = {
+        "Orders": "OrderID", "PurchaseOrders": "PurchaseOrderID", "Invoices": "InvoiceID",
+        "CustomerTransactions": "CustomerTransactionID", "StockItemTransactions": "StockItemTransactionID",
+    }
+    changed = {name: tables[name].where(_every(10, key) | _every(new[key], key)) for name, key in headers.items()}
+    changed |= {name: tables[name].where(_every(10, key) | _every(11, key)) for name, key in lines.items()}
+    changed["SupplierTransactions"] = tables["SupplierTransactions"].where("PurchaseOrderID % 10 = 0")
+    changed["Customers"] = tables["Customers"].where(_every(50, "CustomerID"))
+    changed["StockItems"] = tables["StockItems"].where(_every(40, "StockItemID"))
+    changed["PackageTypes"] = tables["PackageTypes"].where("PackageTypeID = 3")
+    return changed
+
+
 class SilverTables(Mapping):
-    """The given tables under the names and columns the gold plans read, built when asked for."""
+    """The given tables under the names and columns the gold plans read, built when asked for.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, **replaced: DataFrame):
-        self._spark, self._sf_dir, self._replaced = spark, sf_dir, replaced
+    `sources` are frames to take in place of given tables.
+    """
+
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, sources: Mapping[str, DataFrame] | None = None, **replaced: DataFrame
+    ):
+        self._spark, self._sf_dir, self._sources, self._replaced = spark, sf_dir, sources or {}, replaced
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._replaced:
             return self._replaced[name]
         source, columns = SILVER[name]
-        return table(self._spark, self._sf_dir, source).selectExpr(
-            *[f"{sql} as {column}" for column, sql in columns.items()]
-        )
+        rows = self._sources[source] if source in self._sources else table(self._spark, self._sf_dir, source)
+        return rows.selectExpr(*[f"{sql} as {column}" for column, sql in columns.items()])
 
     def __iter__(self):
         return iter(SILVER)

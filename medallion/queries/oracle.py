@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 DIRTY_ORDERS = """
 dirty_orders as (
   select cast(o_orderkey as varchar) as o_orderkey,
@@ -177,6 +179,23 @@ select l_shipdate, null, l_orderkey * 10 + l_linenumber, null, l_orderkey, l_ret
 from lineitem""",
 }
 
+_CHANGED = """
+with new_orders as (
+  select * replace (case when o_orderkey % 7 = 0 then 1 else o_custkey end as o_custkey) from orders),
+new_lineitem as (
+  select * replace (case when l_orderkey % 11 = 0 then l_quantity + 1 else l_quantity end as l_quantity) from lineitem),
+new_customer as (
+  select * replace (case when c_custkey % 50 = 0 then 99 else c_nationkey end as c_nationkey) from customer),
+new_part as (select * replace (case when p_partkey % 40 = 0 then 1 else p_size end as p_size) from part),
+new_nation as (select * replace (case when n_nationkey = 3 then 'RENAMED' else n_name end as n_name) from nation),
+new_events as (select * replace (case when event_id % 9 = 0 then 1 else value end as value) from events)
+"""
+
+
+def _after_changes(sql: str) -> str:
+    return _CHANGED + re.sub(r"\b(orders|lineitem|customer|part|nation|events)\b", r"new_\1", sql)
+
+
 _GOLD_NAMES = {
     "Cities": "gold_city", "Customer": "gold_customer", "Employee": "gold_employee",
     "StockItem": "gold_stock_item", "Supplier": "gold_supplier", "StockMovement": "fact_stock_movement",
@@ -184,6 +203,42 @@ _GOLD_NAMES = {
     "Sales": "fact_sales", "Transactions": "fact_transactions",
 }
 
+_LANDED_VALUE = "case when event_id % 11 = 0 then 'abc' else cast(cast(value as decimal(18,2)) as varchar) end"
+_LOST_CHECKPOINT = f"""
+with landed as (
+  select event_id, ts, user_id, event_type, {_LANDED_VALUE} as value from events
+  union all
+  select -event_id, ts, user_id, event_type, {_LANDED_VALUE} from events where event_id % 10 = 0
+), newest as (
+  select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as rn
+  from landed where value <> 'abc'
+)
+select 'good' as side, event_id, value from newest where rn = 1
+union all select 'bronze', event_id, value from landed
+union all select 'error', event_id, value from landed where value = 'abc'"""
+
+_BALANCE = """
+select cast(event_id % 2 as bigint) as batch_id, count(*) as n_rows, count(*) filter (event_id % 11 <> 0) as n_good,
+       count(*) filter (event_id % 11 = 0) as n_bad, count(*) filter (event_id % 11 = 0) as n_violations,
+       count(distinct (user_id, event_type)) filter (event_id % 11 <> 0) as n_logged
+from events group by event_id % 2"""
+
+_DRIFTED = "event_id % 3 = 2 and event_id % 7 = 0"
+_DRIFT = f"""
+select * replace (case when event_id % 3 <> 1 then props end as props)
+from ({NEWEST_EVENT.format(where=f"event_id % 11 <> 0 and not ({_DRIFTED})")})"""
+_RESCUED = f"""
+select event_id, 'bronze' as side, '{{"channel":"c' || event_id % 4 || '"}}' as value from events where event_id % 3 = 1
+union all select event_id, 'bronze', '{{"user_id":"u' || user_id || '"}}' from events where {_DRIFTED}
+union all select event_id, 'schema_drift:user_id', 'u' || user_id from events where {_DRIFTED}
+union all select event_id, 'type:value', 'abc' from events where event_id % 11 = 0"""
+
+_KEYED = """
+with keyed as (
+  select case when l_partkey % 97 <> 0 then l_orderkey end as l_orderkey, l_linenumber, l_partkey, l_suppkey,
+         count(*) over (partition by case when l_partkey % 97 <> 0 then l_orderkey end, l_linenumber) as n
+  from lineitem)"""
+
 _NEWEST_OF_ALL = NEWEST_EVENT.format(where="true")
 _CURRENT_STREAM = NEWEST_EVENT.format(where="event_id % 11 <> 0")
 
@@ -297,6 +352,21 @@ select event_id, case when event_id % 11 = 0 then 'abc' else cast(cast(value as
        as value, date '2024-03-01' as part_date, cast(event_id % 2 as int) as batch_id
 from events""",
     "stream_rerun_idempotent": _CURRENT_STREAM,
+    "stream_lost_checkpoint": _LOST_CHECKPOINT,
+    "stream_balance": _BALANCE,
+    "stream_schema_drift": _DRIFT,
+    "stream_rescued": _RESCUED,
+    "key_violations": f"""{_KEYED}
+select l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       case when l_orderkey is null then 'null_key' else 'duplicate_key' end as rule,
+       'l_orderkey,l_linenumber' as column_name,
+       '{{"l_orderkey":' || coalesce(cast(l_orderkey as varchar), 'null') || ',"l_linenumber":' || l_linenumber || '}}'
+         as bad_value,
+       case when l_orderkey is null then 'Primary Key Is NULL: ' else 'Primary Key Is Not Unique: ' end
+         || 'l_orderkey,l_linenumber' as error_desc
+from keyed where l_orderkey is null or n > 1""",
+    "unique_keys": f"{_KEYED} select * exclude (n) from keyed where l_orderkey is not null and n = 1",
+    "seed_repeated_keys": _NEWEST_OF_ALL,
     "bronze_roundtrip": "select *, date '2024-03-01' as part_date from customer",
     "full_reload_overwrite": "select *, date '2024-03-02' as part_date from orders where o_orderstatus <> 'F'",
     "landing_append": """
@@ -332,5 +402,9 @@ union all select s_suppkey, s_name, null from supplier""",
     "incremental_to_gold": f"""with {GOOD}, typed as (
   select * replace (case when o_orderkey % 3 = 0 then 1 when o_orderkey % 10 = 0 then 2 else o_custkey end as o_custkey)
   from ({TYPED})) {_order_lines('typed')}""",
+    **{
+        f"refresh_{name}": _after_changes(_GOLD[f"fact_{name}"])
+        for name in ("order_line", "purchase", "sales", "transactions", "stock_movement")
+    },
     "clean_order_lines": f"""with {GOOD}, typed as ({TYPED}) {_order_lines('typed')}""",
 }

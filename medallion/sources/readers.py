@@ -82,3 +82,17 @@ def stream_files(
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
+
+
+def arriving_files(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Files of a directory as a stream of their metadata: (file_path, modified), a row for each row of a file.
+
+    No column is read, so a file of any schema passes.
+    """
+    files = stream_files(spark, path, T.StructType(), max_files=max_files, max_bytes=max_bytes)
+    return files.select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )

@@ -11,14 +11,13 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.operators.quality import has_rows
 from medallion.operators.upsert import latest, upsert, upsert_by_full_join, upsert_by_union
 from medallion.sinks.bucketed import bucketed_table, write_bucketed
 from medallion.sinks.writers import (
-    batch_path,
     child_directories,
     committed,
     remove_directory,
@@ -84,14 +83,19 @@ class ChangeLog:
             write_bucketed(df, table, path, self.keys, self.buckets, clustered)
 
     def seed(self, df: DataFrame) -> None:
-        """Start from a full load."""
-        self._write_snapshot(df.select(*self.schema.names), clustered=False)
+        """Start from a full load, reduced to its newest version per key: rows may repeat keys there."""
+        rows = latest(df.select(*self.schema.names), self.keys, self.seq)
+        self._write_snapshot(rows, clustered=False)
+
+    def append(self, df: DataFrame, batch_id: int) -> int:
+        """Log a batch, reduced to its newest version per key. Returns how many rows that left.
 
-    def append(self, df: DataFrame, batch_id: int) -> bool:
-        """Log a batch, reduced to its newest version per key. Returns whether it had any rows."""
+        They are counted as they are written, by the tasks of the last stage, each of which counts once.
+        """
         rows = latest(df.select(*self.schema.names), self.keys, self.seq)
-        write_batch(rows, self._log, batch_id)
-        return has_rows(self._read([batch_path(self._log, batch_id)]))
+        logged = Observation()
+        write_batch(rows.observe(logged, F.count(F.lit(1)).alias("n")), self._log, batch_id)
+        return logged.get["n"]
 
     def current(self) -> DataFrame:
         """The table now: one row per key."""
@@ -105,6 +109,16 @@ class ChangeLog:
         apply = upsert if self.buckets is None else upsert_by_full_join
         return apply(snapshot, self._read(batches), self.keys, self.seq)
 
+    def changed(self) -> DataFrame:
+        """Rows of all keys in the log: as they are in the last snapshot, and every version logged since."""
+        versions, batches = self._versions(), self._batches()
+        logged = self._read(batches)
+        if not versions or not batches:
+            return logged
+        keys = logged.select(*self.keys).distinct()
+        before = self._snapshot(versions[-1]).join(keys, self.keys, "left_semi")
+        return before.select(*self.schema.names).unionByName(logged)
+
     def newest_snapshot(self) -> str:
         """Directory of the newest finished snapshot; of an empty one, if there is none yet."""
         if not self._versions():

@@ -1,0 +1,268 @@
+"""Files are taken once whatever happens to the checkpoint, their drift is seen, and keys are checked over rows."""
+
+from collections import Counter
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from medallion.operators.keys import key_violations, repeated_keys, split_by_key
+from medallion.plans.initial import Layers, load_silver
+from medallion.queries.catalogue import EVENT_SEQ, LANDED_EVENTS
+from medallion.queries.derived import dictionary, dirty_events, dirty_orders
+from medallion.sinks.writers import remove_directory, write_full
+from medallion.sources.drift import RESCUED_COLUMN, fit_to, footer_schemas, read_drifting
+from medallion.streaming.changelog import ChangeLog
+from medallion.streaming.incremental import IncrementalLoad
+from medallion.streaming.ledger import FileLedger
+from medallion.streaming.schemas import SchemaLog, schema_changes
+
+DAY = date(2024, 1, 1)
+FILES = [("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 2)), ("c", datetime(2024, 1, 3))]
+
+
+def incremental(spark, root):
+    return IncrementalLoad(
+        spark, dictionary(), "events", f"{root}/landing", str(root), EVENT_SEQ, DAY, LANDED_EVENTS
+    )
+
+
+def ids(df):
+    return Counter(r.event_id for r in df.select("event_id").collect())
+
+
+# --- the ledger
+
+
+def test_ledger_knows_finished_batches_only(spark, tmp_path):
+    ledger = FileLedger(spark, f"{tmp_path}/ledger")
+    frame = spark.createDataFrame([*FILES, FILES[0]], "file_path string, modified timestamp")
+    assert ledger.next_batch() == 0 and ledger.fresh(frame).count() == 3
+    ledger.commit(0, FILES[:1])
+    ledger.commit(1, FILES[1:2])
+    assert ledger.next_batch() == 2 and [r.file_path for r in ledger.fresh(frame).collect()] == ["c"]
+    (tmp_path / "ledger" / "batch=1" / "_SUCCESS").unlink()
+    assert ledger.next_batch() == 1 and ledger.fresh(frame).count() == 2
+    replaced = spark.createDataFrame([("a", datetime(2024, 2, 1))], "file_path string, modified timestamp")
+    assert ledger.fresh(replaced).count() == 1
+
+
+def test_folded_entries_still_count(spark, tmp_path):
+    ledger = FileLedger(spark, f"{tmp_path}/ledger")
+    ledger.fold()
+    assert ledger.entries().count() == 0
+    for batch, file in enumerate(FILES):
+        ledger.commit(batch, [file])
+        if batch:
+            ledger.fold()
+    assert ledger.next_batch() == 3 and ledger.batches() == []
+    assert {(r.file_path, r.batch) for r in ledger.entries().collect()} == {("a", 0), ("b", 1), ("c", 2)}
+    # a fold that died before it removed what it folded
+    ledger.commit(1, [FILES[1]])
+    assert ledger.next_batch() == 3 and ledger.entries().count() == 3
+
+
+def test_lost_checkpoints_deliver_nothing_twice(spark, tiny_dir, tmp_path):
+    load = incremental(spark, tmp_path)
+    rows = dirty_events(spark, tiny_dir)
+    rows.repartition(4).write.parquet(load.landing)
+    load.run(max_files=1)
+    sides = [load.current(), spark.read.parquet(f"{load.root}/bronze"), load.errors()]
+    before = [ids(df) for df in sides]
+    assert before[1] == ids(rows) and load.ledger.next_batch() == 4
+    for files in (1, 3, None):
+        remove_directory(spark, f"{load.root}/checkpoint")
+        incremental(spark, tmp_path).run(max_files=files)
+    after = [ids(df) for df in (load.current(), spark.read.parquet(f"{load.root}/bronze"), load.errors())]
+    assert after == before and load.ledger.next_batch() == 4
+
+
+@pytest.mark.parametrize("step", ["append", "commit"])
+def test_a_batch_that_died_is_taken_again_whole(spark, tiny_dir, tmp_path, monkeypatch, step):
+    load = incremental(spark, tmp_path)
+    rows = dirty_events(spark, tiny_dir)
+    rows.where("event_id % 2 = 0").repartition(2).write.parquet(load.landing)
+    owner = {"append": ChangeLog, "commit": FileLedger}[step]
+
+    def die(*_):
+        raise RuntimeError("executor of the driver's will")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, step, die)
+        with pytest.raises(Exception, match="will"):
+            load.run()
+    # Before it runs again more files arrive and the checkpoint is lost, so the next batch is another one.
+    rows.where("event_id % 2 = 1").write.mode("append").parquet(load.landing)
+    remove_directory(spark, f"{load.root}/checkpoint")
+    load.run()
+    assert ids(spark.read.parquet(f"{load.root}/bronze")) == ids(rows)
+    assert ids(load.errors()) == ids(rows.where("event_id % 11 = 0"))
+    assert load.ledger.next_batch() == 1
+
+
+def test_files_with_odd_names_are_read(spark, tmp_path):
+    load = incremental(spark, tmp_path)
+    row = (1, datetime(2024, 1, 1), 1, "click", "5", "{}")
+    spark.createDataFrame([row], LANDED_EVENTS).coalesce(1).write.parquet(f"{tmp_path}/once")
+    part = next((tmp_path / "once").glob("part-*.parquet"))
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a b%20[1]{é}.parquet").write_bytes(part.read_bytes())
+    load.run()
+    assert ids(load.current()) == {1: 1}
+
+
+# --- balance
+
+
+def test_balance_counts_what_was_written(spark, tiny_dir, tmp_path):
+    load = incremental(spark, tmp_path)
+    assert load.balance().count() == 0
+    rows = dirty_events(spark, tiny_dir).withColumn("ts", F.when(F.col("event_id") % 22 != 0, F.col("ts")))
+    rows.write.parquet(load.landing)
+    load.run()
+    n, bad = rows.count(), rows.where("event_id % 11 = 0").count()
+    both = rows.where("event_id % 22 = 0").count()
+    row = load.balance().first()
+    assert (row.n_rows, row.n_good, row.n_bad, row.n_violations) == (n, n - bad, bad, bad + both)
+    assert row.n_logged == load.current().count()
+    load.process_batch(spark.createDataFrame([], LANDED_EVENTS), 7)
+    assert tuple(load.balance().where("batch_id = 7").first()) == (7, 0, 0, 0, 0, 0)
+
+
+# --- drift
+
+
+def test_values_that_do_not_fit_are_rescued(spark):
+    declared = T.StructType.fromDDL("id bigint, n int, at timestamp_ntz, s string, gone date, d double")
+    rows = [
+        (1, 2.0, "2024-01-01 00:00:00", 7, {"k": 1}, "1e3", "x"),
+        (2, 2.5, "soon", None, None, "much", None),
+        (3, 1e12, None, 9, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "id int, n double, at string, s long, `a.b` map<string,int>, d string, T string")
+    got = {r.id: r for r in fit_to(df, declared).collect()}
+    assert [f.dataType for f in fit_to(df, declared).schema.fields[:-1]] == [f.dataType for f in declared.fields]
+    assert (got[1].n, got[1]["at"], got[1].s, got[1].gone, got[1].d) == (2, datetime(2024, 1, 1), "7", None, 1000.0)
+    assert got[1][RESCUED_COLUMN] == '{"a.b":{"k":1},"T":"x"}'
+    assert got[2][RESCUED_COLUMN] == '{"n":2.5,"at":"soon","d":"much"}' and got[2].n is None and got[2].d is None
+    assert got[3][RESCUED_COLUMN] == '{"n":1.0E12}' and got[3].n is None
+    cased = spark.createDataFrame([(5, "x")], "ID bigint, b string")
+    assert fit_to(cased, T.StructType.fromDDL("id bigint")).collect() == [(5, '{"b":"x"}')]
+    nested = spark.createDataFrame([((1,),)], "s struct<x:int>")
+    assert fit_to(nested, T.StructType.fromDDL("s string")).collect() == [(None, '{"s":{"x":1}}')]
+    assert fit_to(spark.createDataFrame([(1,)], "id bigint"), T.StructType.fromDDL("id bigint")).collect() == [(1, None)]
+
+
+def test_one_footer_per_write_is_read(spark, tmp_path, monkeypatch):
+    spark.range(40).repartition(5).write.parquet(f"{tmp_path}/a")
+    spark.range(4).selectExpr("cast(id as string) as id").write.parquet(f"{tmp_path}/b")
+    files = [str(p) for d in "ab" for p in (tmp_path / d).glob("part-*.parquet")]
+    found = {s.simpleString(): len(paths) for s, paths in footer_schemas(spark, files)}
+    assert found == {"struct<id:bigint>": 5, "struct<id:string>": len(files) - 5}
+    rows, schemas = read_drifting(spark, files, T.StructType.fromDDL("id bigint"))
+    assert sorted(r.id for r in rows.collect()) == sorted([*range(40), *range(4)]) and len(schemas) == 2
+
+
+def test_schema_versions_are_kept_once(spark, tmp_path):
+    declared = T.StructType.fromDDL("id bigint, v string")
+    log = SchemaLog(spark, f"{tmp_path}/schema", declared)
+    later = T.StructType.fromDDL("id string, extra int")
+    assert log.history().count() == 0
+    assert log.record(0, [declared]) == [declared]
+    assert log.record(1, [declared, later]) == [later] and log.record(2, [later, declared]) == []
+    assert schema_changes(later, declared) == [
+        ("id", "string", "retyped"), ("extra", "int", "new"), ("v", None, "lost")
+    ]
+    rows = log.history().orderBy("version", "ordinal").collect()
+    assert [(r.version, r.batch, r.column_name, r.status) for r in rows] == [
+        (0, 0, "id", "ok"), (0, 0, "v", "ok"), (1, 1, "id", "retyped"), (1, 1, "extra", "new"), (1, 1, "v", "lost")
+    ]
+
+
+def test_drift_in_a_stream(spark, tmp_path):
+    load = incremental(spark, tmp_path)
+    at = datetime(2024, 1, 1)
+    plain = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value string, props string"
+    arrivals = [
+        ([(1, at, 1, "a", "5", "{}")], plain),
+        ([(2, at, 2, "a", 5.5, "{}", [1, 2])], plain.replace("value string", "value double") + ", more array<int>"),
+        ([(3, at, "x", "a", "n/a", "{}"), (4, at, "4", "a", "4", None)], plain.replace("user_id bigint", "user_id string")),
+        ([(5, at, 5, "a")], "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"),
+    ]
+    for rows, schema in arrivals:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(load.landing)
+    load.run()
+    assert {(r.event_id, r.user_id, r.value) for r in load.current().collect()} == {(1, 1, 5.0), (2, 2, 5.5), (4, 4, 4.0)}
+    errors = {(r.event_id, r.rule, r.column_name, r.bad_value) for r in load.errors().collect()}
+    assert errors == {
+        (3, "schema_drift", "user_id", "x"), (3, "type", "value", "n/a"), (5, "not_null", "value", None)
+    }
+    rescued = spark.read.parquet(f"{load.root}/bronze").where("_rescued is not null")
+    assert {(r.event_id, r[RESCUED_COLUMN]) for r in rescued.collect()} == {(2, '{"more":[1,2]}'), (3, '{"user_id":"x"}')}
+    found = {(r.column_name, r.status) for r in load.schemas.history().where("status <> 'ok'").collect()}
+    assert found == {
+        ("value", "retyped"), ("more", "new"), ("user_id", "retyped"), ("value", "lost"), ("props", "lost")
+    }
+    row = load.balance().first()
+    assert (row.n_rows, row.n_good, row.n_bad, row.n_violations) == (5, 3, 2, 3)
+
+
+# --- keys
+
+KEYED = [(1, "a", "x"), (1, "a", "y"), (1, "b", "x"), (None, "a", "x"), (2, None, "x"), (3, "c", "z"), (3, "c", "z")]
+
+
+def test_key_violations(spark):
+    df = spark.createDataFrame(KEYED, "k int, `l.m` string, v string")
+    keys = ["k", "l.m"]
+    got = Counter((r.k, r["l.m"], r.v, r.rule, r.bad_value) for r in key_violations(df, keys).collect())
+    assert got == Counter(
+        [
+            (1, "a", "x", "duplicate_key", '{"k":1,"l.m":"a"}'),
+            (1, "a", "y", "duplicate_key", '{"k":1,"l.m":"a"}'),
+            (None, "a", "x", "null_key", '{"k":null,"l.m":"a"}'),
+            (2, None, "x", "null_key", '{"k":2,"l.m":null}'),
+        ]
+        + [(3, "c", "z", "duplicate_key", '{"k":3,"l.m":"c"}')] * 2
+    )
+    good, errors = split_by_key(df, keys)
+    assert good.columns == df.columns and good.collect() == [(1, "b", "x")]
+    assert good.count() + errors.count() == df.count()
+    assert key_violations(df.where("v = 'none'"), keys).count() == 0
+    with pytest.raises(ValueError, match="primary key"):
+        key_violations(df, [])
+
+
+def test_hot_keys_are_counted_before_the_shuffle(spark):
+    df = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in repeated_keys(df, ["k"]).collect()] == [(0, 33_334)]
+    plan = repeated_keys(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("Exchange") < plan.rindex("HashAggregate")
+    assert key_violations(df, ["k"]).count() == 33_334
+
+
+def test_a_load_can_quarantine_by_key(spark, tiny_dir, tmp_path):
+    orders = dirty_orders(spark, tiny_dir)
+    doubled = orders.unionAll(orders.where("o_orderkey % 50 = 0"))
+    layers = Layers(str(tmp_path))
+    write_full(doubled, layers.bronze("orders"), DAY)
+    load_silver(spark, layers, dictionary("orders"), "orders", DAY)
+    kept = [r.o_orderkey for r in spark.read.parquet(layers.silver("orders")).collect()]
+    load_silver(spark, layers, dictionary("orders"), "orders", DAY, unique_keys=True)
+    silver, errors = spark.read.parquet(layers.silver("orders")), spark.read.parquet(layers.errors("orders"))
+    repeated = len(kept) - len(set(kept))
+    assert repeated and silver.count() == len(kept) - 2 * repeated
+    assert errors.where("rule = 'duplicate_key'").count() == 2 * repeated
+    assert silver.count() == silver.select("o_orderkey").distinct().count()
+
+
+@pytest.mark.parametrize("buckets", [None, 16])
+def test_a_seed_holds_one_row_per_key(spark, tmp_path, buckets):
+    schema = T.StructType.fromDDL("id int, seq int, v string")
+    log = ChangeLog(spark, f"{tmp_path}/{buckets}", schema, ["id"], ["seq"], buckets)
+    log.seed(spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (2, 1, "p"), (2, 1, "p")], schema))
+    log.append(spark.createDataFrame([(2, 1, "z")], schema), 0)
+    assert sorted(map(tuple, log.current().collect())) == [(1, 2, "y"), (2, 1, "z")]
+    log.compact()
+    assert sorted(map(tuple, log.current().collect())) == [(1, 2, "y"), (2, 1, "z")]
