@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,26 +22,26 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from medallion.llm.common import stored
-from medallion.llm.sentence_pieces import MODEL, PieceModel, piece_model, public_path
+from medallion.llm.sentence_pieces import MODEL, MergeRounds, PieceModel, piece_model, public_path
 
 BYTE_MODEL = "byte_bpe_50k.json"
 #: Characters of a chunk; a longer text is a chunk of its own.
-CHUNK = 3 << 20
-#: Words whose ids a worker remembers; others are tokenized again.
-REMEMBERED = 500_000
+CHUNK = 1 << 20
+
+_LETTER, _DIGIT, _MARK = 1, 2, 3
 
 
 class ByteTokenizer:
     """Ids of a byte-level BPE, and the bytes of each id.
 
-    Its pattern starts a new word at a space between two characters that aren't white space, so words are cut
-    there and looked up; only between characters that are surely none (ASCII, Latin letters).
+    Its pattern starts a new word at a space between two characters that aren't white space. Texts are cut there,
+    between characters that are surely none (ASCII, Latin letters). Words of such characters are split like its
+    pattern does and merged in rounds; other words go to the tokenizer.
     """
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        self.known: dict[bytes, np.ndarray] = {}
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         byte = {chr(b): b for b in printable}
         byte |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
@@ -49,42 +50,90 @@ class ByteTokenizer:
         for entry, k in vocabulary.items():
             entries[k] = bytes(byte[c] for c in entry) if all(c in byte for c in entry) else entry.encode()
         self.entries = pa.array(entries, pa.large_binary())
-        self.solid = np.zeros(0x110000, bool)
-        self.solid[0x21:0x7F] = self.solid[0xC0:0x250] = True
-
-    def _words(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
-        """Words of all texts (UTF-32), and the first word of each text."""
+        self.of_byte = np.zeros(256, np.int32)
+        self.of_byte[list(byte.values())] = [vocabulary[c] for c in byte]
+        merges = json.loads(self.whole.to_str())["model"]["merges"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        pairs = {(vocabulary[x], vocabulary[y]): (rank, vocabulary[x + y]) for rank, (x, y) in enumerate(merges)}
+        self.rounds = MergeRounds(pairs, len(entries))
+        self.kind = np.zeros(0x110000, np.int8)
+        self.kind[0x21:0x7F] = _MARK
+        self.kind[0x30:0x3A] = _DIGIT
+        for low, high in ((0x41, 0x5B), (0x61, 0x7B), (0xC0, 0x250)):
+            self.kind[low:high] = _LETTER
+        self.kind[[0xD7, 0xF7]] = _MARK
+
+    def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Code points of all texts, where words start, which are odd (not of known characters), where texts start."""
         points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
         begins = np.cumsum([0, *map(len, texts)])[:-1]
+        kind = self.kind[points]
+        space = points == 0x20
         cut = np.zeros(points.size, bool)
-        solid = self.solid[points]
-        cut[1:-1] = (points[1:-1] == 0x20) & solid[:-2] & solid[2:]
+        cut[1:-1] = space[1:-1] & (kind[:-2] > 0) & (kind[2:] > 0)
         cut[begins] = True
         starts = np.flatnonzero(cut)
-        offsets = np.append(starts, points.size).astype(np.int64) * 4
-        words = pa.Array.from_buffers(
-            pa.large_binary(), starts.size, [None, pa.py_buffer(offsets), pa.py_buffer(points)]
-        )
-        return words.dictionary_encode(), np.searchsorted(starts, begins)
+        known = kind > 0
+        known[starts[space[starts]]] = True
+        # A space alone, or one before the end of a text, isn't the begin of a word.
+        ends = np.append(starts[1:], points.size)
+        odd = ~np.logical_and.reduceat(known, starts) | (space[starts] & (ends - starts == 1))
+        # Within words of known characters, words end where the kind of character changes.
+        plain = ~np.repeat(odd, ends - starts)
+        inner = np.zeros(points.size, bool)
+        inner[1:] = plain[1:] & (kind[1:] != kind[:-1]) & (kind[:-1] > 0) & (kind[1:] > 0)
+        inner &= ~cut
+        self._contractions(points, kind, plain & ~space, inner)
+        inner |= cut
+        at = np.flatnonzero(inner)
+        return points, at, ~plain[at], begins
+
+    @staticmethod
+    def _contractions(points: np.ndarray, kind: np.ndarray, plain: np.ndarray, cut: np.ndarray) -> None:
+        """An apostrophe after a letter or digit begins 's, 't, 'm, 'd, 're, 've or 'll, whatever follows them."""
+        at = np.flatnonzero((points == 0x27) & plain & cut)
+        at = at[at + 1 < points.size]
+        follow = [points[np.minimum(at + k, points.size - 1)] for k in (1, 2)]
+        inside = [plain[np.minimum(at + k, points.size - 1)] & (at + k < points.size) for k in (1, 2)]
+        one = inside[0] & np.isin(follow[0], [ord(c) for c in "stmd"])
+        pair = (follow[0].astype(np.int64) << 32) | follow[1]
+        two = inside[0] & inside[1] & np.isin(pair, [(ord(a) << 32) | ord(b) for a, b in ("re", "ve", "ll")])
+        for hit, size in ((one, 2), (two, 3)):
+            cut[at[hit] + 1] = False
+            end = at[hit] + size
+            end = end[end < points.size]
+            cut[end[plain[end]]] = True
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (none empty), one after another, and how many each text has."""
-        words, begins = self._words(texts)
-        distinct = words.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.known]
-        found = self.whole.encode_batch([w.decode("utf-32-le") for w in new], add_special_tokens=False)
-        fresh = dict(zip(new, (np.array(e.ids, np.int32) for e in found)))
-        ids = [fresh[w] if w in fresh else self.known[w] for w in distinct]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-        self.known |= fresh
-        kind = words.indices.to_numpy()
-        sizes = np.array([len(w) for w in ids])
-        flat, at = np.concatenate(ids), np.cumsum(sizes) - sizes
+        points, starts, odd, begins = self._words(texts)
+        offsets = np.append(starts, points.size).astype(np.int64) * 4
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(points)]
+        words = pa.Array.from_buffers(pa.large_binary(), starts.size, buffers).dictionary_encode()
+        kind, distinct = words.indices.to_numpy(), words.dictionary
+        strange = np.zeros(len(distinct), bool)
+        strange[kind[odd]] = True  # equal words are all odd, or none is
+        spelled = [w.decode("utf-32-le") for w in distinct.to_pylist()]
+        plain = [w.encode() for w, s in zip(spelled, strange) if not s]
+        sizes = np.zeros(len(distinct), np.int64)
+        flats = []
+        if plain:
+            symbols = self.of_byte[np.frombuffer(b"".join(plain), np.uint8)]
+            flat, sizes[~strange] = self.rounds.merge_words(symbols, np.array([len(w) for w in plain]))
+            flats.append(flat)
+        if strange.any():
+            texts = [w for w, s in zip(spelled, strange) if s]
+            found = [e.ids for e in self.whole.encode_batch(texts, add_special_tokens=False)]
+            sizes[strange] = [len(ids) for ids in found]
+            flats.append(np.fromiter((k for ids in found for k in ids), np.int32))
+        flat = np.concatenate(flats)
+        at = np.zeros(len(distinct), np.int64)
+        order = np.argsort(strange, kind="stable")  # as the flat ids are
+        at[order] = np.cumsum(sizes[order]) - sizes[order]
         own = sizes[kind]
         from_ = at[kind] - (np.cumsum(own) - own)
         flat = flat[np.repeat(from_, own) + np.arange(int(own.sum()))]
-        return flat, np.add.reduceat(own, begins)
+        return flat, np.add.reduceat(own, np.searchsorted(starts, begins))
 
 
 def piece_entries(model: PieceModel) -> pa.Array:

@@ -50,73 +50,14 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
-class PieceModel:
-    """A BPE model with byte fallback whose normalizer leaves texts alone but for spaces."""
-
-    def __init__(self, data: bytes):
-        pieces, flags = [], {3: 1, 4: 1, 5: 1}
-        for number, value in _fields(data):
-            if number == 1:
-                own = dict(_fields(value))
-                score = struct.unpack("<f", own.get(2, bytes(4)))[0]
-                pieces.append((own.get(1, b"").decode(), score, own.get(3, NORMAL)))
-            elif number == 3:
-                flags |= dict(_fields(value))
-        if flags.get(2) or flags[4] or not flags[5]:
-            raise ValueError("only models whose normalizer is the identity, without removal of spaces")
-        if {kind for *_, kind in pieces} - {NORMAL, UNKNOWN, CONTROL, BYTE}:
-            raise ValueError("models with user-defined or unused pieces aren't supported")
-        self.prefix = bool(flags[3])
-        self.pieces = [piece for piece, *_ in pieces]
-        self.kind = np.array([kind for *_, kind in pieces], np.int8)
-        self.end_id = self.pieces.index("</s>")
-        self.unknown_id = int(np.flatnonzero(self.kind == UNKNOWN)[0])
-        self.byte_ids = np.zeros(256, np.int32)
-        self.byte_of = {}
-        for k in np.flatnonzero(self.kind == BYTE):
-            self.byte_of[int(k)] = int(self.pieces[k][1:-1], 16)
-            self.byte_ids[self.byte_of[int(k)]] = k
-        if len(self.byte_of) != 256:
-            raise ValueError("only models with byte fallback")
-        self._symbols([(p, s, k) for k, (p, s, kind) in enumerate(pieces) if kind == NORMAL])
-        self._surface()
-
-    def _symbols(self, normal: list[tuple[str, float, int]]) -> None:
-        """Symbols are pieces, and characters that are only parts of pieces; which pairs merge to what."""
-        symbol = {piece: k for piece, _, k in normal}
-        letters = sorted({c for piece, *_ in normal for c in piece})
-        inside = sorted({c for piece, *_ in normal if len(piece) > 1 for c in piece})
-        for c in letters:
-            symbol.setdefault(c, len(self.pieces) + len(symbol))
-        self.width = max(symbol.values()) + 1
-        #: Symbol of each code point; others stand for themselves, above all symbols.
-        self.of_point = np.arange(_POINTS, dtype=np.int32) + np.int32(self.width)
-        self.of_point[[ord(c) for c in letters]] = [symbol[c] for c in letters]
-        #: Class of each code point, and which classes follow each other within a piece.
-        self.group = np.zeros(_POINTS, np.int16)
-        self.group[[ord(c) for c in inside]] = np.arange(1, len(inside) + 1)
-        self.follows = np.zeros((len(inside) + 1,) * 2, bool)
-        scores = sorted({score for _, score, _ in normal}, reverse=True)
-        rank = {score: k for k, score in enumerate(scores)}
-        pairs = {}
-        for piece, score, k in normal:
-            own = self.group[[ord(c) for c in piece]]
-            self.follows[own[:-1], own[1:]] = True
-            for at in range(1, len(piece)):
-                left, right = symbol.get(piece[:at]), symbol.get(piece[at:])
-                if left is not None and right is not None:
-                    pairs[left * self.width + right] = (rank[score], k)
-        self.pairs = pairs
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.rank, self.merged = (np.array([pairs[k][j] for k in self.keys], np.int32) for j in (0, 1))
-
-    def _surface(self) -> None:
-        self.text = [
-            "" if kind == CONTROL else piece.replace(SPACE, " ") for piece, kind in zip(self.pieces, self.kind)
-        ]
-        self.text[self.unknown_id] = " ⁇ "
+class MergeRounds:
+    """Merges symbols of words by ranked pairs: pair (left, right) -> (rank, result), symbols below `width`."""
 
-    # --- encoding
+    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]], width: int):
+        self.width = width
+        self.pairs = {left * width + right: found for (left, right), found in pairs.items()}
+        self.keys = np.array(sorted(self.pairs), np.int64)
+        self.rank, self.merged = (np.array([self.pairs[k][j] for k in self.keys.tolist()], np.int32) for j in (0, 1))
 
     def _lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of each pair of symbols; _NONE and 0 for pairs that don't merge."""
@@ -214,6 +155,73 @@ class PieceModel:
             offer(k)
         return [s for s in symbols if s >= 0]
 
+
+class PieceModel:
+    """A BPE model with byte fallback whose normalizer leaves texts alone but for spaces."""
+
+    def __init__(self, data: bytes):
+        pieces, flags = [], {3: 1, 4: 1, 5: 1}
+        for number, value in _fields(data):
+            if number == 1:
+                own = dict(_fields(value))
+                score = struct.unpack("<f", own.get(2, bytes(4)))[0]
+                pieces.append((own.get(1, b"").decode(), score, own.get(3, NORMAL)))
+            elif number == 3:
+                flags |= dict(_fields(value))
+        if flags.get(2) or flags[4] or not flags[5]:
+            raise ValueError("only models whose normalizer is the identity, without removal of spaces")
+        if {kind for *_, kind in pieces} - {NORMAL, UNKNOWN, CONTROL, BYTE}:
+            raise ValueError("models with user-defined or unused pieces aren't supported")
+        self.prefix = bool(flags[3])
+        self.pieces = [piece for piece, *_ in pieces]
+        self.kind = np.array([kind for *_, kind in pieces], np.int8)
+        self.end_id = self.pieces.index("</s>")
+        self.unknown_id = int(np.flatnonzero(self.kind == UNKNOWN)[0])
+        self.byte_ids = np.zeros(256, np.int32)
+        self.byte_of = {}
+        for k in np.flatnonzero(self.kind == BYTE):
+            self.byte_of[int(k)] = int(self.pieces[k][1:-1], 16)
+            self.byte_ids[self.byte_of[int(k)]] = k
+        if len(self.byte_of) != 256:
+            raise ValueError("only models with byte fallback")
+        self._symbols([(p, s, k) for k, (p, s, kind) in enumerate(pieces) if kind == NORMAL])
+        self._surface()
+
+    def _symbols(self, normal: list[tuple[str, float, int]]) -> None:
+        """Symbols are pieces, and characters that are only parts of pieces; which pairs merge to what."""
+        symbol = {piece: k for piece, _, k in normal}
+        letters = sorted({c for piece, *_ in normal for c in piece})
+        inside = sorted({c for piece, *_ in normal if len(piece) > 1 for c in piece})
+        for c in letters:
+            symbol.setdefault(c, len(self.pieces) + len(symbol))
+        self.width = max(symbol.values()) + 1
+        #: Symbol of each code point; others stand for themselves, above all symbols.
+        self.of_point = np.arange(_POINTS, dtype=np.int32) + np.int32(self.width)
+        self.of_point[[ord(c) for c in letters]] = [symbol[c] for c in letters]
+        #: Class of each code point, and which classes follow each other within a piece.
+        self.group = np.zeros(_POINTS, np.int16)
+        self.group[[ord(c) for c in inside]] = np.arange(1, len(inside) + 1)
+        self.follows = np.zeros((len(inside) + 1,) * 2, bool)
+        scores = sorted({score for _, score, _ in normal}, reverse=True)
+        rank = {score: k for k, score in enumerate(scores)}
+        pairs = {}
+        for piece, score, k in normal:
+            own = self.group[[ord(c) for c in piece]]
+            self.follows[own[:-1], own[1:]] = True
+            for at in range(1, len(piece)):
+                left, right = symbol.get(piece[:at]), symbol.get(piece[at:])
+                if left is not None and right is not None:
+                    pairs[left, right] = (rank[score], k)
+        self.rounds = MergeRounds(pairs, self.width)
+
+    def _surface(self) -> None:
+        self.text = [
+            "" if kind == CONTROL else piece.replace(SPACE, " ") for piece, kind in zip(self.pieces, self.kind)
+        ]
+        self.text[self.unknown_id] = " ⁇ "
+
+    # --- encoding
+
     def _parts(self, text: str) -> Iterator[str]:
         """A text with the model's spaces, cut after about `PART` characters where no piece reaches across."""
         text = (SPACE if self.prefix and text else "") + text.replace(" ", SPACE)
@@ -246,7 +254,7 @@ class PieceModel:
         kind, distinct = words.indices.to_numpy(), words.dictionary
         edges = np.frombuffer(distinct.buffers()[1], np.int64)[: len(distinct) + 1] // 4
         letters = np.frombuffer(distinct.buffers()[2], "<u4")[edges[0] : edges[-1]]
-        ids, counts = self.merge_words(self.of_point[letters], np.diff(edges))
+        ids, counts = self.rounds.merge_words(self.of_point[letters], np.diff(edges))
         ids, counts = self._with_bytes(ids, counts)
         sizes = counts[kind]
         from_ = (np.cumsum(counts) - counts)[kind] - (np.cumsum(sizes) - sizes)

@@ -8,6 +8,7 @@ projects all rows.
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -111,7 +112,8 @@ def whitened(embeddings: DataFrame, components: int = COMPONENTS) -> DataFrame:
     def centred(df: DataFrame) -> DataFrame:
         return df.select("at", deep.alias("deep")).select("at", centre.alias("v"))
 
-    matrix = block_matrix(centred(fit), n, width)
+    # Used three times; what a lost executor held is made again from the stored rows.
+    matrix = block_matrix(centred(fit), n, width).persist(StorageLevel.MEMORY_AND_DISK)
     values, vectors = np.linalg.eigh(scatter(matrix) / n)
     order = np.argsort(-values, kind="stable")[:components]
     order = order[values[order] > LEAST_SHARE * max(values[-1], 0)]
@@ -128,8 +130,10 @@ def whitened(embeddings: DataFrame, components: int = COMPONENTS) -> DataFrame:
         width,
         order.size,
     ).toBlockMatrix(width, order.size)
-    own = matrix.multiply(weights)
+    own = matrix.multiply(weights).persist(StorageLevel.MEMORY_AND_DISK)
     error = float(np.abs(scatter(own) / n - np.eye(order.size)).max())
+    for done in (own, matrix):
+        done._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
     projected = block_matrix(centred(rows), count, width).multiply(weights).toIndexedRowMatrix()
     projected = callMLlibFunc("getIndexedRows", projected._java_matrix_wrapper._java_model).select(
