@@ -71,12 +71,19 @@ def money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
+# Prices of four digits and rates of six after the point keep a product within 38 digits, so nothing is rounded
+# before the one rounding asked for.
+PRICE, RATE = "decimal(16,4)", "decimal(9,6)"
+
+
+def _price(quantity: Column, unit_price: Column) -> Column:
+    return quantity.cast("decimal(10,0)") * unit_price.cast(PRICE)
+
+
 def amount_excluding_tax(quantity: Column, unit_price: Column) -> Column:
-    return F.round(quantity.cast("decimal(10,0)") * money(unit_price), 2)
+    return F.round(_price(quantity, unit_price), 2)
 
 
 def tax_amount(quantity: Column, unit_price: Column, percent: Column) -> Column:
-    # decimal(7,5) for the rate keeps the product within 38 digits, so nothing is rounded before
-    # the one rounding asked for.
-    rate = (percent.cast("decimal(6,3)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(7,5)")
-    return F.round(quantity.cast("decimal(10,0)") * money(unit_price) * rate, 2)
+    rate = (percent.cast("decimal(7,4)") * F.lit(0.01).cast("decimal(2,2)")).cast(RATE)
+    return F.round(_price(quantity, unit_price) * rate, 2)

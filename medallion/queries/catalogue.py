@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from medallion.operators.header import document_header_report
 from medallion.operators.keys import key_violations, split_by_key
 from medallion.operators.nested import flatten, sanitize_names
+from medallion.operators.profiles import column_profiles, merged_profiles
 from medallion.operators.quality import (
     error_records,
     error_report,
@@ -28,6 +29,7 @@ from medallion.operators.upsert import latest, upsert, upsert_by_full_join, upse
 from medallion.plans import gold
 from medallion.plans.initial import Layers, ingest_all, load_silver, register_layers
 from medallion.plans.refresh import MaintainedFact
+from medallion.plans.together import FACT_KEYS, StoredTogether, build_together
 from medallion.queries.derived import (
     SilverTables,
     change_events,
@@ -55,6 +57,7 @@ from medallion.sources.readers import read_day, read_silver, read_source, read_t
 from medallion.streaming.changelog import ChangeLog
 from medallion.streaming.feed import read_landed, run_feed
 from medallion.streaming.incremental import IncrementalLoad
+from medallion.streaming.newest import run_newest_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -344,6 +347,21 @@ def q_stream_lost_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def q_stream_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and error rows with their batches, two of them packed and their directories removed, one after that."""
+    load = _landed_in_two_runs(spark, sf_dir)
+    load.pack()
+    load.vacuum()
+    late = dirty_events(spark, sf_dir).where("event_id % 10 = 0").withColumn("event_id", -F.col("event_id"))
+    late.write.mode("append").parquet(load.landing)
+    load.run()
+    sides = {"bronze": load.bronze(), "error": load.errors()}
+    return reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(side).alias("side"), "event_id", "batch_id") for side, df in sides.items()],
+    )
+
+
 def q_stream_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of each batch, taken while it was written."""
     return _landed_in_two_runs(spark, sf_dir).balance()
@@ -406,6 +424,16 @@ def q_seed_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.current()
 
 
+def q_cdc_newest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed whose files come out of order, in three runs: the newest image per document, the rest told apart."""
+    root = workspace(spark, "newest")
+    events = shared_key_events(spark, sf_dir)
+    for arrival in (0, 1, 2):
+        events.where((F.col("seq") + 1) % 3 == arrival).write.mode("append").parquet(f"{root}/source")
+        run_newest_feed(spark, f"{root}/source", f"{root}/landing", f"{root}/checkpoint", DAY_1)
+    return read_landed(spark, f"{root}/landing").select("seq", F.col("coll").cast("string").alias("coll"), "key", "rule")
+
+
 # --- layers -------------------------------------------------------------------------------------
 
 
@@ -558,6 +586,29 @@ def q_incremental_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_facts(spark, sf_dir, read_silver(spark, database, dictionary("orders"))["orders"])
 
 
+def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of seven parts of the text orders, stored and put together."""
+    orders = dirty_orders(spark, sf_dir).withColumn("part", F.pmod(F.col("o_orderkey").cast("long"), F.lit(7)))
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    path = workspace(spark, "profiles")
+    column_profiles(orders, columns, by=["part"]).write.parquet(path)
+    merged = merged_profiles(spark.read.parquet(path))
+    return merged.select("column_name", "n_rows", "n_missing", "least", "greatest")
+
+
+#: Lines beyond which a header and its lines are stored apart; far below the default, so that some are.
+MANY_LINES = 6
+
+
+def _stored_together(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact whose headers and lines lie in buckets of their common key."""
+    tables = SilverTables(spark, sf_dir)
+    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pair = StoredTogether(spark, workspace(spark, "together"), FACT_KEYS[name], buckets, MANY_LINES)
+    pair.write(tables)
+    return build_together(name, tables, pair)
+
+
 #: Owners in a part of a maintained fact.
 OWNERS_A_PART = 5_000
 
@@ -618,6 +669,12 @@ QUERIES: dict[str, Query] = {
     "stream_rerun_idempotent": q_stream_rerun,
     "stream_lost_checkpoint": q_stream_lost_checkpoint,
     "stream_balance": q_stream_balance,
+    "stream_packed": q_stream_packed,
+    "cdc_newest_stream": q_cdc_newest_stream,
+    "profile_merged": q_profile_merged,
+    "together_order_line": partial(_stored_together, "Movement"),
+    "together_purchase": partial(_stored_together, "Purchase"),
+    "together_sales": partial(_stored_together, "Sales"),
     "stream_schema_drift": q_stream_schema_drift,
     "stream_rescued": q_stream_rescued,
     "key_violations": q_key_violations,

@@ -217,6 +217,36 @@ select 'good' as side, event_id, value from newest where rn = 1
 union all select 'bronze', event_id, value from landed
 union all select 'error', event_id, value from landed where value = 'abc'"""
 
+_PACKED = """
+with landed as (
+  select event_id, cast(event_id % 2 as int) as batch_id, event_id % 11 = 0 as bad from events
+  union all select -event_id, 2, event_id % 11 = 0 from events where event_id % 10 = 0)
+select 'bronze' as side, event_id, batch_id from landed
+union all select 'error', event_id, batch_id from landed where bad"""
+
+_NEWEST_STREAM = """
+with feed as (
+  select event_id as seq, event_type as coll, user_id, (event_id + 1) % 3 as arrival,
+         case when event_id % 13 <> 0 then cast(user_id as varchar) end as key,
+         case when event_id % 2 = 0 then 'missing_document' when event_id % 13 = 0 then 'unordered' end as rule
+  from events),
+tops as (select coll, key, arrival, max(seq) as top from feed where rule is null group by all),
+landed as (
+  select *, top > coalesce(max(top) over (
+    partition by coll, key order by arrival rows between unbounded preceding and 1 preceding), -1) as newer
+  from tops)
+select f.seq, f.coll, f.key, case when f.rule is null and not coalesce(f.seq = t.top and t.newer, false) then 'stale'
+                             else f.rule end as rule
+from feed f left join landed t on f.coll = t.coll and f.key = t.key and f.arrival = t.arrival"""
+
+_PROFILE = f"with {DIRTY_ORDERS}" + " union all ".join(
+    f"""
+select '{c}' as column_name, count(*) as n_rows,
+       count(*) filter ({c} is null or {c} = '' or {c} like '%NULL%' or {c} like '%None%') as n_missing,
+       min({c}) as least, max({c}) as greatest from dirty_orders"""
+    for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+)
+
 _BALANCE = """
 select cast(event_id % 2 as bigint) as batch_id, count(*) as n_rows, count(*) filter (event_id % 11 <> 0) as n_good,
        count(*) filter (event_id % 11 = 0) as n_bad, count(*) filter (event_id % 11 = 0) as n_violations,
@@ -354,6 +384,12 @@ from events""",
     "stream_rerun_idempotent": _CURRENT_STREAM,
     "stream_lost_checkpoint": _LOST_CHECKPOINT,
     "stream_balance": _BALANCE,
+    "stream_packed": _PACKED,
+    "cdc_newest_stream": _NEWEST_STREAM,
+    "profile_merged": _PROFILE,
+    "together_order_line": _GOLD["fact_order_line"],
+    "together_purchase": _GOLD["fact_purchase"],
+    "together_sales": _GOLD["fact_sales"],
     "stream_schema_drift": _DRIFT,
     "stream_rescued": _RESCUED,
     "key_violations": f"""{_KEYED}

@@ -103,11 +103,16 @@ def committed(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker)
 
 
-def directory_bytes(spark: SparkSession, path: str) -> int:
-    fs, directory = _file_system(spark, path)
-    return fs.getContentSummary(directory).getLength()
-
-
 def remove_directory(spark: SparkSession, path: str) -> None:
     fs, directory = _file_system(spark, path)
     fs.delete(directory, True)
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file, such as code that executors need."""
+    fs, file = _file_system(spark, path)
+    stream = fs.create(file, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()

@@ -14,6 +14,7 @@ from medallion.operators.header import HeaderMismatch, IGNORED_COLUMNS, PARTITIO
 from medallion.operators.quality import error_records, error_report, good_rows
 from medallion.operators.rules import CORRUPT_COLUMN, document_rules, drift_rules, rules_for
 from medallion.operators.standardize import conform
+from medallion.sinks.batches import BatchLayer
 from medallion.sinks.catalog import register_table
 from medallion.sinks.writers import batch_path, child_directories, committed, with_part_date, write_batch
 from medallion.sources.documents import parse_documents
@@ -96,8 +97,27 @@ class IncrementalLoad:
         self.log.compact()
         register_table(self.spark, database, f"{self.table}_silver", self.log.newest_snapshot())
 
+    def _layer(self, name: str) -> BatchLayer:
+        return BatchLayer(self.spark, f"{self.root}/{name}")
+
+    def bronze(self) -> DataFrame:
+        """Everything that arrived, good or bad, under its batch."""
+        return self._layer("bronze").read()
+
     def errors(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/error")
+        return self._layer("error").read()
+
+    def pack(self) -> None:
+        """Put the directories of finished batches into few, and the ledger's entries; reads stay as they are."""
+        for name in ("bronze", "error"):
+            self._layer(name).pack()
+        self.ledger.fold()
+
+    def vacuum(self) -> None:
+        """Remove what readers that start now don't need any more."""
+        for name in ("bronze", "error"):
+            self._layer(name).vacuum()
+        self.log.vacuum()
 
     def balance(self) -> DataFrame:
         """Rows of each batch: arrived, good, bad, violations, and logged (the newest of each key)."""
