@@ -1,16 +1,13 @@
 """HTML extraction: markup names the article and what surely isn't, a suffix array per host judges the rest.
 
 A page becomes blocks of text, each of one kind: article, surrounding (menus, footers, adverts and the like, by
-element, class or role) or open. The token streams of all surrounding and open blocks of a host's pages are put
-in a row, and suffixes sorted by their first tokens show which long substrings occur on distinct pages. Open
-text that such substrings cover is boilerplate; its unique runs are kept along with the article.
+element, class or role) or open. Surrounding blocks go. Open blocks, and blocks at an article's edges, go if long
+substrings that many distinct pages of the host have cover them whole.
 
-A large host's array is made in parts of some pages each. Hashes of the parts' distinct long substrings are counted
-over all parts, and each part learns which of its own, not repeated in it, occur in others: the result doesn't
-depend on the parts.
-
-With `Evidence`, articles are judged as well, a substring has to be on a number of pages that follows the host's,
-only whole blocks go, and a page of which nothing would be left stays as it is.
+Pages are read twice: for the hash of every block's beginning, which is counted by host, and for their text. Only
+blocks that begin like blocks of enough other pages are candidates, and only their tokens, as hashes, are brought
+together. A host's candidates (or those of some of its pages) form one stream, whose sorted suffixes show the long
+substrings and on how many pages they are; the counts of a host's parts are added up.
 """
 
 from __future__ import annotations
@@ -22,15 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pandas.util import hash_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import _STEP, _mix, stored
+from medallion.llm.common import _STEP, _mix, stored, word_hashes
 
-#: Tokens of a substring that is boilerplate if it occurs on two pages.
-LONG = 8
-#: Tokens of shorter blocks that are judged as a whole, by evidence as strong as for articles.
+#: Tokens of the shortest blocks that are judged; those below `Evidence.long` only as a whole.
 SHORT = 4
 #: Pages of a host whose suffixes are sorted together; larger hosts are dealt into parts by a hash.
 GROUP_PAGES = 256
@@ -159,33 +153,41 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
 
 @dataclass(frozen=True)
 class Evidence:
-    """On how many of a host's pages a run of `long` tokens has to be: this many, and this share of all."""
+    """On how many of a host's pages a run of `long` tokens has to be: this many, and this share of all.
+
+    `open_` holds for open blocks; `article_` for blocks at an article's edges, and for open blocks below `long`
+    tokens, which are judged as a whole. An article never loses more than the share `most` of its tokens.
+    """
 
     long: int = 16
     open_pages: int = 3
     open_share: float = 0.01
     article_pages: int = 10
     article_share: float = 0.1
+    most: float = 0.5
 
-    def needed(self, pages: int) -> tuple[int, int]:
+    def needed(self, pages: Column) -> tuple[Column, Column]:
         """For open blocks; for articles and short blocks."""
-        return (
-            max(self.open_pages, int(np.ceil(self.open_share * pages))),
-            max(self.article_pages, int(np.ceil(self.article_share * pages))),
-        )
+
+        def least(n: int, share: float) -> Column:
+            return F.greatest(F.lit(n).cast("long"), F.ceil(F.lit(share) * pages))
+
+        return least(self.open_pages, self.open_share), least(self.article_pages, self.article_share)
 
 
-def run_pages(tokens: np.ndarray, pages: np.ndarray, long: int) -> np.ndarray:
-    """On how many distinct pages the run of `long` tokens that starts at each token is; 0 if it leaves its page.
+def run_pages(tokens: np.ndarray, pages: np.ndarray, long: int, blocks: np.ndarray | None = None) -> np.ndarray:
+    """On how many distinct pages the run of `long` tokens that starts at each token is; 0 if it leaves its block.
 
     Suffixes are ranked by their first 1, 2, 4, ... tokens, each round from the ranks of the one before; those
-    of equal rank at `long` tokens begin alike. A suffix that leaves its page is cut there.
+    of equal rank at `long` tokens begin alike. A suffix that leaves its block (its page, without `blocks`) is cut
+    there. Pages are in a row, and so are blocks.
     """
     n = tokens.size
     out = np.zeros(n, np.int64)
     if n < long:
         return out
-    left = np.searchsorted(pages, pages, side="right") - np.arange(n)  # tokens until the page ends
+    blocks = pages if blocks is None else blocks
+    left = np.searchsorted(blocks, blocks, side="right") - np.arange(n)  # tokens until the block ends
     _, rank = np.unique(tokens, return_inverse=True)
     depth = 1
     while depth < long:
@@ -213,243 +215,204 @@ def _cover(starts: np.ndarray, sizes: np.ndarray | int, n: int) -> np.ndarray:
     return covered[:n].cumsum() > 0
 
 
-def repeated(tokens: np.ndarray, pages: np.ndarray, long: int = LONG) -> np.ndarray:
-    """Which tokens lie in a substring of `long` tokens that occurs on two distinct pages."""
-    return _cover(np.flatnonzero(run_pages(tokens, pages, long) > 1), long, tokens.size)
+def run_hashes(tokens: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the run of `size` tokens (their 64-bit hashes) at each start."""
+    h = np.full(starts.size, size, np.uint64)
+    for j in range(size):
+        h = _mix(h * _STEP + tokens[starts + j])
+    return h.view(np.int64)
 
 
-class HostStream:
-    """The tokens of the blocks outside articles, or of all, of a host's pages (or of a part of them), in a row."""
-
-    def __init__(self, blocks: list[list[tuple[int, str]]], articles: bool = False):
-        taken = [(p, kind, text.split()) for p, page in enumerate(blocks) for kind, text in page if articles or kind != ARTICLE]
-        words = [(p, kind, w) for p, kind, block in taken for w in block]
-        self.kinds = np.array([kind for _, kind, _ in taken], np.int64)
-        self.sizes = np.array([len(block) for _, _, block in taken], np.int64)
-        self.words, self.tokens = np.unique(np.array([w for _, _, w in words], object), return_inverse=True)
-        self.pages = np.array([p for p, _, _ in words], np.int64)
-        self.open = np.array([kind == OPEN for _, kind, _ in words], bool)
-
-    def windows(self, long: int) -> tuple[np.ndarray, np.ndarray]:
-        """(start, hash) of every run of `long` tokens within a page."""
-        starts = np.flatnonzero(self.pages[: max(0, self.pages.size - long + 1)] == self.pages[long - 1 :])
-        return starts, self._hashed(starts, long)
-
-    def _hashed(self, starts: np.ndarray, size: int) -> np.ndarray:
-        h, word = np.full(starts.size, size, np.uint64), hash_array(self.words)
-        for j in range(size):
-            h = _mix(h * _STEP + word[self.tokens[starts + j]])
-        return h.view(np.int64)
-
-    def units(self, long: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(start, size, hash, pages it is on here) of every run of `long` tokens and every short block."""
-        starts, h = self.windows(long)
-        found = [(starts, np.full(starts.size, long), h, run_pages(self.tokens, self.pages, long)[starts])]
-        begins = np.cumsum(self.sizes) - self.sizes
-        for size in range(SHORT, long):
-            at = begins[self.sizes == size]
-            if not at.size:
-                continue
-            h = self._hashed(at, size)
-            _, group = np.unique(h, return_inverse=True)
-            pairs = np.unique(group * np.int64(self.tokens.size + 1) + self.pages[at])
-            n = np.bincount(pairs // (self.tokens.size + 1))
-            found.append((at, np.full(at.size, size), h, n[group]))
-        return tuple(np.concatenate(x) for x in zip(*found))
-
-    def removed(self, evidence: Evidence, pages: int, elsewhere: pd.DataFrame) -> np.ndarray:
-        """Which blocks are boilerplate; `elsewhere` has (h, df) of the units known from all parts of the host."""
-        start, size, h, df = self.units(evidence.long)
-        if len(elsewhere):
-            known = elsewhere.sort_values("h")
-            keys = known["h"].to_numpy(np.int64)
-            at = np.minimum(np.searchsorted(keys, h), keys.size - 1)
-            df = np.where(keys[at] == h, known["df"].to_numpy(np.int64)[at], df)
-        few, many = evidence.needed(pages)
-        strong = df >= many
-        any_ = strong | ((df >= few) & (size == evidence.long))
-        block = np.repeat(np.arange(self.sizes.size), self.sizes)
-        out = self.kinds == AROUND
-        for kind, hit in ((ARTICLE, strong), (OPEN, any_)):
-            kept = np.bincount(block[~_cover(start[hit], size[hit], self.tokens.size)], minlength=out.size)
-            out |= (self.kinds == kind) & (kept == 0)
-        return out
+def begin_hashes(tokens: np.ndarray, sizes: np.ndarray, long: int) -> np.ndarray:
+    """Hash of the first `long` tokens of each block, or of all of a shorter one; blocks are in a row.
 
-    def asked(self, long: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct hashes of runs of `long` tokens, and of which other parts have to say whether they occur there:
-        those with open tokens that aren't known to be repeated.
-        """
-        starts, h = self.windows(long)
-        unknown = np.append(0, np.cumsum(self.open & ~repeated(self.tokens, self.pages, long)))
-        h, at = np.unique(h, return_inverse=True)
-        ask = np.zeros(h.size, bool)
-        np.logical_or.at(ask, at, unknown[starts + long] > unknown[starts])
-        return h, ask
-
-    def boilerplate(self, long: int, elsewhere: np.ndarray) -> np.ndarray:
-        """Which tokens lie in a run of `long` ones that another page here has, or whose hash is in `elsewhere`."""
-        hit = repeated(self.tokens, self.pages, long)
-        if elsewhere.size:
-            starts, h = self.windows(long)
-            at = starts[np.isin(h, elsewhere)]
-            hit[(at[:, None] + np.arange(long)).ravel()] = True
-        return hit
-
-
-def host_texts(blocks: list[list[tuple[int, str]]], elsewhere: np.ndarray, long: int = LONG) -> list[str]:
-    """Main text of each page of a host (or of a part of its pages) from the pages' blocks.
-
-    `elsewhere` has the hashes of this part's runs of tokens that occur in other parts of the host.
+    Runs cover a block whole only if one covers its begin.
     """
-    stream = HostStream(blocks)
-    if not stream.open.any():
-        return [" ".join(t for kind, t in page if kind == ARTICLE) for page in blocks]
-    covered = iter(stream.boilerplate(long, elsewhere))
-    out = []
-    for page in blocks:
-        kept = []
-        for kind, text in page:
-            if kind == ARTICLE:
-                kept.append(text)
-                continue
-            left = [w for w in text.split() if not next(covered) and kind == OPEN]
-            kept += [" ".join(left)] if left else []
-        out.append(" ".join(kept))
+    starts, out = np.cumsum(sizes) - sizes, np.zeros(sizes.size, np.int64)
+    for size in range(1, long + 1):
+        at = np.flatnonzero(sizes >= long if size == long else sizes == size)
+        if at.size:
+            out[at] = run_hashes(tokens, starts[at], size)
     return out
 
 
-def judged_texts(blocks: list[list[tuple[int, str]]], evidence: Evidence, pages: int, elsewhere: pd.DataFrame) -> list[str]:
-    """Main text of each page of a host (or of a part of its `pages`), whole blocks removed by evidence."""
-    removed = iter(HostStream(blocks, articles=True).removed(evidence, pages, elsewhere))
-    out = []
-    for page in blocks:
-        gone = [next(removed) for _ in page]
-        kept = [text for (_, text), g in zip(page, gone) if not g]
-        out.append(" ".join(kept or [text for kind, text in page if kind != AROUND]))
-    return out
+class HostStream:
+    """Blocks (page, tokens) of a host's pages, or of a part of them, in a row."""
+
+    def __init__(self, pages: list, tokens: list[np.ndarray], long: int):
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.tokens = np.concatenate([np.empty(0, np.uint64), *(np.asarray(t, np.int64).view(np.uint64) for t in tokens)])
+        self.block = np.repeat(np.arange(self.sizes.size), self.sizes)
+        self.pages = np.repeat(pd.factorize(pd.Series(pages, dtype=object))[0], self.sizes)
+        inside = self.block[: max(0, self.tokens.size - long + 1)] == self.block[long - 1 :]
+        self.long, self.starts = long, np.flatnonzero(inside)
+        self.hashes = run_hashes(self.tokens, self.starts, long)
+
+    def runs(self) -> pd.DataFrame:
+        """Distinct runs: hash `h` and the pages `n` they are on here."""
+        n = run_pages(self.tokens, self.pages, self.long, self.block)[self.starts]
+        h, first = np.unique(self.hashes, return_index=True)
+        return pd.DataFrame({"h": h, "n": n[first]})
 
+    def covered(self, known: np.ndarray) -> np.ndarray:
+        """Which blocks the runs with these hashes cover whole."""
+        hit = self.starts[np.isin(self.hashes, known)]
+        bare = ~_cover(hit, self.long, self.tokens.size)
+        return np.bincount(self.block[bare], minlength=self.sizes.size) == 0
 
-def _texts_by_evidence(rows: DataFrame, evidence: Evidence, group: int) -> DataFrame:
-    """page_id, url, text of rows of pages with their hosts.
 
-    A unit (run or short block) that is on enough of a large host's pages is on two pages of some part, if more
-    pages are needed than there are parts. So parts report such units only; those that can still be on enough
-    pages, counting one for each part that hasn't reported, are counted in all parts.
+def kept_text(blocks: list[tuple[int, str]], strong: set[int], some: set[int], most: float) -> str:
+    """Main text of a page whose blocks at the places `strong` and `some` are covered by evidence of that strength.
+
+    Surrounding blocks go, open ones with some evidence, and those of an article with strong evidence that stand at
+    its edges, if that leaves enough of it. A page of which nothing would be left keeps its open blocks.
     """
+    article = [k for k, (kind, _) in enumerate(blocks) if kind == ARTICLE]
+    gone: set[int] = set()
+    for line in (article, article[::-1]):
+        for k in line:
+            if k not in strong:
+                break
+            gone.add(k)
+    size = {k: len(blocks[k][1].split()) for k in article} if gone else {}
+    if sum(size[k] for k in gone) > most * sum(size.values()):
+        gone = set()
+    gone |= {k for k, (kind, _) in enumerate(blocks) if kind == OPEN and (k in some or k in strong)}
+    kept = [text for k, (kind, text) in enumerate(blocks) if kind != AROUND and k not in gone]
+    return " ".join(kept or [text for kind, text in blocks if kind != AROUND])
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            blocks = [page_blocks(page) for page in batch["html"]]
-            out = batch[["page_id", "url", "host"]].copy()
-            out["kinds"] = [[kind for kind, _ in b] for b in blocks]
-            out["texts"] = [[text for _, text in b] for b in blocks]
-            yield out
 
-    def units(part: pd.DataFrame) -> pd.DataFrame:
-        _, _, h, n = HostStream(_part_blocks(part), articles=True).units(evidence.long)
-        h, first = np.unique(h, return_index=True)
-        return pd.DataFrame({"h": h, "n": n[first]})
+def _host() -> Column:
+    return F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
+
+
+_KEY = ["k1", "k2"]
 
-    def report(part: pd.DataFrame) -> pd.DataFrame:
-        out, parts = units(part), part["parts"].iloc[0]
-        few = evidence.needed(part["n_pages"].iloc[0])[0]
-        least = 2 if few > parts else 1
-        out = out[out["n"] >= least]
-        return out.assign(host=part["host"].iloc[0], parts=parts, few=few, least=least)[["host", "parts", "few", "least", "h", "n"]]
-
-    def count(part: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(part) or not len(asked):
-            return pd.DataFrame({"host": [], "h": [], "n": []}).astype({"host": object, "h": "int64", "n": "int64"})
-        out = units(part)
-        return out[out["h"].isin(asked["h"])].assign(host=part["host"].iloc[0])[["host", "h", "n"]]
-
-    def each(part: pd.DataFrame, elsewhere: pd.DataFrame) -> pd.DataFrame:
-        out = part[["page_id", "url"]].copy()
-        out["text"] = judged_texts(_part_blocks(part), evidence, int(part["n_pages"].iloc[0]), elsewhere) if len(part) else []
-        return out.astype(object)
-
-    sizes = rows.groupBy("host").agg(F.count("*").alias("n_pages")).select(F.col("host").alias("its_host"), "n_pages")
-    streams = rows.mapInPandas(read, "page_id long, url string, host string, kinds array<int>, texts array<string>")
-    streams = streams.join(sizes, F.col("host") == F.col("its_host")).drop("its_host")
-    streams = streams.withColumn("parts", F.ceil(F.col("n_pages") / group).cast("int"))
-    streams = stored(streams.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), "parts").cast("int")), "streams")
-    large = streams.where("parts > 1")
-    found = large.groupBy("host", "part").applyInPandas(report, "host string, parts int, few long, least long, h long, n long")
-    found = found.groupBy("host", "parts", "few", "least", "h").agg(F.sum("n").alias("n"), F.count("*").alias("told"))
-    asked = found.where("n + (least - 1) * (parts - told) >= few")
-    asked = stored(asked.select("host", "h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), "asked")
-    counted = large.groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInPandas(count, "host string, h long, n long")
-    total = stored(counted.groupBy("host", "h").agg(F.sum("n").alias("df")), "totals")
-    elsewhere = asked.join(total, ["host", "h"])
-    judged = streams.groupBy("host", "part").cogroup(elsewhere.groupBy("host", "part"))
-    return judged.applyInPandas(each, "page_id long, url string, text string")
-
-
-def _part_blocks(part: pd.DataFrame) -> list[list[tuple[int, str]]]:
-    return [list(zip(k, t)) for k, t in zip(part["kinds"], part["texts"])]
-
-
-def main_texts(
-    pages: DataFrame, long: int = LONG, group: int = GROUP_PAGES, evidence: Evidence | None = None
-) -> DataFrame:
-    """page_id, url, text, n_chars of every row of pages.
 
-    With `evidence`, blocks of articles and open blocks go by it; else open text goes token by token, in runs of
-    `long` tokens that two pages have.
+def block_evidence(rows: DataFrame, evidence: Evidence = Evidence(), group: int = GROUP_PAGES) -> DataFrame:
+    """(k1, k2, place, strong) of blocks that are covered whole, for rows (k1, k2, host, html) of pages.
 
-    Null and empty pages have the empty text. Pages without url form a host of their own, made in parts like any
-    large host. Repeated rows are pages of their own. Empty pages tables give no rows.
+    k1 and k2 are hashes of a page's host and html: equal pages have equal blocks and one decision, but each row
+    counts as a page.
     """
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
-    rows = pages.select("page_id", "url", "html", host.alias("host"))
-    if evidence:
-        return _texts_by_evidence(rows, evidence, group).withColumn("n_chars", F.char_length("text").cast("long"))
+    long = evidence.long
 
-    def closed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def begins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [page_blocks(page) for page in batch["html"]]
+            lengths = [len(page) for page in found]
+            kinds = np.array([kind for page in found for kind, _ in page], np.int32)
+            texts = [text for page in found for _, text in page]
+            sizes = np.array([text.count(" ") + 1 for text in texts], np.int64)  # white space is single spaces
+            h = begin_hashes(word_hashes("\n".join(texts)), sizes, long)
+            out = batch[[*_KEY, "host"]].iloc[np.repeat(np.arange(len(batch)), lengths)]
+            places = np.concatenate([np.empty(0, np.int32), *(np.arange(n, dtype=np.int32) for n in lengths)])
+            out = out.assign(place=places, kind=kinds, size=sizes, h=h)
+            # Short blocks of articles aren't judged, and say nothing about others.
+            out = out[sizes >= np.where(kinds == ARTICLE, long, SHORT)]
+            yield pd.concat([batch[[*_KEY, "host"]].assign(place=-1, kind=ARTICLE, size=0, h=0), out])
+
+    blocks = rows.select(*_KEY, "host", "html").mapInPandas(
+        begins, "k1 long, k2 long, host string, place int, kind int, size int, h long"
+    )
+    blocks = stored(blocks, "blocks")
+    n_pages = F.count("*").alias("n_pages")
+    sizes = blocks.where("place < 0").groupBy("host").agg(n_pages)
+    few, many = evidence.needed(F.col("n_pages"))
+    # A page counts once for each distinct begin.
+    once = blocks.where("place >= 0").select("host", "h", (F.col("size") < long).alias("short"), *_KEY, "place")
+    seen = once.groupBy("host", "h", "short", *_KEY).agg(F.count("*").alias("times"), F.countDistinct("place").alias("places"))
+    # Equal pages are one group, so its rows are times over places, each a page.
+    counted = seen.groupBy("host", "h", "short").agg(F.sum(F.expr("times div places")).alias("n"))
+    begun = counted.join(sizes, "host").where(F.col("n") >= F.when(F.col("short"), many).otherwise(few))
+    begun = stored(begun.select("host", "h", "short", "n_pages"), "begins")
+    judged = blocks.where(f"place >= 0 and kind <> {AROUND}")
+    short = judged.where(f"kind = {OPEN} and size < {long}").join(begun.where("short"), ["host", "h"], "left_semi")
+    short = short.select(*_KEY, "place", F.lit(True).alias("strong")).distinct()
+
+    # Surrounding blocks are candidates too: they are evidence for open ones.
+    wanted = blocks.where(f"place >= 0 and size >= {long}").join(begun.where("not short"), ["host", "h"])
+    wanted = wanted.groupBy(*_KEY).agg(F.max("n_pages").alias("n_pages"), F.collect_set("place").alias("places"))
+    wanted = stored(wanted, "candidates")  # places of one page
+
+    def tokens_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            blocks = [page_blocks(page) for page in batch["html"]]
-            alone = [all(kind != OPEN for kind, _ in b) for b in blocks]
-            texts = [" ".join(t for kind, t in b if kind == ARTICLE) for b, ok in zip(blocks, alone) if ok]
-            out = batch.loc[alone, ["page_id", "url"]].astype(object)
-            yield out.assign(text=pd.Series(texts, out.index, dtype=object))
+            out = []
+            for row in batch.itertuples(index=False):
+                found = page_blocks(row.html)
+                for place in sorted(row.places):
+                    kind, text = found[place]
+                    hashes = word_hashes(text).view(np.int64)
+                    out.append((row.k1, row.k2, row.host, row.n_pages, row.page, place, kind, hashes))
+            yield pd.DataFrame(out, columns="k1 k2 host n_pages page place kind tokens".split())
+
+    pages = rows.join(wanted, _KEY).withColumn("page", F.monotonically_increasing_id())
+    streams = pages.mapInPandas(
+        tokens_of,
+        "k1 long, k2 long, host string, n_pages long, page long, place int, kind int, tokens array<long>",
+    )
+    parts = F.ceil(F.col("n_pages") / group).cast("int")
+    streams = stored(streams.withColumn("part", F.pmod(F.col("page"), parts).cast("int")), "streams")
+
+    def stream(part: pd.DataFrame) -> tuple[pd.DataFrame, HostStream]:
+        part = part.sort_values(["page", "place"], kind="stable")
+        return part, HostStream(part["page"].tolist(), part["tokens"].tolist(), long)
+
+    def report(part: pd.DataFrame) -> pd.DataFrame:
+        part, own = stream(part)
+        first = part.iloc[0]
+        return own.runs().assign(host=first["host"], part=first["part"], n_pages=first["n_pages"])
+
+    def judge(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(part) or not len(known):
+            return pd.DataFrame({"k1": [], "k2": [], "place": [], "strong": []}).astype(
+                {"k1": "int64", "k2": "int64", "place": "int32", "strong": bool}
+            )
+        part, own = stream(part)
+        some = own.covered(known["h"].to_numpy(np.int64))
+        strong = own.covered(known["h"].to_numpy(np.int64)[known["strong"].to_numpy(bool)])
+        out = part[[*_KEY, "place"]].assign(strong=strong)
+        return out[some & (part["kind"].to_numpy() != AROUND)]
+
+    reported = stored(
+        streams.groupBy("host", "part").applyInPandas(report, "host string, part int, n_pages long, h long, n long"),
+        "runs",
+    )
+    total = reported.groupBy("host", "h").agg(F.sum("n").alias("n"), F.max("n_pages").alias("n_pages"))
+    total = total.where(F.col("n") >= few).select("host", "h", (F.col("n") >= many).alias("strong"))
+    known = reported.select("host", "part", "h").join(total, ["host", "h"])
+    covered = streams.groupBy("host", "part").cogroup(known.groupBy("host", "part"))
+    covered = covered.applyInPandas(judge, "k1 long, k2 long, place int, strong boolean")
+    return covered.unionByName(short).groupBy(*_KEY, "place").agg(F.max("strong").alias("strong"))
+
 
-    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def main_texts(pages: DataFrame, evidence: Evidence = Evidence(), group: int = GROUP_PAGES) -> DataFrame:
+    """page_id, url, text, n_chars of every row of pages.
+
+    Null and empty pages have the empty text. Pages without url form a host of their own. Repeated rows are pages
+    of their own. Tokens are compared without regard to the case of A to Z. Empty pages tables give no rows; other
+    columns are ignored. Texts are shuffled only where the list of blocks to remove is too long to broadcast.
+    """
+    rows = pages.select("page_id", "url", "html", _host().alias("host"))
+    keys = [F.xxhash64("host", "html").alias("k1"), F.xxhash64(F.lit(1), "html", "host").alias("k2")]
+    rows = rows.select("page_id", "url", "html", "host", *keys)
+    covered = block_evidence(rows, evidence, group).groupBy(*_KEY)
+    covered = covered.agg(
+        F.collect_list(F.when(F.col("strong"), F.col("place"))).alias("strong"),
+        F.collect_list(F.when(~F.col("strong"), F.col("place"))).alias("some"),
+    )
+    covered = stored(covered, "covered")  # places of one page in a row
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            blocks = [page_blocks(page) for page in batch["html"]]
-            out = batch[["page_id", "url", "host"]].copy()
-            out["asked"] = [any(kind == OPEN for kind, _ in b) for b in blocks]
-            blocks = [b if ask else [x for x in b if x[0] == AROUND] for b, ask in zip(blocks, out["asked"])]
-            out["kinds"] = [[kind for kind, _ in b] for b in blocks]
-            out["texts"] = [[text for _, text in b] for b in blocks]
+            out = batch[["page_id", "url"]].astype(object)
+            marks = zip(batch["html"], batch["strong"], batch["some"])
+            out["text"] = [
+                kept_text(page_blocks(page), *(set() if x is None else set(x) for x in sets), evidence.most)
+                for page, *sets in marks
+            ]
             yield out
 
-    def substrings(part: pd.DataFrame) -> pd.DataFrame:
-        h, ask = HostStream(_part_blocks(part)).asked(long)
-        return pd.DataFrame({"host": part["host"].iloc[0], "part": part["part"].iloc[0], "h": h, "ask": ask})
-
-    def each(part: pd.DataFrame, elsewhere: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("page_id", kind="stable")
-        texts = host_texts(_part_blocks(part), elsewhere["h"].to_numpy(np.int64), long)
-        out = pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": texts})
-        return out[part["asked"].to_numpy(bool)].astype(object)
-
-    # Pages without open text stay where they are read; their surroundings are evidence for the others.
-    alone = rows.mapInPandas(closed, "page_id long, url string, text string")
-    large = rows.groupBy("host").agg(F.ceil(F.count("*") / group).cast("int").alias("parts")).where("parts > 1")
-    streams = rows.mapInPandas(
-        judged, "page_id long, url string, host string, asked boolean, kinds array<int>, texts array<string>"
-    )
-    streams = streams.join(large.withColumnRenamed("host", "its_host"), F.col("host") == F.col("its_host"), "left")
-    parts = F.coalesce("parts", F.lit(1)).alias("parts")
-    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
-    streams = stored(streams.select("page_id", "url", "host", "asked", "kinds", "texts", parts, part), "streams")
-
-    found = streams.where("parts > 1").groupBy("host", "part")
-    found = stored(found.applyInPandas(substrings, "host string, part int, h long, ask boolean"), "substrings")
-    # A hash occurs once a part, so one that is there twice is on pages of two parts.
-    shared = found.groupBy("host", "h").agg(F.count("*").alias("n"), F.max("ask").alias("asks"))
-    shared = shared.where("n > 1 and asks").select("host", "h")
-    elsewhere = found.where("ask").join(shared, ["host", "h"], "left_semi").select("host", "part", "h")
-    judged_pages = streams.groupBy("host", "part").cogroup(elsewhere.groupBy("host", "part"))
-    open_ = judged_pages.applyInPandas(each, "page_id long, url string, text string")
-    return alone.unionByName(open_).withColumn("n_chars", F.char_length("text").cast("long"))
+    texts = rows.join(covered, _KEY, "left").select("page_id", "url", "html", "strong", "some")
+    texts = texts.mapInPandas(read, "page_id long, url string, text string")
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
