@@ -19,8 +19,12 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_WORDS = 1 << 16
-SHARDS = 64
+#: Words of a block at least, and blocks at most: blocks grow with a corpus beyond that.
+BLOCK_WORDS, MOST_BLOCKS = 1 << 16, 1 << 20
+#: Output shards at least, and words of a shard, by which a larger mix gets more of them.
+SHARDS, SHARD_WORDS = 64, 1 << 24
+#: Blocks that are drawn one by one; beyond it, their number is drawn at once.
+STEPS = 1_024
 SEED = 20
 
 
@@ -63,8 +67,7 @@ def _uniform(*key: Column) -> Column:
 def _left_draw(quota: Column, node: Column, level: int, capacity: Column) -> Column:
     """How many blocks of each source the left half takes, as an array beside `quota`.
 
-    One source after another, its blocks go left one by one with the chance that is left for them, which
-    draws from the multivariate hypergeometric distribution.
+    One source after another draws from what is left, which is the multivariate hypergeometric distribution.
     """
     total = F.aggregate(quota, F.lit(0).cast("long"), lambda a, q: a + q)
     start = F.struct(
@@ -73,15 +76,7 @@ def _left_draw(quota: Column, node: Column, level: int, capacity: Column) -> Col
 
     def of_source(state: Column, q: Column) -> Column:
         place = F.size(state["taken"])
-
-        def one(s: Column, k: Column) -> Column:
-            chance = (s["room"] - s["won"]) / (state["all"] - k)
-            won = _uniform(node, F.lit(level), place, k) < chance
-            return F.struct(s["room"].alias("room"), (s["won"] + won.cast("long")).alias("won"))
-
-        first = F.struct(state["room"].alias("room"), F.lit(0).cast("long").alias("won"))
-        steps = F.when(q > 0, F.sequence(F.lit(0).cast("long"), q - 1)).otherwise(F.array().cast("array<long>"))
-        won = F.aggregate(steps, first, one)["won"]
+        won = hypergeometric(state["all"], q, state["room"], [node, F.lit(level), place])
         return F.struct(
             (state["room"] - won).alias("room"),
             (state["all"] - q).alias("all"),
@@ -91,6 +86,38 @@ def _left_draw(quota: Column, node: Column, level: int, capacity: Column) -> Col
     return F.aggregate(quota, start, of_source)["taken"]
 
 
+def hypergeometric(total: Column, marked: Column, drawn: Column, key: list[Column]) -> Column:
+    """How many of `drawn` items, taken from `total` without replacement, are among the `marked` ones.
+
+    What is marked and what is drawn can change places, and either can be what is left over instead, so the smallest
+    of the four is walked: exact, one step for each of its items, up to `STEPS`. Beyond that the number has a spread
+    of more than 11 and is drawn at once, as a normal variate of the exact mean and variance, rounded and kept
+    within its bounds. `key` decides the draw.
+    """
+    free, left = total - marked, total - drawn
+    few_marked, few_drawn = F.least(marked, free), F.least(drawn, left)
+    walked, other = F.least(few_marked, few_drawn), F.greatest(few_marked, few_drawn)
+
+    def one(won: Column, k: Column) -> Column:
+        return won + (_uniform(*key, k) < (other - won) / F.greatest(total - k, F.lit(1))).cast("long")
+
+    none = F.array().cast("array<long>")
+    steps = F.when((walked > 0) & (walked <= STEPS), F.sequence(F.lit(0).cast("long"), walked - 1)).otherwise(none)
+    # The walked items go to the other side's: how many of the few marked are among the few drawn.
+    met = F.aggregate(steps, F.lit(0).cast("long"), one)
+    share = marked.cast("double") / F.greatest(total, F.lit(1))
+    mean = drawn.cast("double") * share
+    spread = F.sqrt(mean * (1 - share) * left.cast("double") / F.greatest(total - 1, F.lit(1)))
+    u, v = (_uniform(*key, F.lit(k).cast("long")) for k in (-1, -2))
+    normal = F.sqrt(-2 * F.ln(F.lit(1.0) - u)) * F.cos(v * 6.283185307179586)
+    at_once = F.greatest(F.lit(0), drawn - free, F.least(marked, drawn, F.round(mean + spread * normal).cast("long")))
+    # Back from the few to the asked: marked or free, drawn or left.
+    own = F.when(marked <= free, F.when(drawn <= left, met).otherwise(marked - met)).otherwise(
+        F.when(drawn <= left, drawn - met).otherwise(marked - (left - met))
+    )
+    return F.when(walked <= STEPS, own).otherwise(at_once).cast("long")
+
+
 def splitting_tree(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(source_no, shard, quota): blocks of every source in every shard, from (source_no, quota).
 
@@ -127,30 +154,35 @@ def _order() -> Column:
 
 
 def mix(
-    documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, shards: int = SHARDS,
-    block_words: int = BLOCK_WORDS, of: DataFrame | None = None,
+    documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, shards: int | None = None,
+    block_words: int = BLOCK_WORDS, carry: Column | None = None,
 ) -> DataFrame:
     """Every document with its place in the mix: doc_id, source, size, source_size, target, shards, places.
 
     `shards` lists the shard of each copy taken (none, if the document isn't taken), `places` the copy's
     random place in its shard, by which the shard's documents are ordered. A source's taken words differ from
-    its target by less than the shortest document left out of its last block. With `of`, rows with at least
-    source and the `order` that `_order` gives, the result is those rows with these columns added.
+    its target by less than the shortest document left out of its last block. With `carry`, that column of documents
+    comes along. The number of shards is `shards`, or follows the size of the corpus.
 
     Null sources are a source of their own, null texts have size 0 and are in the mix as often as their block
-    is. Repeated rows and ties of ids are rows of their own. Empty documents give no rows. Texts are read once,
-    for sizes; all else works on ids, hashes and counts.
+    is. Repeated rows and ties of ids are rows of their own: where some of equal rows are taken, the others aren't.
+    Empty documents give no rows. Texts are read once, for sizes; all else works on ids, hashes and counts.
     """
-    sized = stored(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), _order()), "mix")
-    of = sized if of is None else of
+    carried = [] if carry is None else [carry.alias("carried")]
+    size = word_count(F.col("text")).alias("size")
+    row_no = F.monotonically_increasing_id().alias("row_no")  # tells equal rows apart, kept by being stored
+    sized = stored(documents.select("doc_id", "source", size, _order(), row_no, *carried), "mix")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     target = source_targets(per_source, weights, most).withColumn(
         "source_no", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     )
-    target = target.withColumn(
-        "blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")
-    )
+    whole = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    words = F.greatest(F.lit(block_words), F.ceil(F.sum("source_size").over(whole) / MOST_BLOCKS))
+    target = target.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / words)).cast("long"))
     target = stored(target.withColumnRenamed("source", "its_source"), "mix-targets")
+    if shards is None:
+        total = target.agg(F.sum("source_size")).first()[0] or 0
+        shards = max(SHARDS, 1 << (int(total) // SHARD_WORDS).bit_length())
 
     def deal(rows: DataFrame) -> DataFrame:
         rows = rows.join(target, F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
@@ -172,7 +204,7 @@ def mix(
     # The block taken in part gives its documents from the longest down, as far as each still fits.
     part = block.where("more = 'part'").select("source_no", "block", "need")
     inside = dealt.where("size > 0").join(part, ["source_no", "block"])
-    longest = F.sort_array(F.collect_list(F.struct("size", "order")), asc=False)
+    longest = F.sort_array(F.collect_list(F.struct("size", "order", "row_no")), asc=False)
     inside = inside.groupBy("source_no", "block").agg(longest.alias("docs"), F.max("need").alias("need"))
     start = F.struct(F.col("need").alias("need"), F.array().cast("array<long>").alias("taken"))
     greedy = F.aggregate(
@@ -180,7 +212,7 @@ def mix(
         start,
         lambda s, d: F.when(
             d["size"] <= s["need"],
-            F.struct((s["need"] - d["size"]).alias("need"), F.concat(s["taken"], F.array(d["order"])).alias("taken")),
+            F.struct((s["need"] - d["size"]).alias("need"), F.concat(s["taken"], F.array(d["row_no"])).alias("taken")),
         ).otherwise(s),
     )
     some = inside.select("source_no", "block", greedy["taken"].alias("taken"))
@@ -207,8 +239,8 @@ def mix(
     )
     lists = lists.join(some, ["source_no", "block"], "left")
 
-    out = deal(of).join(lists, ["source_no", "block"], "left")
-    taken = F.coalesce(F.array_contains("taken", F.col("order")), F.lit(False))
+    out = dealt.join(lists, ["source_no", "block"], "left")
+    taken = F.coalesce(F.array_contains("taken", F.col("row_no")), F.lit(False))
     none = F.array().cast("array<long>")
     shard_list = F.concat(
         F.coalesce("whole_shards", none), F.when(taken, F.array("part_shard")).otherwise(none)
@@ -216,12 +248,17 @@ def mix(
     out = out.withColumn("shards", shard_list)
     places = F.transform("shards", lambda s, k: F.xxhash64(F.col("order"), s, k, F.lit(SEED + 3)))
     return out.withColumn("places", places).drop(
-        "source_no", "block", "blocks", "order", "whole_shards", "part_shard", "taken"
+        "source_no", "block", "blocks", "order", "row_no", "whole_shards", "part_shard", "taken"
     )
 
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
-    """The mix itself: a document's row once for each copy taken, with the columns of documents."""
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    placed = mix(documents, of=documents.select("source", _order(), row), **options)
-    return placed.select("row", F.explode("shards")).select("row.*")
+    """The mix itself: a document's row once for each copy taken, with the columns of documents.
+
+    Rows are dealt to their shards, a shard's rows lie together, in the order of their places.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    placed = mix(documents, carry=row, **options)
+    copies = placed.select("carried", F.explode(F.arrays_zip("shards", "places")).alias("copy"))
+    copies = copies.select(F.col("copy.shards").alias("shard"), F.col("copy.places").alias("place"), "carried")
+    return copies.repartition("shard").sortWithinPartitions("shard", "place").select("carried.*")
