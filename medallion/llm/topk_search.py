@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = 20
@@ -49,9 +49,12 @@ class ImpactIndex:
         what was added up. A query is done when that leaves few possible members, or nothing is unseen.
         """
         n = self.ids.size
+        most = int(np.abs(queries).max(initial=0)) * max(1, queries.shape[1]) * self.top
+        # Sums of doubles are exact, or those of longs, or those of Python's numbers.
+        exact = np.float64 if most < 1 << 53 else np.int64 if most < 1 << 62 else object
+        if exact is object:
+            queries, self.vectors = queries.astype(object), self.vectors.astype(object)
         weight = np.abs(queries).sum(1)
-        floats = int(weight.max(initial=0)) * self.top < 1 << 53  # then sums of doubles are exact
-        exact = np.float64 if floats else np.int64
         seen, open_ = np.zeros((len(queries), n), exact), np.arange(len(queries))
         possible = [np.arange(n)] * len(queries)
         for matrix, unseen in self.segments(exact):
@@ -61,8 +64,8 @@ class ImpactIndex:
                 slack, others = int(weight[q]) * unseen, self.ids != own[q]
                 rivals = seen[q][others]
                 if rivals.size > k:
-                    least = np.partition(rivals, rivals.size - k)[rivals.size - k] - slack
-                    others &= seen[q] + slack >= least
+                    least = np.sort(rivals)[-k] if exact is object else np.partition(rivals, rivals.size - k)[rivals.size - k]
+                    others &= (seen[q] + slack >= least - slack).astype(bool)
                 possible[q] = np.flatnonzero(others)
                 if possible[q].size > 4 * k:
                     still.append(q)
@@ -73,7 +76,10 @@ class ImpactIndex:
         for q, members in enumerate(possible):
             members = members[self.ids[members] != own[q]]
             scores = self.vectors[members] @ queries[q]
-            chosen = np.lexsort((self.ids[members], -scores))[:k]
+            if exact is object:
+                chosen = np.array(sorted(range(members.size), key=lambda m: (-scores[m], self.ids[members[m]]))[:k], np.int64)
+            else:
+                chosen = np.lexsort((self.ids[members], -scores))[:k]
             out.append((self.ids[members[chosen]], scores[chosen]))
         return out
 
@@ -81,14 +87,21 @@ class ImpactIndex:
 def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v) with v = floor(scale * x) of every component as long.
 
-    Vectors that are null, hold null or non-finite components, or components beyond a long, take no part.
+    Vectors that are null or hold null or non-finite components take no part. A component that doesn't fit a
+    long when scaled is an error.
     """
-    x = F.transform("embedding", lambda c: F.floor(F.lit(float(scale)) * c.cast("double")))
-    fine = F.forall(
-        "embedding",
-        lambda c: F.coalesce(F.abs(c.cast("double")) < float(1 << 52) / scale, F.lit(False)),
-    )
-    return embeddings.where(F.col("embedding").isNotNull() & fine).select("vec_id", F.when(fine, x).alias("v"))
+
+    def whole(c: Column) -> Column:
+        x = F.lit(float(scale)) * c.cast("double")
+        beyond = F.raise_error(F.lit("a component beyond a long")).cast("long")
+        return F.when(F.abs(x) < float(1 << 63), F.floor(x)).otherwise(beyond)
+
+    def finite(c: Column) -> Column:
+        return F.coalesce(F.abs(c.cast("double")) < float("inf"), F.lit(False))
+
+    fine = F.col("embedding").isNotNull() & F.forall("embedding", finite)
+    x = F.when(fine, F.transform("embedding", whole))
+    return embeddings.where(fine).select("vec_id", x.alias("v"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -96,7 +109,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     Both frames have vec_id and v (array of long). Ties go to the smaller vec_id; vectors with the query's id
     are its own and no candidates. Shorter vectors count as filled up with zeros. Rows without id take no part.
-    Without queries or candidates there are no rows.
+    Without queries or candidates there are no rows. Scores are exact, and one beyond a long is an error.
     """
     vectors, queries = vectors.where("vec_id is not null"), queries.where("vec_id is not null")
     shards = max(1, -(-vectors.count() // SHARD_ROWS))
@@ -122,7 +135,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             index = ImpactIndex(candidates["vec_id"].to_numpy(), matrix(candidates["v"], width))
             own = asked["vec_id"].to_numpy()
             for own, (ids, scores) in zip(own, index.search(matrix(asked["v"], width), own, k)):
-                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
+                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": np.array(scores.tolist(), np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
     found = left.cogroup(right).applyInPandas(each, "query_id long, vec_id long, score long")

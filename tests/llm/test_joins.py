@@ -237,3 +237,37 @@ def test_index_stops_early_only_with_proof():
         exact[q] = -(10**12)
         want = np.lexsort((np.arange(3000), -exact))[:20]
         assert (ids == want).all() and (scores == exact[want]).all()
+
+
+def test_large_finite_components_stay(spark):
+    rows = [(0, [1e15, 1.0]), (20, [-1e15, 3.0]), (1, [2.0, 2.0]), (2, [1e-3, 5.0]), (3, [2.0**56, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = quantised(df)
+    assert v.count() == len(rows)
+    ints = {i: [int(np.floor(64 * c)) for c in x] for i, x in rows}
+    small = v.where("vec_id <> 3")
+    with pytest.raises(Exception, match="int64|too large|OverflowError"):
+        top_k(small, small.where("vec_id = 0"), 5).collect()  # a score beyond a long
+    rest = v.where("vec_id in (1, 2)")
+    got = [tuple(r) for r in top_k(v.where("vec_id <> 3"), rest, 1).orderBy("query_id").collect()]
+    best = lambda q: min((-sum(a * b for a, b in zip(ints[q], x)), i) for i, x in ints.items() if i not in (q, 3))
+    assert got == [(q, 1, best(q)[1], -best(q)[0]) for q in (1, 2)]
+    beyond = spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond a long"):
+        quantised(beyond).collect()
+
+
+def test_some_queries_stop_early_on_skewed_vectors():
+    rng = np.random.default_rng(2)
+    vectors = rng.integers(-2, 3, (2000, 8))
+    vectors[:40, 0] = 10_000
+    index, seen = ImpactIndex(np.arange(2000), vectors), []
+    segments = index.segments
+    index.segments = lambda exact: (seen.append(low) or (matrix, low) for matrix, low in segments(exact))
+    queries = np.zeros((3, 8), np.int64)
+    queries[:, 0] = [9, 5, 1]
+    for q, (ids, scores) in enumerate(index.search(queries, np.array([-1, -2, -3]), 20)):
+        exact = vectors @ queries[q]
+        want = np.lexsort((np.arange(2000), -exact))[:20]
+        assert (ids == want).all() and (scores == exact[want]).all()
+    assert len(seen) < len(index.cuts) and seen[-1] > 0
