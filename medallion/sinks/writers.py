@@ -108,11 +108,12 @@ def remove_directory(spark: SparkSession, path: str) -> None:
     fs.delete(directory, True)
 
 
-def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
-    """A small file, such as code that executors need."""
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> str:
+    """A small file, such as code that executors need; returns its path with its file system's name."""
     fs, file = _file_system(spark, path)
     stream = fs.create(file, True)
     try:
         stream.write(bytearray(content))
     finally:
         stream.close()
+    return fs.makeQualified(file).toString()
