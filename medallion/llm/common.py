@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 import zlib
+from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
 
@@ -11,30 +14,67 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.session import workspace
+from medallion.sinks.writers import remove_directory, write_bytes
 
 SHINGLE = 5
+#: Rows that a Python worker is handed at a time.
+BATCH_ROWS = 2_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
 _PIECE = 1 << 20
 
 
+_shared: set[str] = set()
+
+
 def share_checkout(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver runs it, if it isn't installed there."""
-    spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[2])
+    """Let Python workers import this package: Spark sends every executor a zip of it, once per application.
+
+    The zip lies in the shared working folder. Texts can be long, so workers are handed fewer rows at a time than
+    Spark's default, which bounds what one holds.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    context = spark.sparkContext
+    if context.applicationId in _shared:
+        return
+    root = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    archive = f"{workspace(spark, 'package')}/{root.name}-package.zip"
+    context.addPyFile(write_bytes(spark, archive, packed.getvalue()))
+    _shared.add(context.applicationId)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_working: list[str] = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared working folder and read back: computed once, lineage cut."""
     path = workspace(df.sparkSession, label)
+    _working.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def working_tables(spark: SparkSession):
+    """Removes the tables that are stored inside, but the last, when all is done: the last is what was made of them."""
+    before = len(_working)
+    yield
+    made = _working[before:]
+    del _working[before:]
+    for path in made[:-1]:
+        remove_directory(spark, path)
+    _working.extend(made[-1:])
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """Fold of a document: the checksum of its id, written in decimal, modulo `folds`."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)

@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 import zlib
 
@@ -10,8 +12,9 @@ from tokenizers import Tokenizer
 
 from medallion.llm.common import crc_fold, shingle_set
 from medallion.llm.fingerprints import edited_fingerprints, merged, resemblance, with_sketch
-from medallion.llm.html_text import Evidence, main_texts, page_blocks, repeated
-from medallion.llm.mixing import mix, mixed_documents, source_targets, splitting_tree
+from medallion.llm.html_text import Evidence, kept_text, main_texts, page_blocks, run_pages
+from medallion.llm import mixing
+from medallion.llm.mixing import hypergeometric, mix, mixed_documents, source_targets, splitting_tree
 from medallion.llm.packing import SumOfSquares, pack
 from medallion.llm.quality import quality_scores
 from medallion.llm.secret_scan import log_ratios, random_spans, secret_scan, transition_counts
@@ -277,19 +280,17 @@ def test_open_text_loses_what_pages_of_a_host_share(spark):
     shared = "all rights reserved by the owners of this very fine site since long ago"
     rows = [(k, f"https://h.example/{k}", f"<body><div>Story {k} tells of unique{k}.</div><div>{shared}</div>") for k in range(9)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in main_texts(df).collect()}
+    got = {r.page_id: r.text for r in main_texts(df, Evidence(long=8)).collect()}
     assert got == {k: f"Story {k} tells of unique{k}." for k in range(9)}
 
 
 def test_evidence_follows_the_host_and_removes_blocks(spark):
-    notice = " ".join(f"notice{j}" for j in range(20))
-    quote = " ".join(f"quote{j}" for j in range(20))
-    copy = " ".join(f"copied{j}" for j in range(40))
+    notice, quote, copy, end = (" ".join(f"{w}{j}" for j in range(n)) for w, n in (("notice", 20), ("quote", 20), ("copied", 40), ("end", 17)))
 
     def page(k):
         said = f"{quote} " if k < 3 else ""
-        inside = f"<p>{notice}</p><p>share this line now</p><p>{quote if k < 5 else k}</p>"
-        return f"<article><p>story {k} {said}tells of it</p>{inside}</article><div>open {k} {said}end</div><div>{notice}</div>"
+        inside = f"<p>{notice}</p><p>share this line now</p><p>{quote if k < 5 else k}</p><p>{'long story ' * 30}{k}</p><p>{end}</p>"
+        return f"<article><p>{notice}</p><p>story {k} {said}tells of it</p>{inside}</article><div>open {k} {said}end</div><div>{notice}</div>"
 
     rows = [(k, f"http://h.example/{k}", page(k)) for k in range(60)]
     rows += [(k, f"http://h.example/{k}", f"<div>{copy}</div>") for k in range(60, 72)]
@@ -297,58 +298,187 @@ def test_evidence_follows_the_host_and_removes_blocks(spark):
     want = {k: copy for k in range(60, 72)}
     for k in range(60):
         said = f"{quote} " if k < 3 else ""
-        want[k] = f"story {k} {said}tells of it {quote if k < 5 else k} open {k} {said}end"
-    for group in (256, 20, 7):
-        assert {r.page_id: r.text for r in main_texts(df, group=group, evidence=Evidence()).collect()} == want
+        middle = f"{notice} share this line now {quote if k < 5 else k} {'long story ' * 30}{k}"
+        want[k] = f"story {k} {said}tells of it {middle} open {k} {said}end"
+    for group in (256, 7):
+        assert {r.page_id: r.text for r in main_texts(df, group=group).collect()} == want
 
 
-def test_parts_of_a_host_judge_as_the_whole_does(spark):
-    rng = np.random.default_rng(4)
-    phrases = [" ".join(f"w{x}" for x in rng.integers(0, 9, rng.integers(6, 12))) for _ in range(40)]
+def test_copies_of_an_article_keep_it(spark):
+    long = [" ".join(f"{w}{j}" for j in range(30)) for w in ("first", "second")]
+    same = "".join(f"<p>{t}</p>" for t in long)
+    rows = [(k, f"http://h.example/{k}", f"<article>{same}<p>Visited copy number {k}</p></article>") for k in range(12)]
+    rows += [(k, f"http://h.example/{k}", f"<article><p>{' '.join(f'own{k}x{j}' for j in range(40))}</p></article>") for k in range(12, 40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_texts(df).collect()}
+    assert all(got[k] == f"{long[0]} {long[1]} Visited copy number {k}" for k in range(12))
+    assert all(len(got[k].split()) == 40 for k in range(12, 40))
+
+
+def test_only_edges_of_an_article_go():
+    blocks = [(0, "a b"), (0, "c d e f g h"), (0, "i"), (1, "open"), (2, "menu"), (0, "k l")]
+    assert kept_text(blocks, {0, 2, 5}, set(), 0.5) == "c d e f g h open"
+    assert kept_text(blocks, {2, 0}, set(), 0.5) == "c d e f g h i open k l"
+    assert kept_text(blocks, {0, 1}, set(), 0.5) == "a b c d e f g h i open k l"  # over half of it
+    assert kept_text(blocks, {0, 1}, {3}, 1.0) == "i k l"
+    assert kept_text([(1, "x"), (2, "y")], {0}, set(), 0.5) == "x" and kept_text([], set(), set(), 0.5) == ""
+
+
+def brute_texts(rows, evidence):
+    """The registered rule in plain Python: per host, blocks, begins, candidates, runs among them, cover."""
+    found, long = [], evidence.long
+    for page_id, url, text in rows:
+        host = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", url or "")
+        found.append((page_id, url, (host[1] if host else "").lower(), page_blocks(text)))
+    out = []
+    for host in {h for _, _, h, _ in found}:
+        pages = [(i, u, b) for i, u, h, b in found if h == host]
+        n = len(pages)
+        few = max(evidence.open_pages, math.ceil(evidence.open_share * n))
+        many = max(evidence.article_pages, math.ceil(evidence.article_share * n))
+        tokens = [[[w.translate({c: c + 32 for c in range(65, 91)}) for w in t.split()] for _, t in b] for _, _, b in pages]
+        begins = {}
+        for p, (_, _, blocks) in enumerate(pages):
+            for (kind, _), words in zip(blocks, tokens[p]):
+                if len(words) >= (long if kind == 0 else 4):
+                    begins.setdefault((len(words) < long, tuple(words[:long])), set()).add(p)
+        runs, candidates = {}, set()
+        for p, page in enumerate(tokens):
+            for k, words in enumerate(page):
+                if len(words) >= long and len(begins[False, tuple(words[:long])]) >= few:
+                    candidates.add((p, k))
+                    for at in range(len(words) - long + 1):
+                        runs.setdefault(tuple(words[at : at + long]), set()).add(p)
+        for p, (page_id, url, blocks) in enumerate(pages):
+            marks = {few: set(), many: set()}
+            strong = set()
+            for least, into in ((few, marks[few]), (many, strong)):
+                for k, words in enumerate(tokens[p]):
+                    if (p, k) in candidates and blocks[k][0] != 2:
+                        covered = set()
+                        for at in range(len(words) - long + 1):
+                            if len(runs[tuple(words[at : at + long])]) >= least:
+                                covered |= set(range(at, at + long))
+                        if len(covered) == len(words):
+                            into.add(k)
+            for k, words in enumerate(tokens[p]):
+                if blocks[k][0] == 1 and 4 <= len(words) < long and len(begins[True, tuple(words)]) >= many:
+                    strong.add(k)
+            out.append((page_id, url, kept_text(blocks, strong, marks[few], evidence.most)))
+    return out
+
+
+def test_texts_equal_brute_force_over_parts(spark):
+    rng = random.Random(4)
+    phrases = [" ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(3, 14))) for _ in range(25)]
 
     def page(k):
-        blocks = [phrases[j] for j in rng.integers(0, 40, 3)] + [f"only{k} here"]
-        kinds = [("nav" if rng.random() < 0.3 else "div") for _ in blocks]
-        return "".join(f"<{t}>{b}</{t}>" for t, b in zip(kinds, blocks))
+        def some(n, tags):
+            return "".join(f"<{t}>{rng.choice(phrases)}</{t}>" for t in rng.choices(tags, k=n))
 
-    rows = [(k, f"http://{'big' if k % 3 else 'other'}.example/{k}", page(k)) for k in range(60)]
-    rows += [(61, None, page(61)), (62, None, page(62)), rows[4]]
+        own = f"<p>only{k} here and {' '.join(f'own{k}x{j}' for j in range(rng.randrange(30)))}</p>"
+        return f"<article>{some(rng.randrange(3), ['p'])}{own}{some(rng.randrange(3), ['p'])}</article>{some(2, ['div', 'div', 'nav'])}"
+
+    rows = [(k, f"http://{'big' if k % 3 else 'Other'}.example/{k}", page(k)) for k in range(70)]
+    rows += [(71, None, page(71)), (72, None, page(72)), (73, "", None), (74, "http://big.example/", ""), (None, None, page(5))]
+    rows += [rows[4]] * 3 + [(75, "http://big.example/x", rows[7][2].upper())]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df = df.withColumns({n: F.lit("extra") for n in ("host", "k1", "place", "kind", "h", "strong", "some", "text", "page")})
+    for evidence in (Evidence(4, 2, 0.0, 3, 0.0, 0.7), Evidence(6, 3, 0.05, 4, 0.2, 0.5)):
+        want = sorted(map(str, brute_texts(rows, evidence)))
+        for group in (256, 9) if evidence.long == 4 else (1,):
+            got = main_texts(df, evidence, group).collect()
+            assert sorted(str((r.page_id, r.url, r.text)) for r in got) == want
+            assert all(r.n_chars == len(r.text) for r in got)
+
+
+def test_very_long_and_no_pages(spark):
+    body = " ".join(f"word{k}" for k in range(120_000))
+    rows = [(1, "http://h.example/1", f"<article><p>{body}</p></article>")] * 3
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    whole = sorted((r.page_id, r.text) for r in main_texts(df).collect())
-    streams = {}
-    for n, (k, url, text) in enumerate(rows):
-        words = [(w, kind) for kind, t in page_blocks(text) for w in t.split()]
-        for at in range(len(words) - 7):
-            key = ((url or "").rsplit("/", 1)[0], tuple(w for w, _ in words[at : at + 8]))
-            streams.setdefault(key, []).append((n, at))
-    gone = {(n, at + j) for places in streams.values() if len({n for n, _ in places}) > 1 for n, at in places for j in range(8)}
-    want = []
-    for n, (k, _, text) in enumerate(rows):
-        words = [(w, kind) for kind, t in page_blocks(text) for w in t.split()]
-        want.append((k, " ".join(w for at, (w, kind) in enumerate(words) if kind == 1 and (n, at) not in gone)))
-    assert whole == sorted(want)
-    for group in (1, 2, 7):
-        assert sorted((r.page_id, r.text) for r in main_texts(df, group=group).collect()) == whole
-
-
-def test_repeated_equals_brute_force():
+    assert [r.n_chars for r in main_texts(df).collect()] == [len(body)] * 3
+    assert main_texts(df.limit(0)).count() == 0
+
+
+def test_run_pages_equal_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(60):
         tokens = rng.integers(0, 3, 60)
-        pages = np.sort(rng.integers(0, 4, 60))
+        blocks = np.sort(rng.integers(0, 9, 60))
+        pages = blocks // 2
         for long in (2, 3, 5, 8):
-            want = np.zeros(60, bool)
             runs = {}
             for i in range(60 - long + 1):
-                if pages[i] == pages[i + long - 1]:
+                if blocks[i] == blocks[i + long - 1]:
                     runs.setdefault(tuple(tokens[i : i + long]), []).append(i)
+            want = np.zeros(60, int)
             for at in runs.values():
-                if len({pages[i] for i in at}) > 1:
-                    for i in at:
-                        want[i : i + long] = True
-            assert (repeated(tokens, pages, long) == want).all()
+                want[at] = len({pages[i] for i in at})
+            assert (run_pages(tokens, pages, long, blocks) == want).all()
 
 
 def test_broken_markup_doesnt_stop_a_page():
     for page in ("<", "<p", "<p class='a", "</x></y>", "<script>never ends", "a<b", "<!-- open", "&am &#x110000; &", "<div" * 5000):
         page_blocks(page)
+
+
+def test_draws_follow_the_hypergeometric_law(spark):
+    keys = spark.range(4000)
+    for total, marked, drawn in ((100, 30, 50), (100, 80, 50), (100, 30, 90), (100, 95, 97), (10**9, 4 * 10**8, 5 * 10**8), (5, 0, 3), (5, 5, 2), (0, 0, 0), (7, 3, 0)):
+        args = [F.lit(x).cast("long") for x in (total, marked, drawn)]
+        got = keys.select(hypergeometric(*args, [F.col("id")]).alias("x")).toPandas()["x"].to_numpy()
+        assert got.min() >= max(0, drawn - (total - marked)) and got.max() <= min(marked, drawn)
+        share = marked / max(total, 1)
+        spread = math.sqrt(drawn * share * (1 - share) * (total - drawn) / max(total - 1, 1))
+        assert abs(got.mean() - drawn * share) <= 5 * spread / math.sqrt(4000) + 1e-9
+        assert spread == 0 or 0.9 < got.std() / spread < 1.1
+    got = keys.select(hypergeometric(*(F.lit(x).cast("long") for x in (6, 3, 2)), [F.col("id")]).alias("x"))
+    shares = {r.x: r["count"] / 4000 for r in got.groupBy("x").count().collect()}
+    assert all(abs(shares[x] - p) < 0.04 for x, p in {0: 0.2, 1: 0.6, 2: 0.2}.items())
+
+
+def test_equal_rows_are_taken_one_by_one(spark):
+    rows = [(1, "ten words " * 5, "en", "a", 0)] * 100 + [(2 + k, "one " * 10, "en", "b", 0) for k in range(100)]
+    got = mix(documents(spark, rows)).toPandas()
+    assert len(got) == 200
+    for source, part in got.groupby("source"):
+        assert abs((part["size"] * part["shards"].map(len)).sum() - part["target"].iloc[0]) < 10, source
+
+
+def test_a_mix_lies_by_shard_in_the_order_of_places(spark):
+    rows = [(k, f"text {k} of some words", "en", "ab"[k % 2], 0) for k in range(300)]
+    df = documents(spark, rows)
+    placed = {}
+    for r in mix(df, block_words=50, shards=8).collect():
+        placed[r.doc_id] = list(zip(r.shards, r.places))
+    shards = {}
+    for doc_id, copies in placed.items():
+        for shard, place in copies:
+            shards.setdefault(shard, []).append((place, doc_id))
+    copies = mixed_documents(df, block_words=50, shards=8).withColumn("task", F.spark_partition_id())
+    lines = {}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for r in copies.collect():
+            lines.setdefault(r.task, []).append(r.doc_id)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    met = []
+    for ids in lines.values():
+        for shard in sorted(shards):
+            line = [doc_id for _, doc_id in sorted(shards[shard])]
+            if ids[: len(line)] == line:
+                met.append(shard)
+                ids = ids[len(line) :]
+        assert not ids
+    assert sorted(met) == sorted(shards) and len(lines) > 1
+
+
+def test_blocks_and_shards_follow_the_corpus(spark, monkeypatch):
+    rows = [(k, f"w{k} x y z", "en", "ab"[k % 2], 0) for k in range(400)]
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 8)
+    got = mix(documents(spark, rows), block_words=2).toPandas()
+    assert max(s for shards in got["shards"] for s in shards) >= 64  # beyond the least number of shards
+    for _, part in got.groupby("source"):
+        assert abs((part["size"] * part["shards"].map(len)).sum() - part["target"].iloc[0]) <= 4
