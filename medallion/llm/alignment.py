@@ -1,7 +1,7 @@
 """Alignment of the tokens of two tokenizers over the same bytes, as Arrow tables.
 
-Documents are taken in chunks. A chunk's token lists are flattened with their parent indices, segmented cumulative
-sums give every token's end, a hash join on (document, end) finds where both tokenizers cut, and group_by counts the
+Documents are taken in chunks. A chunk's token lists are flattened with their parent indices, cumulative sums give
+every token's end in the chunk's bytes, both tokenizers' ends are merged into the cuts of either, and group_by counts the
 documents that hold a pair of linked ids. Spark merges these partial counts over the corpus and brings each chunk
 those of its own pairs.
 """
@@ -155,16 +155,10 @@ class Aligner:
         self.first_b = len(self.written)
         self.written += [f"{k}{mark}" for k in range(len(self.b.pieces)) for mark in ",;"]
 
-    def _tokens(self, side: int, ids: np.ndarray, counts: np.ndarray) -> tuple[pa.Table, pa.Array]:
-        """Table (doc, end, id) of the tokens, and their bytes."""
-        name = "ab"[side]
-        lists = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(counts)), pa.array(ids, pa.int32()))
-        doc, flat = pc.list_parent_indices(lists), pc.list_flatten(lists)
-        spelled = self.entries[side].take(flat)
-        total = pc.cumulative_sum(pc.binary_length(spelled).cast(pa.int64())).to_numpy()
-        before = np.append(0, total)[np.cumsum(counts) - counts]  # bytes of all documents before
-        end = total - np.repeat(before, counts)
-        return pa.table({"doc": doc, "end": end, name: flat}), spelled
+    def _ends(self, side: int, ids: np.ndarray) -> np.ndarray:
+        """Where each token ends, in the bytes of all documents."""
+        spelled = self.entries[side].take(pa.array(ids, pa.int32()))
+        return pc.cumulative_sum(pc.binary_length(spelled).cast(pa.int64())).to_numpy()
 
     def _kept(self, texts: list[str]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         """Which texts both tokenizers spell exactly, and ids and counts of those, by tokenizer."""
@@ -204,19 +198,21 @@ class Aligner:
             pairs = pa.table({"a": none, "b": none, "docs": pa.array([], pa.int64())})
             links = pa.table({"doc": none, "pair": none, "times": none})
             return out | {"groups": groups}, pairs, links
-        (left, _), (right, _) = (self._tokens(k, *side) for k, side in enumerate(sides))
-        cuts = left.join(right, ["doc", "end"], join_type="full outer", use_threads=False)
-        cuts = cuts.sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks()
-        has_a, has_b = (pc.is_valid(cuts[c]).to_numpy() for c in "ab")
-        both, doc = has_a & has_b, cuts["doc"].to_numpy()
-        # A document's last cut is both tokenizers', so ids are never filled in from the next document.
-        a, b = (pc.fill_null_backward(cuts[c].combine_chunks()) for c in "ab")
+        # Both spell the same bytes, so a document's last token ends at the same place for both.
+        (ids_a, n_a), (ids_b, n_b) = sides
+        end_a, end_b = self._ends(0, ids_a), self._ends(1, ids_b)
+        cuts = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+        cuts = cuts[np.append(True, np.diff(cuts) > 0)]
+        at_a, at_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)  # the tokens that end there or next
+        has_a, has_b = end_a[at_a] == cuts, end_b[at_b] == cuts
+        both, doc = has_a & has_b, np.repeat(np.arange(n_a.size), n_a)[at_a]
+        a, b = ids_a[at_a], ids_b[at_b]
         out["n_a"][own], out["n_b"][own] = (counts for _, counts in sides)
         out["n_links"][own] = np.bincount(doc, minlength=own.size)
         out["n_groups"][own] = np.bincount(doc[both], minlength=own.size)
         for k, text in zip(own, self._groups(sides, both[has_a], both[has_b])):
             groups[k] = text
-        held = pa.table({"doc": own[doc].astype(np.int32), "a": a, "b": b})
+        held = pa.table({"doc": own[doc].astype(np.int32), "a": a.astype(np.int32), "b": b.astype(np.int32)})
         held = held.group_by(["doc", "a", "b"], use_threads=False).aggregate([([], "count_all")])
         pairs = held.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
         pairs = pairs.rename_columns({"count_all": "docs"}).combine_chunks()
