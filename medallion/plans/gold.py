@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,26 @@ Tables = Mapping[str, DataFrame]
 
 # Key of a line, carried along for ordering and left out of the table.
 LINE_ID = "_line_id"
+# Headers and lines may both name the part of a stored fact that their rows go to; the fact's rows name it then.
+PLACE = "_place"
+
+
+def _placed(*tables: DataFrame) -> list[str]:
+    return [PLACE] if all(PLACE in table.columns for table in tables) else []
+
+
+def _joined(
+    lines: DataFrame, header: DataFrame, key: str, place: list[str], dimensions: dict[str, DataFrame]
+) -> DataFrame:
+    """Lines with their headers, and with dimensions by the name of their key.
+
+    With a place, lines and headers are laid out by it and not by the key, and join last: the rows come out as they
+    are stored.
+    """
+    if not place:
+        return reduce(lambda rows, k: rows.join(dimensions[k], k), dimensions, lines.join(header, key))
+    lines = reduce(lambda rows, k: rows.join(dimensions[k], k), dimensions, lines)
+    return lines.repartition(PLACE).join(header.repartition(PLACE), [PLACE, key])
 
 
 def dim_city(t: Tables) -> DataFrame:
@@ -137,19 +158,19 @@ def fact_order_line(t: Tables) -> DataFrame:
 
     Customers join the orders, before the lines do: lines are never shuffled by a customer, whose share may be large.
     """
+    place = _placed(t["Orders"], t["OrderLines"])
     orders = t["Orders"].select(
         "OrderID", "OrderDate", "BackorderOrderID", "CustomerID", "SalespersonPersonID",
-        "PickedByPersonID", F.col("LastEditedWhen").alias("_OrderEdited"),
+        "PickedByPersonID", F.col("LastEditedWhen").alias("_OrderEdited"), *place,
     ).join(t["Customers"].select("CustomerID", "DeliveryCityID"), "CustomerID")
     lines = t["OrderLines"].select(
         "OrderID", "PickingCompletedWhen", "Description", "PackageTypeID", "Quantity", "UnitPrice",
-        "TaxRate", "StockItemID", F.col("LastEditedWhen").alias("_LineEdited"),
+        "TaxRate", "StockItemID", F.col("LastEditedWhen").alias("_LineEdited"), *place,
     )
     excluding = amount_excluding_tax(F.col("Quantity"), F.col("UnitPrice"))
     tax = tax_amount(F.col("Quantity"), F.col("UnitPrice"), F.col("TaxRate"))
     return (
-        lines.join(orders, "OrderID")
-        .join(_package(t), "PackageTypeID")
+        _joined(lines, orders, "OrderID", place, {"PackageTypeID": _package(t)})
         .select(
             "OrderDate", "PickingCompletedWhen", "OrderID", "BackorderOrderID", "Description", "Package",
             "Quantity", "UnitPrice", "TaxRate",
@@ -158,29 +179,30 @@ def fact_order_line(t: Tables) -> DataFrame:
             (excluding + tax).cast("double").alias("Total_Including_Tax"),
             "DeliveryCityID", "CustomerID", "StockItemID", "SalespersonPersonID", "PickedByPersonID",
             _last_modified("_LineEdited", "_OrderEdited"),
+            *place,
         )
     )
 
 
 def _purchase(t: Tables) -> DataFrame:
+    place = _placed(t["PurchaseOrders"], t["PurchaseOrderLines"])
     orders = t["PurchaseOrders"].select(
-        "PurchaseOrderID", "OrderDate", "SupplierID", F.col("LastEditedWhen").alias("_OrderEdited")
+        "PurchaseOrderID", "OrderDate", "SupplierID", F.col("LastEditedWhen").alias("_OrderEdited"), *place
     )
     lines = t["PurchaseOrderLines"].select(
         "PurchaseOrderID", "OrderedOuters", "ReceivedOuters", "PackageTypeID", "IsOrderLineFinalized",
         "StockItemID", F.col("LastEditedWhen").alias("_LineEdited"),
-        F.col("PurchaseOrderLineID").alias(LINE_ID),
+        F.col("PurchaseOrderLineID").alias(LINE_ID), *place,
     )
+    items = t["StockItems"].select("StockItemID", "QuantityPerOuter")
     return (
-        lines.join(orders, "PurchaseOrderID")
-        .join(t["StockItems"].select("StockItemID", "QuantityPerOuter"), "StockItemID")
-        .join(_package(t), "PackageTypeID")
+        _joined(lines, orders, "PurchaseOrderID", place, {"StockItemID": items, "PackageTypeID": _package(t)})
         .select(
             "OrderDate", "PurchaseOrderID", "OrderedOuters",
             (F.col("OrderedOuters") * F.col("QuantityPerOuter")).alias("Ordered_Quantity"),
             "ReceivedOuters", "Package", "IsOrderLineFinalized", "SupplierID", "StockItemID",
             _last_modified("_LineEdited", "_OrderEdited"),
-            LINE_ID,
+            LINE_ID, *place,
         )
     )
 
@@ -191,6 +213,7 @@ def fact_purchase(t: Tables) -> DataFrame:
 
 
 def _sales(t: Tables) -> DataFrame:
+    place = _placed(t["Invoices"], t["InvoiceLines"])
     # The billed customer only has to exist: a semi join on invoices, before lines join.
     customers = t["Customers"]
     billed = customers.select(F.col("CustomerID").alias("BillToCustomerID"))
@@ -198,7 +221,7 @@ def _sales(t: Tables) -> DataFrame:
         t["Invoices"]
         .select(
             "InvoiceID", "InvoiceDate", "ConfirmedDeliveryTime", "CustomerID", "BillToCustomerID",
-            "SalespersonPersonID", F.col("LastEditedWhen").alias("_InvoiceEdited"),
+            "SalespersonPersonID", F.col("LastEditedWhen").alias("_InvoiceEdited"), *place,
         )
         .join(customers.select("CustomerID", "DeliveryCityID"), "CustomerID")
         .join(billed, "BillToCustomerID", "left_semi")
@@ -206,14 +229,13 @@ def _sales(t: Tables) -> DataFrame:
     lines = t["InvoiceLines"].select(
         "InvoiceID", "Description", "PackageTypeID", "Quantity", "UnitPrice", "TaxRate", "TaxAmount",
         "LineProfit", "ExtendedPrice", "StockItemID", F.col("LastEditedWhen").alias("_LineEdited"),
-        F.col("InvoiceLineID").alias(LINE_ID),
+        F.col("InvoiceLineID").alias(LINE_ID), *place,
     )
+    items = t["StockItems"].select("StockItemID", "IsChillerStock")
     chilled = F.col("IsChillerStock")
     excluding = money(F.col("ExtendedPrice")) - money(F.col("TaxAmount"))
     return (
-        lines.join(invoices, "InvoiceID")
-        .join(t["StockItems"].select("StockItemID", "IsChillerStock"), "StockItemID")
-        .join(_package(t), "PackageTypeID")
+        _joined(lines, invoices, "InvoiceID", place, {"StockItemID": items, "PackageTypeID": _package(t)})
         .select(
             "InvoiceDate", "ConfirmedDeliveryTime", "InvoiceID", "Description", "Package", "Quantity",
             "UnitPrice", "TaxRate",
@@ -225,7 +247,7 @@ def _sales(t: Tables) -> DataFrame:
             F.when(chilled, F.col("Quantity")).otherwise(0).alias("Total_Chiller_Items"),
             "DeliveryCityID", "CustomerID", "BillToCustomerID", "StockItemID", "SalespersonPersonID",
             _last_modified("_LineEdited", "_InvoiceEdited"),
-            LINE_ID,
+            LINE_ID, *place,
         )
     )
 

@@ -2,8 +2,8 @@
 
 A fact row belongs to an owner: its header (order, invoice, ...) or its transaction. Changed rows of headers, lines
 and dimensions lead to the owners whose rows may differ now. Those owners' rows are computed from the clean tables
-by the fact's own plan, and put in place of the old ones in the parts of the fact that hold them. Other parts are
-neither read nor written.
+by the fact's own plan, and put in place of the old ones in the parts of the fact that hold them. A part with many
+such owners is computed anew as a whole, without a look at its old rows. Other parts are neither read nor written.
 """
 
 from __future__ import annotations
@@ -16,12 +16,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.plans.gold import Tables, build
-from medallion.session import workspace
+from medallion.plans.gold import PLACE, Tables, build
+from medallion.session import setting, workspace
 from medallion.sinks.parted import KeyRanges, PartedTable
+from medallion.sinks.writers import rebalanced
 from medallion.streaming.incremental import IncrementalLoad
 
 OWNER = "_owner"
+#: A part is computed anew if one in so many of the owners it has room for may differ: to tell its other rows
+#: apart, all of them would be shuffled and sorted once more.
+ANEW = 100
+#: Parts of more lines than this are joined by owner, where adaptive execution splits what is skewed.
+MOST_LINES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -139,10 +145,38 @@ class MaintainedFact:
     def table(self, tables: Tables) -> PartedTable:
         return self._table(self.spec.plan(tables).schema)
 
+    def _spread(self, rows: DataFrame) -> DataFrame:
+        """Rows with their part, brought together by it; a large part is still many tasks' work."""
+        return rebalanced(rows.withColumn(PLACE, KeyRanges(self.spec.owner, self.width).of()), PLACE)
+
+    def _computed(self, tables: Tables) -> DataFrame:
+        """The fact's rows, laid out by part.
+
+        Headers and lines are brought together by part, not by owner, which one shuffle of them does; the few parts
+        with very many lines are joined apart.
+        """
+        owned = {table: KeyRanges(column, self.width) for table, column in self.spec.owned.items()}
+        if len(owned) == 1:
+            return self._spread(self.spec.plan(tables))
+        lines = list(owned)[-1]
+        counted = tables[lines].groupBy(owned[lines].of().alias(PLACE)).agg(F.count(F.lit(1)).alias("_n"))
+        hot = [r[0] for r in counted.where((F.col("_n") > MOST_LINES) & F.col(PLACE).isNotNull()).collect()]
+        placed = {table: tables[table].withColumn(PLACE, ranges.of()) for table, ranges in owned.items()}
+        if not hot:
+            return self.spec.plan(ChainMap(placed, tables))
+        cold = {table: rows.where(~F.col(PLACE).isin(hot)) for table, rows in placed.items()}
+        apart = {table: tables[table].where(ranges.exactly(hot)) for table, ranges in owned.items()}
+        rows = self.spec.plan(ChainMap(cold, tables))
+        return rows.unionByName(self._spread(self.spec.plan(ChainMap(apart, tables))))
+
+    def _store(self, tables: Tables, rows: DataFrame, parts: list[int] | None = None) -> None:
+        # Else a join by part and owner shuffles by both what is laid out by part.
+        with setting(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+            self.table(tables).replace(rows, parts, placed=PLACE)
+
     def build(self, tables: Tables) -> None:
         """All of it, from the clean tables."""
-        rows = self.spec.plan(tables)
-        self._table(rows.schema).replace(rows)
+        self._store(tables, self._computed(tables))
 
     def read(self, tables: Tables) -> DataFrame:
         return self.table(tables).read()
@@ -157,9 +191,22 @@ class MaintainedFact:
         affected_owners(spec, tables, changed).write.parquet(path)
         owners = self.spark.read.schema(f"{OWNER} long").parquet(path)
         ranges = KeyRanges(OWNER, self.width)
-        parts = [r[0] for r in owners.select(ranges.of()).distinct().collect()]
-        if not parts:
-            return []
+        counted = owners.groupBy(ranges.of().alias(PLACE)).agg(F.count(F.lit(1)).alias("_n")).collect()
+        anew = [part for part, n in counted if n * ANEW >= self.width]
+        merged = [part for part, n in counted if n * ANEW < self.width]
+        rows = []
+        if anew:
+            own = {table: tables[table].where(ranges.exactly(anew, column)) for table, column in spec.owned.items()}
+            rows.append(self._computed(ChainMap(own, tables)))
+        if merged:
+            rows.append(self._merged(tables, owners.where(ranges.exactly(merged)), merged))
+        if rows:
+            self._store(tables, reduce(DataFrame.unionByName, rows), anew + merged)
+        return sorted(anew + merged)
+
+    def _merged(self, tables: Tables, owners: DataFrame, parts: list[int]) -> DataFrame:
+        """The parts' rows with those of the owners computed and all others as they are, laid out by part."""
+        spec, ranges = self.spec, KeyRanges(OWNER, self.width)
 
         def of_owners(table: str, column: str) -> DataFrame:
             rows = tables[table].where(ranges.within(parts, column))
@@ -167,10 +214,8 @@ class MaintainedFact:
 
         own = {table: of_owners(table, column) for table, column in spec.owned.items()}
         rows = spec.plan(ChainMap(own, tables))
-        fact = self._table(rows.schema)
-        kept = fact.read(parts).join(owners, F.col(spec.owner) == F.col(OWNER), "left_anti")
-        fact.replace(kept.unionByName(rows), parts)
-        return sorted(parts)
+        kept = self.table(tables).read(parts).join(owners, F.col(spec.owner) == F.col(OWNER), "left_anti")
+        return self._spread(kept.unionByName(rows))
 
 
 def refresh_gold(

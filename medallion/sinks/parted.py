@@ -30,14 +30,11 @@ class KeyRanges:
     key: str
     width: int
 
-    def of(self) -> Column:
-        return F.floor(F.col(f"`{self.key}`") / F.lit(self.width)).cast("long")
+    def of(self, key: str | None = None) -> Column:
+        return F.floor(F.col(f"`{key or self.key}`") / F.lit(self.width)).cast("long")
 
-    def within(self, parts: Iterable[int], key: str | None = None, most: int = 64) -> Column:
-        """A condition that all keys of the parts meet, as few ranges, which scans can skip files and groups by.
-
-        Beyond `most` ranges the smallest gaps are closed, so it may hold for keys of other parts too.
-        """
+    @staticmethod
+    def _runs(parts: Iterable[int]) -> list[list[int]]:
         ordered = sorted(set(parts))
         runs = [[p, p] for p in ordered[:1]]
         for p in ordered[1:]:
@@ -45,6 +42,14 @@ class KeyRanges:
                 runs[-1][1] = p
             else:
                 runs.append([p, p])
+        return runs
+
+    def within(self, parts: Iterable[int], key: str | None = None, most: int = 64) -> Column:
+        """A condition that all keys of the parts meet, as few ranges, which scans can skip files and groups by.
+
+        Beyond `most` ranges the smallest gaps are closed, so it may hold for keys of other parts too.
+        """
+        runs = self._runs(parts)
         while len(runs) > most:
             at = min(range(1, len(runs)), key=lambda k: runs[k][0] - runs[k - 1][1])
             runs[at - 1 : at + 1] = [[runs[at - 1][0], runs[at][1]]]
@@ -53,6 +58,13 @@ class KeyRanges:
             found = found | ((column >= low * self.width) & (column < (high + 1) * self.width))
         return found
 
+    def exactly(self, parts: Iterable[int], key: str | None = None, most: int = 64) -> Column:
+        """`within`, for keys of these parts only."""
+        found = self.within(parts, key, most)
+        if len(self._runs(parts)) <= most:
+            return found
+        return found & self.of(key).isin(sorted(set(parts)))
+
 
 @dataclass(frozen=True)
 class PartedTable:
@@ -90,19 +102,21 @@ class PartedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def replace(self, rows: DataFrame, parts: Iterable[int] | None = None) -> int:
+    def replace(self, rows: DataFrame, parts: Iterable[int] | None = None, placed: str | None = None) -> int:
         """Put `rows` in place of the parts, or of the whole table; returns the version. Other parts aren't touched.
 
         `rows` may read the table itself: what they read isn't removed. A write that died before its manifest is
-        written over by the next.
+        written over by the next. `placed` is a column with each row's part, by which the rows are laid out already.
         """
         versions = self._versions()
         version = versions[-1] + 1 if versions else 0
         before = {} if parts is None else {p: v for p, v in self.live().items() if p not in set(parts)}
-        rows = rows.select(*[f"`{n}`" for n in self.schema.names], self.ranges.of().alias(PART))
-        rebalanced(rows, PART).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            PART
-        ).parquet(self._data(version))
+        part = F.col(placed) if placed else self.ranges.of()
+        rows = rows.select(*[f"`{n}`" for n in self.schema.names], part.alias(PART))
+        rows = rows if placed else rebalanced(rows, PART)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(
+            self._data(version)
+        )
         written = [int(n.split("=")[1]) for n in child_directories(self.spark, self._data(version))]
         entries = [*before.items(), *((p, version) for p in written)]
         manifest = self.spark.createDataFrame(entries, MANIFEST).coalesce(1)

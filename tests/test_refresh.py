@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.dictionary import DataDictionary
+from medallion.plans import refresh
 from medallion.plans.refresh import FACTS, MaintainedFact, affected_owners, refresh_gold
 from medallion.queries.derived import SilverTables, changed_rows, sources_after, sources_before
+from medallion.session import setting
 from medallion.sinks.catalog import create_database
 from medallion.sinks.parted import KeyRanges, PartedTable
 from medallion.streaming.incremental import IncrementalLoad
@@ -158,3 +160,48 @@ def test_loads_refresh_facts_before_they_publish(spark, tiny_dir, tmp_path, monk
     for fact in facts:
         assert bag(fact.read(now)) == bag(fact.spec.plan(now))
     spark.sql("DROP DATABASE refreshed CASCADE")
+
+
+@pytest.mark.parametrize("anew, lines", [(100, 300), (0, 1_000_000)])
+@pytest.mark.parametrize("name", ["Movement", "Purchase", "Sales", "SupplierTransactions"])
+def test_parts_anew_merged_and_of_many_lines_equal_a_rebuild(spark, tiny_dir, tmp_path, monkeypatch, name, anew, lines):
+    monkeypatch.setattr(refresh, "ANEW", anew)
+    monkeypatch.setattr(refresh, "MOST_LINES", lines)
+    before = SilverTables(spark, tiny_dir, sources_before(spark, tiny_dir))
+    tables = SilverTables(spark, tiny_dir, sources_after(spark, tiny_dir))
+    # one order has most of the lines of its part
+    owned = list(FACTS[name].owned.items())[-1]
+    many = F.when(F.col(owned[1]).between(400, 650), 401).otherwise(F.col(owned[1])).cast("long")
+    after = ChainMap({owned[0]: tables[owned[0]].withColumn(owned[1], many)}, tables)
+    fact = MaintainedFact(spark, name, f"{tmp_path}/fact", 200)
+    fact.build(ChainMap({owned[0]: before[owned[0]].withColumn(owned[1], many)}, before))
+    changed = changed_rows(after)
+    moved = [t[owned[0]].select(owned[1]) for t in (tables, after)]
+    assert fact.refresh(after, changed | {owned[0]: moved[0].unionByName(moved[1])})
+    want = bag(fact.spec.plan(after))
+    assert want and bag(fact.read(after)) == want
+
+
+def test_rows_come_out_as_they_are_stored(spark, tiny_dir, tmp_path):
+    """Headers and lines are each shuffled once, and a part is one file."""
+    tables = SilverTables(spark, tiny_dir)
+    fact = MaintainedFact(spark, "Movement", f"{tmp_path}/fact", 100)
+    fact.build(tables)
+    files = fact.read(tables).inputFiles()
+    assert len(files) == len(fact.table(tables).live()) > 10
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10_000))
+    try:
+        with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+            plan = fact._computed(tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_line = [line for line in plan.splitlines() if "Exchange hashpartitioning(_place" in line]
+    assert len(by_line) == 2 and all("OrderID" not in line for line in by_line)
+
+
+def test_ranges_of_exactly_these_parts(spark):
+    ranges = KeyRanges("k", 10)
+    keys = spark.range(-60, 160).select(F.col("id").alias("k"))
+    for most in (64, 2, 1):
+        got = {r.k // 10 for r in keys.where(ranges.exactly([-2, 0, 3, 4, 9], most=most)).collect()}
+        assert got == {-2, 0, 3, 4, 9}
