@@ -327,14 +327,24 @@ def build_all(
     total_order: bool = False,
     parallel: int = 4,
 ) -> None:
-    """Write gold tables, one execution each, and register them as `<name>_gold`."""
-    def write(name: str) -> None:
-        table = GOLD[name]
-        write_gold(
-            table.plan(tables), f"{gold_path}/{name}", list(table.order_by), [LINE_ID], total_order
-        )
+    """Write gold tables, one execution each, and register them as `<name>_gold`.
 
-    run_parallel(spark, write, names if names is not None else GOLD, parallel)
+    Tables of one plan are written from the same rows, which are kept for that, on disk where memory is short.
+    """
+    alike: dict[GoldTable, list[str]] = {}
+    for name in names if names is not None else GOLD:
+        alike.setdefault(GOLD[name], []).append(name)
+
+    def write(table: GoldTable) -> None:
+        rows = table.plan(tables)
+        if len(alike[table]) > 1:  # joined once
+            rows = rows.persist()
+        for name in alike[table]:
+            write_gold(rows, f"{gold_path}/{name}", list(table.order_by), [LINE_ID], total_order)
+        if len(alike[table]) > 1:
+            rows.unpersist()
+
+    run_parallel(spark, write, alike, parallel)
     if database:
         create_database(spark, database)
         register_gold(spark, database, gold_path)

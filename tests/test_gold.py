@@ -1,5 +1,6 @@
 """Gold plans on literal clean tables, expectations worked out by hand."""
 
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -163,3 +164,17 @@ def test_customers_join_orders_before_lines_do(spark, tiny_dir):
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     by = {key: next(n for n, line in enumerate(joins) if key in line) for key in ("PackageTypeID", "OrderID", "CustomerID")}
     assert by["PackageTypeID"] < by["OrderID"] < by["CustomerID"]
+
+
+def test_tables_of_one_plan_are_joined_once(spark, tiny_dir, tmp_path, monkeypatch):
+    from medallion.queries.derived import SilverTables
+
+    tables, plans = SilverTables(spark, tiny_dir), []
+    counted = gold.GoldTable(lambda t: plans.append(1) or gold._purchase(t), ("PurchaseOrderID", gold.LINE_ID))
+    monkeypatch.setattr(gold, "GOLD", {"Order": counted, "Purchase": counted})
+    gold.build_all(spark, tables, str(tmp_path))
+    assert len(plans) == 1
+    want = Counter(map(str, gold.fact_purchase(tables).collect()))
+    for name in ("Order", "Purchase"):
+        stored = spark.read.parquet(f"{tmp_path}/{name}")
+        assert gold.LINE_ID not in stored.columns and Counter(map(str, stored.collect())) == want
