@@ -4,6 +4,8 @@ import random
 from collections import ChainMap, Counter
 from datetime import date, datetime
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ from medallion.queries.derived import SilverTables
 from medallion.sinks.batches import BatchLayer
 from medallion.sinks.writers import remove_directory, write_batch
 from medallion.streaming.feed import read_landed
-from medallion.streaming.newest import landed_state, run_newest_feed
+from medallion.streaming.newest import _COLUMNS, _PLACE, KeepNewest, landed_state, run_newest_feed
 
 SCHEMA = T.StructType().add("k", T.LongType()).add("v", T.StringType())
 DAY = date(2024, 1, 1)
@@ -206,6 +208,36 @@ def test_newest_images_over_runs_a_restart_and_a_lost_checkpoint(spark, tmp_path
     assert second - third == Counter()
 
 
+class States(dict):
+    def getMapState(self, *_):
+        return self
+
+    getValue, updateValue = dict.get, dict.__setitem__
+
+
+def test_a_group_holds_many_documents():
+    """A processor is called once for a group, with the frames of all its documents."""
+    rng, keeper, states = random.Random(5), KeepNewest(), States()
+    keeper.init(states)
+    known = {}
+    for _ in range(3):
+        events = [(rng.choice("abcdefgh"), rng.randrange(40), f"{rng.randrange(3)}") for _ in range(60)]
+        rows = [("update", "d", "c", k, doc, seq, None, None, k) for k, seq, doc in events]
+        rows += [("delete", "d", "c", "a", None, 99, None, "unsupported_op", None)]
+        rng.shuffle(rows)
+        frames = [pd.DataFrame(rows[at : at + 20], columns=[*_COLUMNS, _PLACE]) for at in range(0, len(rows), 20)]
+        out = pd.concat(list(keeper.handleInputRows((1,), iter(frames), None)))
+        got = Counter((r.key, int(r.seq), r.document, r.rule) for r in out.replace({np.nan: None}).itertuples())
+        best = {k: max((seq, doc) for key, seq, doc in events if key == k) for k, *_ in events}
+        usable = {k: v for k, v in best.items() if v[0] > known.get(k, -1)}
+        want = Counter((k, seq, doc, "stale") for k, seq, doc in events)
+        want -= Counter((k, *v, "stale") for k, v in usable.items())
+        want += Counter((k, *v, None) for k, v in usable.items())
+        assert got == want + Counter([("a", 99, None, "unsupported_op")])
+        known |= {k: seq for k, (seq, _) in usable.items()}
+    assert {place: seq for (place,), (seq,) in states.items()} == known
+
+
 # --- amounts
 
 
