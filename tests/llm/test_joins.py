@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from tests.llm.frames import DOCUMENTS, awkward_rows, clashing, documents
 
-from medallion.llm.common import components, shingle_set
+from medallion.llm import jaccard_join
+from medallion.llm.common import by_marks, components, shingle_set
 from medallion.llm.jaccard_join import jaccard_components, one_of_each, parities, possible_links, region_links
 from medallion.llm.line_dedup import line_report, near_kept, within, without_repeated_lines
 from medallion.llm.topk_search import ImpactIndex, quantised, top_k
@@ -100,6 +101,42 @@ def test_parities_lose_no_link():
                 assert frozenset((a, b)) in possible
 
 
+def stored_rows(monkeypatch):
+    """Rows of the working tables that the join stores, by label."""
+    rows, write = {}, jaccard_join.stored
+
+    def counting(df, label):
+        out = write(df, label)
+        rows[label] = rows.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counting)
+    return rows
+
+
+def test_documents_that_share_spans_of_common_words_only_meet_in_no_region(spark, monkeypatch):
+    rng = random.Random(7)
+    common = [f"w{k}" for k in range(30)]
+    spans = [" ".join(rng.choice(common) for _ in range(6)) for _ in range(40)]
+    unlike = [" ".join([*(f"d{k}x{j}" for j in range(60)), *rng.sample(spans, 2)]) for k in range(120)]
+    near = [unlike[0] + " more", unlike[1].replace("d1x30", "changed")]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(unlike + near)]
+    stored = stored_rows(monkeypatch)
+    got = jaccard_components(documents(spark, rows)).where("doc_id <> component_id").collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(120, 0), (121, 1)}
+    assert stored["members"] == 2
+
+
+def test_rows_are_told_from_keys_by_marks(spark):
+    rows = spark.range(5000).selectExpr("if(id % 7 = 0, null, int(id)) as id", "'t' as _mark")
+    among, others = by_marks(rows, "id", spark.range(0, 5000, 9).withColumnRenamed("id", "key"), "key")
+    a, b = [r.id for r in among.collect()], [r.id for r in others.collect()]
+    assert among.columns == others.columns == rows.columns and len(a) + len(b) == 5000
+    assert {k for k in range(0, 5000, 9) if k % 7} <= set(a) and None not in a and len(a) < 1000
+    none, every = by_marks(rows, "id", rows.where("false"), "id")
+    assert none.isEmpty() and every.count() == 5000
+
+
 def test_long_texts_hash_alike_in_pieces():
     text = " ".join(f"w{k}" for k in range(400_000))
     assert shingle_set(text).size == 400_000 - 4
