@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from tests.llm.frames import DOCUMENTS, awkward_rows, clashing, documents
+from tests.llm.frames import DOCUMENTS, awkward_rows, clashing, documents, sentence
 
 from medallion.llm import jaccard_join
 from medallion.llm.common import by_marks, components, shingle_set
@@ -137,6 +137,19 @@ def test_rows_are_told_from_keys_by_marks(spark):
     assert none.isEmpty() and every.count() == 5000
 
 
+@pytest.mark.parametrize("again", [False, True])
+def test_texts_of_ids_that_stay_are_not_joined(spark, again):
+    rng = random.Random(9)
+    rows = [(k, sentence(rng, 12), "en", "s", 0) for k in range(40)]
+    rows += [(50, rows[3][1], "en", "s", 0), (51, None, "en", "s", 0), (None, "no id", "en", "s", 0)] + rows[:1] * again
+    kept = one_of_each(documents(spark, rows))
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == sorted([-1, *range(40), 51])
+    plan = kept._jdf.queryExecution().optimizedPlan()
+    first, last = plan.children().head().toString(), plan.children().last().toString()
+    assert plan.nodeName() == "Union" and "LeftSemi" in last and "LeftSemi" not in first
+    assert not any("Aggregate" in line and "text#" in line for line in first.splitlines())
+
+
 def test_long_texts_hash_alike_in_pieces():
     text = " ".join(f"w{k}" for k in range(400_000))
     assert shingle_set(text).size == 400_000 - 4
