@@ -24,9 +24,9 @@ from medallion.functions.scalars import (
 )
 from medallion.operators.joins import left_lookup
 from medallion.operators.setops import union_all
-from medallion.session import run_parallel
+from medallion.session import run_parallel, workspace
 from medallion.sinks.catalog import create_database, register_gold
-from medallion.sinks.writers import write_gold
+from medallion.sinks.writers import remove_directory, write_gold, write_working
 
 Tables = Mapping[str, DataFrame]
 
@@ -45,12 +45,17 @@ def _joined(
 ) -> DataFrame:
     """Lines with their headers, and with dimensions by the name of their key.
 
+    Stock items may be too many to broadcast. They join the lines alone, which are narrower than lines with headers,
+    so what that shuffles is less, and the rows come out in the order of the headers' key.
+
     With a place, lines and headers are laid out by it and not by the key, and join last: the rows come out as they
     are stored.
     """
+    first = [k for k in dimensions if place or k == "StockItemID"]
+    lines = reduce(lambda rows, k: rows.join(dimensions[k], k), first, lines)
     if not place:
-        return reduce(lambda rows, k: rows.join(dimensions[k], k), dimensions, lines.join(header, key))
-    lines = reduce(lambda rows, k: rows.join(dimensions[k], k), dimensions, lines)
+        others = [k for k in dimensions if k not in first]
+        return reduce(lambda rows, k: rows.join(dimensions[k], k), others, lines.join(header, key))
     return lines.repartition(PLACE).join(header.repartition(PLACE), [PLACE, key])
 
 
@@ -329,20 +334,24 @@ def build_all(
 ) -> None:
     """Write gold tables, one execution each, and register them as `<name>_gold`.
 
-    Tables of one plan are written from the same rows, which are kept for that, on disk where memory is short.
+    Tables of one plan are written from the same rows, which a working table keeps for that: it is smaller than
+    cached rows are on disk, and leaves the memory to the joins.
     """
     alike: dict[GoldTable, list[str]] = {}
     for name in names if names is not None else GOLD:
         alike.setdefault(GOLD[name], []).append(name)
 
     def write(table: GoldTable) -> None:
-        rows = table.plan(tables)
-        if len(alike[table]) > 1:  # joined once
-            rows = rows.persist()
-        for name in alike[table]:
-            write_gold(rows, f"{gold_path}/{name}", list(table.order_by), [LINE_ID], total_order)
-        if len(alike[table]) > 1:
-            rows.unpersist()
+        rows, kept = table.plan(tables), None
+        try:
+            if len(alike[table]) > 1:  # joined once
+                kept = workspace(spark, "alike")
+                rows = write_working(rows, kept)
+            for name in alike[table]:
+                write_gold(rows, f"{gold_path}/{name}", list(table.order_by), [LINE_ID], total_order)
+        finally:
+            if kept:
+                remove_directory(spark, kept)
 
     run_parallel(spark, write, alike, parallel)
     if database:

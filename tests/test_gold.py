@@ -2,6 +2,7 @@
 
 from collections import Counter
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
@@ -178,3 +179,33 @@ def test_tables_of_one_plan_are_joined_once(spark, tiny_dir, tmp_path, monkeypat
     for name in ("Order", "Purchase"):
         stored = spark.read.parquet(f"{tmp_path}/{name}")
         assert gold.LINE_ID not in stored.columns and Counter(map(str, stored.collect())) == want
+
+
+def test_tables_of_one_plan_leave_the_memory_to_the_joins(spark, tiny_dir, tmp_path, monkeypatch):
+    from medallion.queries.derived import SilverTables
+
+    kept, write, place = [], gold.write_gold, gold.workspace
+    levels = []
+    monkeypatch.setattr(gold, "workspace", lambda *a: kept.append(place(*a)) or kept[-1])
+    monkeypatch.setattr(gold, "write_gold", lambda rows, *a: levels.append(rows.storageLevel.useMemory) or write(rows, *a))
+    tables = SilverTables(spark, tiny_dir)
+    gold.build_all(spark, tables, str(tmp_path), ["Order", "Purchase", "Employee"])
+    assert levels == [False] * 3 and len(kept) == 1 and not Path(kept[0].removeprefix("file:")).exists()
+    want = sorted(map(tuple, gold.build("Order", tables).collect()), key=str)
+    for name in ("Order", "Purchase"):
+        files = list((tmp_path / name).glob("*.parquet"))
+        assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+        assert sorted(map(tuple, spark.read.parquet(str(tmp_path / name)).collect()), key=str) == want
+        for file in files:
+            keys = [r.PurchaseOrderID for r in spark.read.parquet(str(file)).collect()]
+            assert keys == sorted(keys)
+
+
+@pytest.mark.parametrize(("fact", "key"), [("fact_purchase", "PurchaseOrderID"), ("fact_sales", "InvoiceID")])
+def test_items_join_lines_before_headers_do(spark, tiny_dir, fact, key):
+    from medallion.queries.derived import SilverTables
+
+    plan = getattr(gold, fact)(SilverTables(spark, tiny_dir))._jdf.queryExecution().analyzed().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    by = {k: next(n for n, line in enumerate(joins) if k in line) for k in (key, "StockItemID")}
+    assert by[key] < by["StockItemID"]
